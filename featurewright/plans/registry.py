@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from featurewright.session import apply_core_conf
 
@@ -55,10 +55,10 @@ def r_sql(expr: str, digits: int = 4) -> str:
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round every float/double column to ``digits`` decimals (as double)."""
+    """Round every float/double/decimal column to ``digits`` decimals (as double)."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (FloatType, DoubleType)):
+        if isinstance(f.dataType, (FloatType, DoubleType, DecimalType)):
             cols.append(stable_round(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -90,3 +90,4 @@ def _load() -> None:
     # Importing the modules registers their queries.
     from featurewright.plans import q_trips  # noqa: F401
     from featurewright.plans import q_training  # noqa: F401
+    from featurewright.plans import q_customer  # noqa: F401

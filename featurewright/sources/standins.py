@@ -46,7 +46,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("ContactCode"),
         F.col("o_orderdate").alias("InvoiceDate"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("NetAmountExclVAT"),
+        # Money as an exact decimal: price and discount have two places each.
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("NetAmountExclVAT"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("SerialNo"),
         (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("IsHI"),
         (F.col("o_orderstatus") != "P").cast("int").alias("IsSold"),
