@@ -24,6 +24,7 @@ from featurewright.functions.scalar import flag, squash_blanks, trunc_nullable_i
 from featurewright.functions.time import plus_months
 from featurewright.operators.joins import assemble, events_between, events_until
 from featurewright.operators.scan import surrogate_id
+from featurewright.session import materialize
 from featurewright.sources.tables import _bound, scan
 
 KEY = "ContactCode"
@@ -41,6 +42,7 @@ class CustomerConfig:
     fanout: bool = False  # Q1: reproduce the reference's multiplied lifetime value
     drop_all_null: bool = True
     id_col: str | None = "id"
+    materialize: bool = True  # checkpoint the assembled table before data-dependent steps
 
 
 def valid_sales(df: DataFrame) -> Column:
@@ -175,6 +177,8 @@ def customer_features(
     for col in cfg.blank_squash_cols:
         derived[col] = squash_blanks(col)
     out = out.withColumns(derived)
+    if cfg.materialize and (cfg.drop_all_null or cfg.id_col):
+        out = materialize(out)
     if cfg.drop_all_null:
         out = drop_all_null_columns(out, keep=[KEY])
     if cfg.id_col:

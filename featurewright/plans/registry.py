@@ -91,3 +91,4 @@ def _load() -> None:
     from featurewright.plans import q_trips  # noqa: F401
     from featurewright.plans import q_training  # noqa: F401
     from featurewright.plans import q_customer  # noqa: F401
+    from featurewright.plans import q_prep  # noqa: F401

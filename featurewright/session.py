@@ -91,3 +91,14 @@ _COUNT = [0]
 def _counter() -> int:
     _COUNT[0] += 1
     return _COUNT[0]
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used before data-dependent steps that read a costly plan several times
+    (statistics, then projection).  Never a local checkpoint: executors can be
+    lost, and a reliable checkpoint survives that.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
