@@ -5,6 +5,11 @@ the rows are range-partitioned on the order, sorted inside each partition, and
 numbered locally; per-partition counts (one row per partition - a proven size
 bound) give the offsets, which are broadcast back.  Same numbers, full
 parallelism.
+
+The numbered frame is persisted before its counts are taken: the counts and
+the numbering must come from one and the same range partitioning, and two
+separately planned branches may sample different range bounds.  A lost cached
+block is recomputed from the same shuffle, so the partitioning never changes.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -42,7 +48,7 @@ def row_index(
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__mid", F.monotonically_increasing_id()
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
@@ -99,7 +105,7 @@ def prefix_sums(
                 pdf[f"__loc_{c}"] = cum
             yield pdf
 
-    local = ranged.mapInPandas(scan, schema)
+    local = ranged.mapInPandas(scan, schema).persist(StorageLevel.MEMORY_AND_DISK)
     totals = local.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -93,3 +93,4 @@ def _load() -> None:
     from featurewright.plans import q_customer  # noqa: F401
     from featurewright.plans import q_prep  # noqa: F401
     from featurewright.plans import q_metrics  # noqa: F401
+    from featurewright.plans import q_history  # noqa: F401
