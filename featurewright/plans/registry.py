@@ -96,3 +96,4 @@ def _load() -> None:
     from featurewright.plans import q_history  # noqa: F401
     from featurewright.plans import q_models  # noqa: F401
     from featurewright.plans import q_streaming  # noqa: F401
+    from featurewright.plans import q_io  # noqa: F401
