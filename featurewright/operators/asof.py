@@ -61,17 +61,18 @@ class Lookup:
     rename: dict[str, str] = field(default_factory=dict)
 
 
-def asof_lookup(
+def asof_answers(
     base: DataFrame,
     lookup: Lookup,
     embargo: str | None = None,
     bucket: str = "1 day",
 ) -> DataFrame:
-    """Add ``lookup.features`` to ``base`` as of ``lookup.timestamp_lookup_key``.
+    """J5 core: one answer struct per distinct probe point ``(key, ts)`` of ``base``.
 
-    ``embargo`` (e.g. ``"15 minutes"``) makes a feature row usable only that
-    long after its timestamp, which removes the label leakage of window-end
-    stamped features (SURVEY Q5).  Default: none, as in the reference.
+    Returns ``__k0.., __t, __f``.  ``base`` is read twice (distinct probe points
+    and distinct probe buckets) and the feature table twice (the bucket scan and
+    one partially aggregated row per (key, bucket)), so both should be scans or
+    materialized tables - never the output of another lookup.
     """
     keys = list(lookup.lookup_key)
     tkeys = list(lookup.table_key or keys)
@@ -79,14 +80,13 @@ def asof_lookup(
     tts = lookup.table_ts or ts
     feats = list(lookup.features)
     out_names = [lookup.rename.get(f, f) for f in feats]
-    clash = set(out_names) & set(base.columns)
-    if clash:
-        raise ValueError(f"feature columns already in base: {sorted(clash)}")
-
     kcols = [f"__k{i}" for i in range(len(keys))]
     ts_type = base.schema[ts].dataType.simpleString()
     step = interval_micros(bucket)
 
+    def _bucket(col: str):
+        return F.floor(epoch_micros(col) / F.lit(step))
+
     f_t = F.col(tts).cast(ts_type)
     if embargo:
         f_t = f_t + F.expr(f"INTERVAL {embargo}")
@@ -95,14 +95,12 @@ def asof_lookup(
         f_t.alias("__t"),
         F.struct(*[F.col(f).alias(o) for f, o in zip(feats, out_names)]).alias("__f"),
     ).where(F.col("__t").isNotNull())
-    fe = fe.withColumn("__b", F.floor(epoch_micros("__t") / F.lit(step)))
+    fe = fe.withColumn("__b", _bucket("__t"))
 
-    probes = (
-        base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t"))
-        .where(F.col("__t").isNotNull())
-        .distinct()
-        .withColumn("__b", F.floor(epoch_micros("__t") / F.lit(step)))
+    probe_src = base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t")).where(
+        F.col("__t").isNotNull()
     )
+    probes = probe_src.distinct().withColumn("__b", _bucket("__t"))
 
     # 2. running last feature within (key, bucket); features first at equal instants.
     null_f = F.lit(None).cast(fe.schema["__f"].dataType)
@@ -120,16 +118,13 @@ def asof_lookup(
         .select(*kcols, "__b", "__t", "__hit")
     )
 
-    # 3. carry-in from earlier buckets: one row per active (key, bucket).
-    last_per_bucket = (
-        fe.groupBy(*kcols, "__b")
-        .agg(F.max_by("__f", "__t").alias("__last"))
-        .withColumn("__probe", F.lit(False))
+    # 3. carry-in from earlier buckets: one row per active (key, bucket), each
+    # side reduced by partial aggregation before its (small) shuffle.
+    last_per_bucket = fe.groupBy(*kcols, "__b").agg(
+        F.max_by("__f", "__t").alias("__last"), F.lit(False).alias("__probe")
     )
-    probe_buckets = (
-        probes.select(*kcols, "__b").distinct()
-        .withColumn("__last", null_f)
-        .withColumn("__probe", F.lit(True))
+    probe_buckets = probe_src.select(*kcols, _bucket("__t").alias("__b")).distinct().select(
+        *kcols, "__b", null_f.alias("__last"), F.lit(True).alias("__probe")
     )
     w_carry = Window.partitionBy(*kcols).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
     carry = (
@@ -139,22 +134,46 @@ def asof_lookup(
         .select(*kcols, "__b", "__carry")
     )
 
-    answers = in_bucket.join(carry, [*kcols, "__b"], "left").select(
+    # 4. answer = in-bucket match, else the carry.
+    return in_bucket.join(carry, [*kcols, "__b"], "left").select(
         *kcols, "__t", F.coalesce("__hit", "__carry").alias("__f")
     )
 
-    # 4. back to the base rows.
+
+def attach(base: DataFrame, lookup: Lookup, answers: DataFrame) -> DataFrame:
+    """Join answers back to the base rows on (key, ts); the answer side is unique per key."""
+    keys = list(lookup.lookup_key)
+    ts = lookup.timestamp_lookup_key
+    out_names = [lookup.rename.get(f, f) for f in lookup.features]
+    clash = set(out_names) & set(base.columns)
+    if clash:
+        raise ValueError(f"feature columns already in base: {sorted(clash)}")
+    kcols = [f"__k{i}" for i in range(len(keys))]
     b = base.alias("__base")
     a = answers.alias("__ans")
     cond = [F.col(f"__base.{c}") == F.col(f"__ans.{k}") for c, k in zip(keys, kcols)]
     cond.append(F.col(f"__base.{ts}") == F.col("__ans.__t"))
-    joined = b.join(a, cond, "left")
-    return joined.select(
+    return b.join(a, cond, "left").select(
         *[F.col(f"__base.{c}") for c in base.columns],
         *[F.col("__ans.__f").getField(o).alias(o) for o in out_names],
     )
 
 
+def asof_lookup(
+    base: DataFrame,
+    lookup: Lookup,
+    embargo: str | None = None,
+    bucket: str = "1 day",
+) -> DataFrame:
+    """Add ``lookup.features`` to ``base`` as of ``lookup.timestamp_lookup_key``.
+
+    ``embargo`` (e.g. ``"15 minutes"``) makes a feature row usable only that
+    long after its timestamp, which removes the label leakage of window-end
+    stamped features (SURVEY Q5).  Default: none, as in the reference.
+    """
+    return attach(base, lookup, asof_answers(base, lookup, embargo, bucket))
+
+
 def training_set(
     base: DataFrame,
     lookups: Sequence[Lookup],
@@ -163,10 +182,16 @@ def training_set(
     embargo: str | None = None,
     bucket: str = "1 day",
 ) -> DataFrame:
-    """Chain the as-of lookups, keep the label, drop excluded columns."""
+    """As-of lookups, the label kept, excluded columns dropped.
+
+    Every lookup's answers come from the original ``base`` (a scan), never from
+    the previous lookup's output, so no lookup is recomputed inside another;
+    the answers are then joined on one after the other.
+    """
+    answers = [asof_answers(base, lk, embargo=embargo, bucket=bucket) for lk in lookups]
     out = base
-    for lk in lookups:
-        out = asof_lookup(out, lk, embargo=embargo, bucket=bucket)
+    for lk, ans in zip(lookups, answers):
+        out = attach(out, lk, ans)
     if label is not None and label not in out.columns:
         raise ValueError(f"label column {label!r} not in base")
     return out.drop(*exclude_columns)

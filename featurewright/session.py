@@ -102,3 +102,29 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Spill-aware settings for a cluster run, derived from the input size.
+
+    Shuffle partitions start at ~``input / 128 MB`` (at least 2 waves of all
+    cores) and AQE coalesces them at runtime to the advisory size; scan splits
+    are 256 MB; a partition more than 5x the median and above 512 MB counts as
+    skewed and is split by AQE's skew-join handling.  At 100 TB on 1000 x 8
+    cores this gives ~800k initial shuffle partitions, coalesced by AQE.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
