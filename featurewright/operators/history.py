@@ -105,24 +105,26 @@ def champion_history(
 
     The first run becomes champion (and its own challenger).  A later run
     becomes champion only if its metric is strictly greater than every earlier
-    run's; the champion it replaces - the run holding that earlier maximum -
-    becomes challenger.  Champions' metrics strictly increase, so the previous
-    champion is found with an equi-join on (model, metric = prev_max).
-    Adds ``is_champion`` (0/1) and ``challenger_run_id`` (null for other runs).
+    run's; the champion it replaces - the earliest run holding that earlier
+    maximum - becomes challenger.  The running maximum is taken over
+    ``struct(metric, -time, run)``, so it carries the holder's run id and no
+    self-join is needed.  Adds ``is_champion`` (0/1) and ``challenger_run_id``
+    (null for other runs).
     """
-    r = running_max_before(runs, [model_col], order_col, run_col, metric_col, bucket)
-    is_champ = F.col("prev_max").isNull() | (F.col(metric_col) > F.col("prev_max"))
-    r = r.withColumn("__champ", is_champ)
-    champs = r.where("__champ").select(
-        F.col(model_col).alias("__m"), F.col(metric_col).alias("__v"), F.col(run_col).alias("__prev_run")
+    holder = F.struct(
+        F.col(metric_col).alias("m"),
+        (-epoch_micros(order_col)).alias("t"),
+        F.col(run_col).alias("r"),
     )
-    j = r.join(champs, (F.col(model_col) == F.col("__m")) & (F.col("prev_max") == F.col("__v"))
-               & F.col("__champ"), "left")
-    challenger = F.when(~F.col("__champ"), F.lit(None).cast("string")).when(
-        F.col("prev_max").isNull(), F.col(run_col)).otherwise(F.col("__prev_run"))
-    return j.select(
+    r = running_max_before(runs.withColumn("__holder", holder), [model_col], order_col, run_col, "__holder",
+                           bucket)
+    prev = F.col("prev_max")
+    is_champ = prev.isNull() | (F.col(metric_col) > prev.getField("m"))
+    challenger = F.when(~is_champ, F.lit(None).cast("string")).when(
+        prev.isNull(), F.col(run_col)).otherwise(prev.getField("r"))
+    return r.select(
         *runs.columns,
-        F.col("__champ").cast("int").alias("is_champion"),
+        is_champ.cast("int").alias("is_champion"),
         challenger.alias("challenger_run_id"),
     )
 

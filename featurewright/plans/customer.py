@@ -163,6 +163,9 @@ def customer_features(
              entity=cfg.entity)
 
     pre = sales_by_instant(s)
+    if cfg.materialize:
+        # Read by the first-purchase aggregate and by the window join: computed once.
+        pre = materialize(pre)
     rd = repurchase_dates(first_purchase(pre), cfg)
     pra = appointment_totals(a, rd)
     ssa = sales_summary(in_window_sales(pre, rd), cfg.fanout)

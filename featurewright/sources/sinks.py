@@ -87,6 +87,7 @@ def write_upsert(spark: SparkSession, name: str, updates: DataFrame) -> None:
     checkpointed, then written with dynamic partition overwrite.
     """
     keys, parts = table_keys(spark, name)
+    updates = materialize(updates)  # read three times below: computed once
     current = spark.table(name)
     if parts:
         touched = updates.select(*parts).distinct()

@@ -81,6 +81,13 @@ def upsert_into_path(path: str, keys: Sequence[str], partition_col: str | None =
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # the micro-batch is read several times below
+        try:
+            _merge(spark, batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _merge(spark: SparkSession, batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         try:
