@@ -10,14 +10,16 @@ carries a third of all rows:
 
 1. Probe points: distinct ``(key, ts)`` of the base (partial aggregation on the
    map side).  A hot key is spread over many tasks by ``ts``.
-2. Time buckets ``b = floor(ts / bucket)``.  Features and probe points of one
-   ``(key, b)`` are unioned and scanned with a running ``last(struct)``:
-   features sort before probes at equal instants, which gives ``<=``.  A group
-   holds at most the distinct instants of one key within one bucket.
-3. Carry-in: the last feature of every earlier bucket.  ``max_by`` per
-   ``(key, b)`` (partial aggregation), then a running ``last`` over buckets per
-   key.  That table has one row per active (key, bucket) - bounded by the time
-   span divided by the bucket width, independent of the data volume.
+2. Time buckets ``b = floor(ts / width)``, one or several nested levels.
+   Features and probe points of one ``(key, finest b)`` are unioned and
+   scanned with a running ``last(struct)``: features sort before probes at
+   equal instants, which gives ``<=``.  A group holds at most the distinct
+   instants of one key within one finest bucket.
+3. Carry-in: the last feature of earlier buckets.  ``max_by`` per
+   ``(key, bucket)`` (partial aggregation), then a running ``last`` over the
+   buckets of one parent bucket (or of the key, at the coarsest level).  Each
+   such window holds at most (parent width / width) rows, or span / width at
+   the top - bounded independent of the data volume.
 4. Answer = in-bucket match, else carry-in; joined back to the base rows on
    ``(key, ts)`` (the answer side is unique per key, so AQE can split a skewed
    base partition safely).
@@ -61,18 +63,32 @@ class Lookup:
     rename: dict[str, str] = field(default_factory=dict)
 
 
+def _levels(bucket: str | Sequence[str]) -> list[int]:
+    widths = [interval_micros(bucket)] if isinstance(bucket, str) else [interval_micros(b) for b in bucket]
+    for coarse, fine in zip(widths, widths[1:]):
+        if coarse % fine:
+            raise ValueError("each bucket width must divide the previous (coarser) one")
+    return widths
+
+
 def asof_answers(
     base: DataFrame,
     lookup: Lookup,
     embargo: str | None = None,
-    bucket: str = "1 day",
+    bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
     """J5 core: one answer struct per distinct probe point ``(key, ts)`` of ``base``.
 
-    Returns ``__k0.., __t, __f``.  ``base`` is read twice (distinct probe points
-    and distinct probe buckets) and the feature table twice (the bucket scan and
-    one partially aggregated row per (key, bucket)), so both should be scans or
-    materialized tables - never the output of another lookup.
+    ``bucket`` is one width or a coarse-to-fine list (e.g. ``("30 days",
+    "1 day", "1 minute")``).  The running ``last`` runs per (key, finest
+    bucket); level ``i`` carries the last feature of earlier level-``i``
+    buckets inside the same level-``i-1`` bucket, so every window partition is
+    bounded by the ratio of adjacent widths (the coarsest by span / width).
+    The answer is the in-bucket hit, else the finest carry, else coarser ones.
+
+    Returns ``__k0.., __t, __f``.  ``base`` and the feature table are read more
+    than once, so both should be scans or materialized tables - never the
+    output of another lookup.
     """
     keys = list(lookup.lookup_key)
     tkeys = list(lookup.table_key or keys)
@@ -82,62 +98,71 @@ def asof_answers(
     out_names = [lookup.rename.get(f, f) for f in feats]
     kcols = [f"__k{i}" for i in range(len(keys))]
     ts_type = base.schema[ts].dataType.simpleString()
-    step = interval_micros(bucket)
+    widths = _levels(bucket)
+    bcols = [f"__b{i}" for i in range(len(widths))]
 
-    def _bucket(col: str):
-        return F.floor(epoch_micros(col) / F.lit(step))
+    def with_buckets(df: DataFrame) -> DataFrame:
+        us = epoch_micros("__t")
+        return df.withColumns({b: F.floor(us / F.lit(w)) for b, w in zip(bcols, widths)})
 
     f_t = F.col(tts).cast(ts_type)
     if embargo:
         f_t = f_t + F.expr(f"INTERVAL {embargo}")
-    fe = lookup.table.select(
+    fe = with_buckets(lookup.table.select(
         *[F.col(c).alias(k) for c, k in zip(tkeys, kcols)],
         f_t.alias("__t"),
         F.struct(*[F.col(f).alias(o) for f, o in zip(feats, out_names)]).alias("__f"),
-    ).where(F.col("__t").isNotNull())
-    fe = fe.withColumn("__b", _bucket("__t"))
+    ).where(F.col("__t").isNotNull()))
 
-    probe_src = base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t")).where(
-        F.col("__t").isNotNull()
+    probe_src = with_buckets(
+        base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t")).where(
+            F.col("__t").isNotNull()
+        )
     )
-    probes = probe_src.distinct().withColumn("__b", _bucket("__t"))
+    probes = probe_src.distinct()
 
-    # 2. running last feature within (key, bucket); features first at equal instants.
+    # Running last feature within (key, finest bucket); features first at equal instants.
     null_f = F.lit(None).cast(fe.schema["__f"].dataType)
-    unioned = fe.select(*kcols, "__b", "__t", F.lit(0).alias("__kind"), "__f").unionByName(
-        probes.select(*kcols, "__b", "__t", F.lit(1).alias("__kind"), null_f.alias("__f"))
+    unioned = fe.select(*kcols, *bcols, "__t", F.lit(0).alias("__kind"), "__f").unionByName(
+        probes.select(*kcols, *bcols, "__t", F.lit(1).alias("__kind"), null_f.alias("__f"))
     )
     w_in = (
-        Window.partitionBy(*kcols, "__b")
+        Window.partitionBy(*kcols, bcols[-1])
         .orderBy("__t", "__kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    in_bucket = (
+    answers = (
         unioned.withColumn("__hit", F.last("__f", ignorenulls=True).over(w_in))
         .where(F.col("__kind") == 1)
-        .select(*kcols, "__b", "__t", "__hit")
-    )
-
-    # 3. carry-in from earlier buckets: one row per active (key, bucket), each
-    # side reduced by partial aggregation before its (small) shuffle.
-    last_per_bucket = fe.groupBy(*kcols, "__b").agg(
-        F.max_by("__f", "__t").alias("__last"), F.lit(False).alias("__probe")
-    )
-    probe_buckets = probe_src.select(*kcols, _bucket("__t").alias("__b")).distinct().select(
-        *kcols, "__b", null_f.alias("__last"), F.lit(True).alias("__probe")
-    )
-    w_carry = Window.partitionBy(*kcols).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-    carry = (
-        last_per_bucket.unionByName(probe_buckets)
-        .withColumn("__carry", F.last("__last", ignorenulls=True).over(w_carry))
-        .where(F.col("__probe"))
-        .select(*kcols, "__b", "__carry")
+        .select(*kcols, *bcols, "__t", "__hit")
     )
 
-    # 4. answer = in-bucket match, else the carry.
-    return in_bucket.join(carry, [*kcols, "__b"], "left").select(
-        *kcols, "__t", F.coalesce("__hit", "__carry").alias("__f")
-    )
+    # Carry per level, finest first: each table has one row per active bucket,
+    # both sides reduced by partial aggregation before their (small) shuffles.
+    answer = F.col("__hit")
+    for lvl in range(len(widths) - 1, -1, -1):
+        own = bcols[: lvl + 1]
+        parent = bcols[:lvl]
+        last_per_bucket = fe.groupBy(*kcols, *own).agg(
+            F.max_by("__f", "__t").alias("__last"), F.lit(False).alias("__probe")
+        )
+        probe_buckets = probe_src.select(*kcols, *own).distinct().select(
+            *kcols, *own, null_f.alias("__last"), F.lit(True).alias("__probe")
+        )
+        w_carry = (
+            Window.partitionBy(*kcols, *parent).orderBy(own[-1])
+            .rangeBetween(Window.unboundedPreceding, -1)
+        )
+        carry = (
+            last_per_bucket.unionByName(probe_buckets)
+            .withColumn(f"__carry{lvl}", F.last("__last", ignorenulls=True).over(w_carry))
+            .where(F.col("__probe"))
+            .select(*kcols, *own, f"__carry{lvl}")
+        )
+        answers = answers.join(carry, [*kcols, *own], "left")
+        answer = F.coalesce(answer, F.col(f"__carry{lvl}"))
+
+    return answers.select(*kcols, "__t", answer.alias("__f"))
 
 
 def attach(base: DataFrame, lookup: Lookup, answers: DataFrame) -> DataFrame:
@@ -163,7 +188,7 @@ def asof_lookup(
     base: DataFrame,
     lookup: Lookup,
     embargo: str | None = None,
-    bucket: str = "1 day",
+    bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
     """Add ``lookup.features`` to ``base`` as of ``lookup.timestamp_lookup_key``.
 
@@ -180,7 +205,7 @@ def training_set(
     label: str | None = None,
     exclude_columns: Sequence[str] = (),
     embargo: str | None = None,
-    bucket: str = "1 day",
+    bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
     """As-of lookups, the label kept, excluded columns dropped.
 

@@ -49,7 +49,7 @@ def j5_asof_raw(spark, sf_dir):
     base = ev.where(F.col("event_type") == "view")
     lk = Lookup(feats, ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"],
                 ["user_id"], "ts", table_key=["zip"], table_ts="ts")
-    return rounded(asof_lookup(base, lk, bucket="6 hours"))
+    return rounded(asof_lookup(base, lk, bucket=("1 day", "1 hour")))
 
 
 @query(

@@ -54,3 +54,20 @@ def test_hot_key_matches_brute_force(spark):
         cand = fdf[(fdf.zip == z) & (fdf.ts <= t)]
         want = None if cand.empty else cand.sort_values("ts").iloc[-1]["f"]
         assert got[i] == want, (i, z, t)
+
+
+def test_multilevel_buckets_match_single_level(spark):
+    rnd = random.Random(11)
+    feats = [(rnd.randint(1, 3), T0 + dt.timedelta(seconds=rnd.randint(0, 5 * 86400)), float(i)) for i in range(300)]
+    fdf = pd.DataFrame(feats, columns=["zip", "ts", "f"]).drop_duplicates(["zip", "ts"])
+    frows = [(int(z), t.to_pydatetime(), float(f)) for z, t, f in fdf.itertuples(index=False, name=None)]
+    base = [(i, rnd.randint(1, 4), T0 + dt.timedelta(seconds=rnd.randint(-3600, 6 * 86400))) for i in range(400)]
+    lk = Lookup(_feats(spark, frows), ["f"], ["zip"], "t", table_ts="ts")
+    one = {r["id"]: r["f"] for r in asof_lookup(_base(spark, base), lk, bucket="1 day").collect()}
+    three = {r["id"]: r["f"] for r in
+             asof_lookup(_base(spark, base), lk, bucket=("2 days", "1 hour", "1 minute")).collect()}
+    assert one == three
+    for i, z, t in base[:100]:
+        cand = fdf[(fdf.zip == z) & (fdf.ts <= t)]
+        want = None if cand.empty else cand.sort_values("ts").iloc[-1]["f"]
+        assert three[i] == want
