@@ -90,15 +90,18 @@ def one_hot_columns(col: str, levels: Sequence[str]) -> list[Column]:
 def category_levels(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> dict[str, list[str]]:
     """Distinct levels per categorical column, sorted as strings, first dropped.
 
-    One distinct aggregate per column; only the level list comes back.
+    One pass for all columns: (column, level) pairs are exploded and made
+    distinct with partial aggregation; only the level lists come back.
     """
-    out = {}
-    for c in cols:
-        vals = sorted(
-            r[0] for r in df.select(F.col(c).cast("string")).where(F.col(c).isNotNull()).distinct().collect()
-        )
-        out[c] = vals[1:] if drop_first else vals
-    return out
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    if not cols:
+        return out
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("lvl")) for c in cols
+    ])).alias("p")
+    for r in df.select(pairs).select("p.col", "p.lvl").where(F.col("lvl").isNotNull()).distinct().collect():
+        out[r["col"]].append(r["lvl"])
+    return {c: (sorted(v)[1:] if drop_first else sorted(v)) for c, v in out.items()}
 
 
 def min_max_column(col: str, lo: float | None, hi: float | None) -> Column:
