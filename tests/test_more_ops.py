@@ -62,3 +62,31 @@ def test_stream_drain_equals_batch(spark):
         "zip", "ts", "count_trips_window_1h_pickup_zip")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_stream_late_rows_dropped_on_time_rows_upserted(spark):
+    src_dir = scratch_path(spark, "stream-late")
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    first = spark.createDataFrame(
+        [(i, t0 + dt.timedelta(minutes=10 * i), 1, 1.0) for i in range(13)], schema)  # 10:00 .. 12:00
+    first.write.mode("append").parquet(src_dir)
+    feats_src = stream_source(spark, src_dir, first.schema)
+    table, ckpt = fresh_paths(spark, "t-late")
+
+    def drain():
+        feats = stream_pickup_features(feats_src, "ts", "user_id", "value", watermark="30 minutes")
+        run_feature_stream(feats, table, ["zip", "ts"], ckpt).awaitTermination()
+
+    drain()
+    before = {r["ts"]: r["count_trips_window_1h_pickup_zip"] for r in spark.read.parquet(table).collect()}
+    # second micro-batch: one row far behind the watermark (11:30), one on time (12:05)
+    spark.createDataFrame([(100, dt.datetime(2024, 1, 1, 9, 5), 1, 1.0),
+                           (101, dt.datetime(2024, 1, 1, 12, 5), 1, 1.0)], schema) \
+        .write.mode("append").parquet(src_dir)
+    drain()
+    table_df = spark.read.parquet(table)
+    after = {r["ts"]: r["count_trips_window_1h_pickup_zip"] for r in table_df.collect()}
+    assert dt.datetime(2024, 1, 1, 9, 15) not in after  # the late 09:05 row opened no window
+    assert after[dt.datetime(2024, 1, 1, 12, 15)] == before[dt.datetime(2024, 1, 1, 12, 15)] + 1
+    assert table_df.count() == table_df.select("zip", "ts").distinct().count()  # upsert kept one row per key
