@@ -49,7 +49,7 @@ def stamp(df: DataFrame, model_version: str | int, scored_at: str) -> DataFrame:
     return df.withColumns(
         {
             "model_version": F.lit(str(model_version)),
-            "inference_timestamp": F.to_timestamp(F.lit(scored_at)),
+            "inference_timestamp": F.to_timestamp_ntz(F.lit(scored_at)),
         }
     )
 

@@ -87,7 +87,8 @@ def one_hot_columns(col: str, levels: Sequence[str]) -> list[Column]:
     ]
 
 
-def category_levels(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> dict[str, list[str]]:
+def category_levels(df: DataFrame, cols: Sequence[str], drop_first: bool = True,
+                    max_levels: int = 10000) -> dict[str, list[str]]:
     """Distinct levels per categorical column, sorted as strings, first dropped.
 
     One pass for all columns: (column, level) pairs are exploded and made
@@ -99,7 +100,11 @@ def category_levels(df: DataFrame, cols: Sequence[str], drop_first: bool = True)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("lvl")) for c in cols
     ])).alias("p")
-    for r in df.select(pairs).select("p.col", "p.lvl").where(F.col("lvl").isNotNull()).distinct().collect():
+    rows = (df.select(pairs).select("p.col", "p.lvl").where(F.col("lvl").isNotNull()).distinct()
+            .limit(max_levels + 1).collect())
+    if len(rows) > max_levels:
+        raise ValueError(f"more than {max_levels} categorical levels: one-hot encoding refused")
+    for r in rows:
         out[r["col"]].append(r["lvl"])
     return {c: (sorted(v)[1:] if drop_first else sorted(v)) for c, v in out.items()}
 
@@ -124,6 +129,9 @@ class PrepConfig:
     categorical: Sequence[str]
     min_variance: float = 0.0001
     keep_cols: Sequence[str] = ()  # carried through untouched (keys, label)
+    # One-hot columns are schema, so their levels come to the driver; refuse
+    # (rather than truncate) a categorical set wider than this.
+    max_levels: int = 10000
 
 
 @dataclass
@@ -184,7 +192,10 @@ class Preprocessor:
             pairs = F.explode(F.array(*[
                 F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("lvl")) for c in cfg.categorical
             ])).alias("p")
-            for r in filled.select(pairs).groupBy("p.col", "p.lvl").count().collect():
+            rows = filled.select(pairs).groupBy("p.col", "p.lvl").count().limit(cfg.max_levels + 1).collect()
+            if len(rows) > cfg.max_levels:
+                raise ValueError(f"more than {cfg.max_levels} categorical levels: one-hot encoding refused")
+            for r in rows:
                 counts[(r["col"], r["lvl"])] = r["count"]
             for c in cfg.categorical:
                 levels[c] = sorted(lv for (cc, lv) in counts if cc == c)[1:]

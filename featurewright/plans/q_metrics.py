@@ -285,7 +285,8 @@ _THRESHOLDS = [("max_error", 500.0, False), ("mean_squared_error", 500.0, False)
                mean_absolute_error, r2_score, max_error INTO NAME metric VALUE value),
   t AS (SELECT * FROM (VALUES {", ".join(f"('{m}', {v}, {str(h).lower()})" for m, v, h in _THRESHOLDS)})
         AS t(metric, threshold, higher_is_better))
-  SELECT t.metric, CAST(m.value AS DOUBLE) AS value, t.threshold, t.higher_is_better,
+  SELECT t.metric, CAST(m.value AS DOUBLE) AS value, CAST(t.threshold AS DOUBLE) AS threshold,
+         t.higher_is_better,
          COALESCE(CASE WHEN t.higher_is_better THEN m.value >= t.threshold ELSE m.value <= t.threshold END,
                   false) AS passed
   FROM t LEFT JOIN m ON t.metric = m.metric
