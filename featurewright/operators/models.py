@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import VectorAssembler
@@ -95,6 +96,28 @@ def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None
     return out.select(*cols, *extra)
 
 
+def model_udf(predict, return_type: str = "double"):
+    """S1 for a plain Python model (anything with ``predict(pandas.DataFrame)``).
+
+    Returns an Arrow-batched pandas UDF over a struct of feature columns - the
+    same call shape as the reference's model UDF over ``struct(*features)`` -
+    so scoring runs in vectorised batches on the executors, never row by row.
+    The model object is shipped once per task with the UDF closure.
+    """
+    @F.pandas_udf(return_type)
+    def _score(features: pd.DataFrame) -> pd.Series:
+        out = predict(features)
+        return pd.Series(list(out) if not isinstance(out, pd.Series) else out.values)
+
+    return _score
+
+
+def score_struct(df: DataFrame, predict, features: Sequence[str], out_col: str = "prediction",
+                 return_type: str = "double") -> DataFrame:
+    """Apply ``model_udf(predict)`` to ``struct(*features)`` and keep every input column."""
+    return df.withColumn(out_col, model_udf(predict, return_type)(F.struct(*[F.col(c) for c in features])))
+
+
 def score_with_lookup(df: DataFrame, lookups: Sequence[Lookup], model: PipelineModel, model_version: str,
                       scored_at: str, exclude: Sequence[str] = (), fill: float | None = 0.0) -> DataFrame:
     """As-of feature lookup, scoring and lineage stamp in one plan."""

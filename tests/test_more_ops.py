@@ -90,3 +90,17 @@ def test_stream_late_rows_dropped_on_time_rows_upserted(spark):
     assert dt.datetime(2024, 1, 1, 9, 15) not in after  # the late 09:05 row opened no window
     assert after[dt.datetime(2024, 1, 1, 12, 15)] == before[dt.datetime(2024, 1, 1, 12, 15)] + 1
     assert table_df.count() == table_df.select("zip", "ts").distinct().count()  # upsert kept one row per key
+
+
+def test_model_udf_over_struct(spark):
+    from featurewright.operators.models import score_struct
+
+    class _LinearModel:  # defined locally: shipped to the workers by value
+        """A plain Python model: y = 2 * a - b + 1."""
+
+        def predict(self, X):
+            return 2 * X["a"] - X["b"] + 1
+
+    df = spark.createDataFrame([(1, 1.0, 0.5), (2, 3.0, 1.0)], "k int, a double, b double")
+    out = {r["k"]: r["prediction"] for r in score_struct(df, _LinearModel().predict, ["a", "b"]).collect()}
+    assert out == {1: 2.5, 2: 6.0}
