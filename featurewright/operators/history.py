@@ -14,7 +14,7 @@ from featurewright.functions.scalar import json_map, match_any
 from featurewright.functions.time import epoch_micros
 from featurewright.operators.asof import interval_micros
 from featurewright.operators.scan import row_index
-from featurewright.sources.tables import _bound
+from featurewright.sources.tables import ts_literal
 
 
 # ---------------------------------------------------------------- small verbs
@@ -165,7 +165,7 @@ def run_snapshot(
         "run_id", "experiment_id", "run_name", "alias", "model_name", "version",
         F.date_format(created, fmt).alias("created_timestamp"),
         F.date_format(updated, fmt).alias("last_updated_timestamp"),
-        _bound(as_of).alias("ingestion_time"),
+        ts_literal(as_of).alias("ingestion_time"),
         "metrics", "params",
         json_map(profile_json).alias("dataset_profile"),
         "dataset_source",

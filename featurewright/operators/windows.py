@@ -13,16 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurewright.sources.tables import _bound
+from featurewright.sources.tables import ts_literal
 
 
 def filter_by_ts(df: DataFrame, ts_col: str | None, start=None, end=None) -> DataFrame:
     """Keep ``start <= ts < end``; a missing or empty bound is no bound."""
     out = df
     if ts_col and start not in (None, ""):
-        out = out.where(F.col(ts_col) >= _bound(start))
+        out = out.where(F.col(ts_col) >= ts_literal(start))
     if ts_col and end not in (None, ""):
-        out = out.where(F.col(ts_col) < _bound(end))
+        out = out.where(F.col(ts_col) < ts_literal(end))
     return out
 
 

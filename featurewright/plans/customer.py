@@ -25,7 +25,7 @@ from featurewright.functions.time import plus_months
 from featurewright.operators.joins import assemble, events_between, events_until
 from featurewright.operators.scan import surrogate_id
 from featurewright.session import materialize
-from featurewright.sources.tables import _bound, scan
+from featurewright.sources.tables import ts_literal, scan
 
 KEY = "ContactCode"
 
@@ -172,7 +172,7 @@ def customer_features(
 
     out = assemble(c, [rd, pra, ssa], [KEY])
     derived = {
-        "repurchase_window_passed": flag(F.col("repurchase_end_date") < _bound(cfg.as_of)),
+        "repurchase_window_passed": flag(F.col("repurchase_end_date") < ts_literal(cfg.as_of)),
         "repurchase_flag": flag(F.col("hi_repurchases") >= 1),
         "first_purchase_made": flag(F.col("first_hi_purchase_date").isNotNull()),
         "lifetime_value": trunc_nullable_int("lifetime_value"),

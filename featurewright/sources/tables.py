@@ -34,7 +34,8 @@ def read_sql(spark: SparkSession, query: str) -> DataFrame:
     return spark.sql(query)
 
 
-def _bound(value) -> Column:
+def ts_literal(value) -> Column:
+    """A bound for a timestamp column: Column as is, date/datetime as a literal, text as TIMESTAMP_NTZ."""
     if isinstance(value, Column):
         return value
     if isinstance(value, (_dt.date, _dt.datetime)):
@@ -59,7 +60,7 @@ def scan(
     if entity_col is not None and entity is not None:
         out = out.where(F.col(entity_col) == F.lit(entity))
     if ts_col is not None and since not in (None, ""):
-        out = out.where(F.col(ts_col) >= _bound(since))
+        out = out.where(F.col(ts_col) >= ts_literal(since))
     if columns is not None:
         out = out.select(*columns)
     return out
