@@ -76,3 +76,28 @@ def j5_asof_embargo(spark, sf_dir):
     lk = Lookup(feats, ["mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"],
                 ["user_id"], "rp", table_key=["zip"], table_ts="ts")
     return rounded(asof_lookup(base, lk, embargo="15 minutes").drop("rp"))
+
+
+@query(
+    "J5_asof_lookup_single_hot_key",
+    f"""
+    WITH d AS (
+      SELECT w_end AS ts, CAST(count(*) AS INTEGER) AS n_events_30m
+      FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS w_end FROM events)
+      GROUP BY w_end)
+    SELECT e.event_id, e.ts, d.n_events_30m
+    FROM (SELECT event_id, ts, 0 AS k FROM events) e
+    ASOF LEFT JOIN (SELECT 0 AS k, * FROM d) d2 ON e.k = d2.k AND e.ts >= d2.ts
+    LEFT JOIN d ON d.ts = d2.ts
+    """,
+)
+def j5_asof_hot_key(spark, sf_dir):
+    """J5 under total skew: one key holds every row; nested buckets keep every window small."""
+    from featurewright.operators.windows import tumbling
+
+    ev = trips(spark, sf_dir).select("event_id", "ts", F.lit(0).alias("k"))
+    counts = tumbling(ev, ["k"], "ts", "30 minutes", [F.count(F.lit(1)).cast("int").alias("n_events_30m")])
+    feats = counts.select("k", F.col("window.end").alias("ts"), "n_events_30m")
+    lk = Lookup(feats, ["n_events_30m"], ["k"], "ts")
+    out = asof_lookup(ev, lk, bucket=("7 days", "1 day", "1 hour"))
+    return out.select("event_id", "ts", "n_events_30m")
