@@ -92,12 +92,12 @@ def j5_asof_embargo(spark, sf_dir):
     """,
 )
 def j5_asof_hot_key(spark, sf_dir):
-    """J5 under total skew: one key holds every row; nested buckets keep every window small."""
+    """J5 under total skew: one key holds every row; "auto" picks nested buckets that keep windows small."""
     from featurewright.operators.windows import tumbling
 
     ev = trips(spark, sf_dir).select("event_id", "ts", F.lit(0).alias("k"))
     counts = tumbling(ev, ["k"], "ts", "30 minutes", [F.count(F.lit(1)).cast("int").alias("n_events_30m")])
     feats = counts.select("k", F.col("window.end").alias("ts"), "n_events_30m")
     lk = Lookup(feats, ["n_events_30m"], ["k"], "ts")
-    out = asof_lookup(ev, lk, bucket=("7 days", "1 day", "1 hour"))
+    out = asof_lookup(ev, lk, bucket="auto")
     return out.select("event_id", "ts", "n_events_30m")
