@@ -25,10 +25,16 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 _PID_SHIFT = 1 << 33  # monotonically_increasing_id = (partition << 33) + row in partition
 
 
-def _parts(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _ranged(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None) -> DataFrame:
+    """Range-partition and sort on ``order``.
+
+    Without an explicit count the range shuffle starts at
+    ``spark.sql.shuffle.partitions`` and AQE may coalesce it to the data size;
+    the numbering below reads the partition ids after coalescing, so it stays
+    consistent either way.
+    """
+    ranged = df.repartitionByRange(int(num_partitions), *order) if num_partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def row_index(
@@ -44,8 +50,7 @@ def row_index(
     whole order get distinct, arbitrary numbers (give a unique order for
     reproducible ids).
     """
-    n = _parts(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, num_partitions)
     tagged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__mid", F.monotonically_increasing_id()
     ).persist(StorageLevel.MEMORY_AND_DISK)
@@ -81,8 +86,7 @@ def prefix_sums(
     order.  The in-partition scan is a vectorised pandas ``cumsum`` per Arrow
     batch; the partition carry comes from one row per partition.
     """
-    n = _parts(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, num_partitions)
     schema = StructType(
         list(ranged.schema.fields)
         + [StructField("__pid", LongType())]
