@@ -61,3 +61,14 @@ def test_auc_brute_force(spark):
     neg = [s for y, s in rows if y == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert abs(got - want) < 1e-12
+
+
+def test_evaluate_regression_with_custom_metric(spark):
+    from featurewright.operators.metrics import evaluate_regression, squared_diff_plus_one_col
+
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (5.0, 4.0)], "p double, y double")
+    m = evaluate_regression(df, "p", "y", {"squared_diff_plus_one": squared_diff_plus_one_col}).collect()[0]
+    assert m["count"] == 3 and abs(m["mean_squared_error"] - 2 / 3) < 1e-12
+    assert m["max_error"] == 1.0 and abs(m["mean_absolute_error"] - 2 / 3) < 1e-12
+    assert abs(m["r2_score"] - (1 - (2 / 3) / (2 / 3))) < 1e-12
+    assert m["squared_diff_plus_one"] == 0.0 + 1.0 + 4.0
