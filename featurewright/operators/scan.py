@@ -6,10 +6,11 @@ numbered locally; per-partition counts (one row per partition - a proven size
 bound) give the offsets, which are broadcast back.  Same numbers, full
 parallelism.
 
-The numbered frame is persisted before its counts are taken: the counts and
-the numbering must come from one and the same range partitioning, and two
-separately planned branches may sample different range bounds.  A lost cached
-block is recomputed from the same shuffle, so the partitioning never changes.
+The numbered frame is checkpointed (reliably, in the shared checkpoint folder)
+before its counts are taken: the counts and the numbering must come from one
+and the same range partitioning, and two separately planned branches may
+sample different range bounds.  The checkpoint survives executor loss and
+leaves nothing cached behind.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from featurewright.session import materialize
+
 _PID_SHIFT = 1 << 33  # monotonically_increasing_id = (partition << 33) + row in partition
 
 
@@ -51,9 +53,9 @@ def row_index(
     reproducible ids).
     """
     ranged = _ranged(df, order, num_partitions)
-    tagged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
-        "__mid", F.monotonically_increasing_id()
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = materialize(
+        ranged.withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
+    )
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
@@ -109,7 +111,7 @@ def prefix_sums(
                 pdf[f"__loc_{c}"] = cum
             yield pdf
 
-    local = ranged.mapInPandas(scan, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    local = materialize(ranged.mapInPandas(scan, schema))
     totals = local.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
