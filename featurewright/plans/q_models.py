@@ -86,8 +86,8 @@ def s2_score_with_lookup(spark, sf_dir):
     ev = trips(spark, sf_dir)
     data = _trip_sets(spark, sf_dir)
     model = train_forest_regressor(data.where(F.col("split") == "train"), TRIP_FEATURES, "value", trees=20)
-    pickup = pickup_features(ev, "ts", zip_col="user_id", fare_col="value")
-    dropoff = dropoff_features(ev, "ts", zip_col="user_id")
+    pickup = materialize(pickup_features(ev, "ts", zip_col="user_id", fare_col="value"))
+    dropoff = materialize(dropoff_features(ev, "ts", zip_col="user_id"))
     base = round_trip_times(ev.where(F.col("event_type") == "purchase"), "ts", "ts").drop("value")
     return score_with_lookup(
         base, trip_lookups(pickup, dropoff, "user_id", "user_id"), model, "1", "2024-02-01 00:00:00",

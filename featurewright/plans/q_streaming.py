@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from featurewright.plans.q_trips import DROPOFF_SQL, PICKUP_SQL
 from featurewright.plans.registry import query, rounded
+from featurewright.session import materialize
 from featurewright.sources.tables import read_table
 from featurewright.streaming.features import (
     fresh_paths,
@@ -58,9 +59,10 @@ def r2_stream_score(spark, sf_dir):
     ev = trips(spark, sf_dir)
     data = _trip_sets(spark, sf_dir)
     model = train_forest_regressor(data.where(F.col("split") == "train"), TRIP_FEATURES, "value", trees=20)
+    # Static feature tables: materialized once, not recomputed in every micro-batch.
     lookups = trip_lookups(
-        pickup_features(ev, "ts", zip_col="user_id", fare_col="value"),
-        dropoff_features(ev, "ts", zip_col="user_id"), "user_id", "user_id",
+        materialize(pickup_features(ev, "ts", zip_col="user_id", fare_col="value")),
+        materialize(dropoff_features(ev, "ts", zip_col="user_id")), "user_id", "user_id",
     )
     src = round_trip_times(
         _events_stream(spark, sf_dir).where(F.col("event_type") == "purchase"), "ts", "ts"
