@@ -17,6 +17,7 @@ from featurewright.plans.customer import (
 from featurewright.plans.registry import query, r_sql, rounded
 from featurewright.sources.standins import (
     AS_OF,
+    HOT_CUSTOMER,
     REPURCHASE_WINDOW_YEARS,
     SALES_SINCE,
     appointments,
@@ -33,9 +34,13 @@ CFG = CustomerConfig(
 )
 
 # The reference's CTE chain over the stand-in tables, in DuckDB.
-CTES = f"""
+def ctes(customer: str = "o.o_custkey") -> str:
+    return _CTES_TEMPLATE.replace("__CUSTOMER__", customer)
+
+
+_CTES_TEMPLATE = f"""
 WITH sales AS (
-  SELECT o.o_custkey AS ContactCode, o.o_orderdate AS InvoiceDate,
+  SELECT __CUSTOMER__ AS ContactCode, o.o_orderdate AS InvoiceDate,
          CAST(l.l_extendedprice * (1 - l.l_discount) AS DECIMAL(18,4)) AS NetAmountExclVAT,
          CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS IsHI,
          CASE WHEN o.o_orderstatus <> 'P' THEN 1 ELSE 0 END AS IsSold,
@@ -43,7 +48,7 @@ WITH sales AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE o.o_orderdate >= TIMESTAMP '{SALES_SINCE}'
 ), appointments AS (
-  SELECT CAST(l.l_shipdate AS DATE) AS Date, o.o_custkey AS ContactCode,
+  SELECT CAST(l.l_shipdate AS DATE) AS Date, __CUSTOMER__ AS ContactCode,
          l.l_linestatus = 'F' AS Attended, l.l_quantity AS Duration, l.l_linestatus = 'O' AS NoShow
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE CAST(l.l_shipdate AS DATE) >= DATE '{SALES_SINCE}'
@@ -93,8 +98,11 @@ WITH sales AS (
 """
 
 
-def _final(agg: str) -> str:
-    return CTES + f"""
+CTES = ctes()
+
+
+def _final(agg: str, customer: str = "o.o_custkey") -> str:
+    return ctes(customer) + f"""
 SELECT cfb.ContactCode, cfb.CountryCode, {r_sql('cfb.AccountBalance')} AS AccountBalance,
        replace(cfb.Segment, ' ', '_') AS Segment, cfb.TerritoryCode,
        rd.first_hi_purchase_date, rd.repurchase_start_date, rd.repurchase_end_date,
@@ -191,3 +199,18 @@ def a7_sales_summary(spark, sf_dir):
     """A7 + J3: repurchase days and lifetime value, corrected (no fan-out)."""
     pre, rd = _pre_and_dates(spark, sf_dir)
     return rounded(sales_summary(in_window_sales(pre, rd)))
+
+
+_HOT_SQL = f"CASE WHEN o.o_orderstatus = 'F' THEN {HOT_CUSTOMER} ELSE o.o_custkey END"
+
+
+@query("C1_customer_features_hot_customer", _final("sales_agg", _HOT_SQL))
+def c1_customer_features_hot(spark, sf_dir):
+    """C1 under skew: one customer holds every finished order (about a third of all rows).
+
+    Sales collapse to (customer, instant) on the map side before any shuffle,
+    so the hot customer reaches the joins as its distinct order dates only.
+    """
+    return rounded(customer_features(
+        sales(spark, sf_dir, hot=True), appointments(spark, sf_dir, hot=True), contacts(spark, sf_dir), CFG
+    ))

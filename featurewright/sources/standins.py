@@ -35,8 +35,22 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales lines: one row per lineitem, keyed by the ordering customer."""
+# The skew scenario: every finished order ('F', about a third of all orders)
+# is booked to this one customer.
+HOT_CUSTOMER = 1
+
+
+def _customer(hot: bool):
+    key = F.col("o_custkey")
+    return F.when(F.col("o_orderstatus") == "F", F.lit(HOT_CUSTOMER).cast("bigint")).otherwise(key) if hot else key
+
+
+def sales(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """Sales lines: one row per lineitem, keyed by the ordering customer.
+
+    ``hot=True`` books every finished order to one customer, so a single key
+    holds about a third of all rows (the skew scenario).
+    """
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
@@ -44,7 +58,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag"
     )
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("ContactCode"),
+        _customer(hot).alias("ContactCode"),
         F.col("o_orderdate").alias("InvoiceDate"),
         # Money as an exact decimal: price and discount have two places each.
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("NetAmountExclVAT"),
@@ -55,14 +69,14 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def appointments(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """Appointments: one row per lineitem ship date of the ordering customer."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_shipdate", "l_quantity", "l_linestatus"
     )
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("ContactCode"),
+        _customer(hot).alias("ContactCode"),
         F.col("l_shipdate").alias("Date"),
         F.col("l_quantity").alias("Duration"),
         (F.col("l_linestatus") == "F").alias("Attended"),
