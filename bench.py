@@ -30,6 +30,8 @@ HEADLINE = [
     "C5_W1_scd2_merge",
     "W4_champion_history",
     "A14_roc_auc_ovr",
+    "C1_customer_features_hot_customer",
+    "J5_asof_lookup_single_hot_key",
 ]
 
 
