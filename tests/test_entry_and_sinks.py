@@ -50,3 +50,40 @@ def test_split_roundtrip(spark):
     df = spark.range(100).withColumn("split", F.when(F.col("id") < 30, "test").otherwise("train"))
     sinks.write_split(df, root)
     assert sinks.load_split(spark, root, "test").count() == 30
+
+
+def test_feature_store_facade(spark):
+    import datetime as dt
+
+    from featurewright.operators.asof import Lookup, training_set
+    from featurewright.plans.feature_store import FeatureLookup, FeatureStore
+
+    fs = FeatureStore(spark)
+    t0 = dt.datetime(2024, 1, 1)
+    feats = spark.createDataFrame(
+        [(1, t0, "2024-01", 1.0), (1, t0 + dt.timedelta(hours=2), "2024-01", 2.0), (2, t0, "2024-01", 5.0)],
+        "zip bigint, ts timestamp_ntz, yyyy_mm string, f double",
+    )
+    name = f"fw_test_db.fs_{os.getpid()}"
+    assert fs.create_table(name, ["zip"], feats, timestamp_keys=["ts"], partition_columns=["yyyy_mm"])
+    fs.write_table(name, spark.createDataFrame([(2, t0, "2024-01", 6.0)], feats.schema), mode="merge")
+    base = spark.createDataFrame([(10, 1, t0 + dt.timedelta(hours=3), 0.5), (11, 2, t0 + dt.timedelta(hours=1), 0.7)],
+                                 "id bigint, pickup_zip bigint, t timestamp_ntz, label double")
+    got = fs.create_training_set(base, [FeatureLookup(name, ["f"], ["pickup_zip"], "t")], label="label",
+                                 exclude_columns=["t"]).load_df()
+    assert {r["id"]: r["f"] for r in got.collect()} == {10: 2.0, 11: 6.0}
+    assert "t" not in got.columns
+    want = training_set(base, [Lookup(fs.read_table(name), ["f"], ["pickup_zip"], "t", ["zip"], "ts")],
+                        label="label", exclude_columns=["t"])
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+
+
+def test_feature_store_key_only_lookup(spark):
+    from featurewright.plans.feature_store import FeatureLookup, FeatureStore
+
+    fs = FeatureStore(spark)
+    name = f"fw_test_db.cust_{os.getpid()}"
+    fs.create_table(name, ["ContactCode"], spark.createDataFrame([(1, 3.0), (2, 4.0)], "ContactCode bigint, x double"))
+    base = spark.createDataFrame([(1, 1), (3, 3)], "cid bigint, y int")
+    got = fs.create_training_set(base, [FeatureLookup(name, ["x"], ["cid"])], label="y").load_df()
+    assert {r["cid"]: r["x"] for r in got.collect()} == {1: 3.0, 3: None}  # unknown key -> null
