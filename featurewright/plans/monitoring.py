@@ -109,3 +109,65 @@ def metric_violated(
         keys = []
     fired = (F.col("__n_over") >= num_violation_windows) & (F.col("__latest") > F.lit(threshold))
     return agg.select(*keys, F.when(fired, F.lit(1)).otherwise(F.lit(0)).alias("query_result"))
+
+
+class QualityMonitor:
+    """The inference-log monitor's call shape on catalog tables (A17/M1 + M2).
+
+    ``refresh()`` writes ``<table>_profile_metrics`` - one grouping-sets
+    aggregate per granularity.  With ``since`` only windows starting at or
+    after it are recomputed (the log is pruned by the time filter) and the
+    older windows are kept, so a daily refresh reads one day of log, not all
+    of it.  ``violated()`` runs the retraining check on the stored profile.
+    """
+
+    def __init__(self, spark, table_name: str, model_id_col: str, prediction_col: str, label_col: str,
+                 timestamp_col: str, granularities=("1 day",), output_table: str | None = None):
+        self.spark = spark
+        self.table_name = table_name
+        self.cols = (timestamp_col, model_id_col, prediction_col, label_col)
+        self.granularities = tuple(granularities)
+        self.output_table = output_table or f"{table_name}_profile_metrics"
+
+    def profile(self, since: str | None = None) -> DataFrame:
+        from functools import reduce
+
+        from featurewright.operators.windows import filter_by_ts
+
+        ts, model, pred, label = self.cols
+        log = filter_by_ts(self.spark.table(self.table_name), ts, since, None)
+        parts = [quality_profile(log, ts, model, pred, label, g) for g in self.granularities]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    def _aligned(self, since: str) -> str:
+        """``since`` floored to a window start of the coarsest granularity (no window is split)."""
+        import datetime as dt
+
+        from featurewright.operators.asof import interval_micros
+
+        width = max(interval_micros(g) for g in self.granularities)
+        t = dt.datetime.fromisoformat(str(since))
+        us = int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+        start = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us - us % width)
+        return start.isoformat(sep=" ")
+
+    def refresh(self, since: str | None = None) -> None:
+        from featurewright.session import materialize
+        from featurewright.sources.sinks import overwrite_table, table_exists
+        from featurewright.sources.tables import ts_literal
+
+        if since is not None:
+            since = self._aligned(since)
+        fresh = self.profile(since)
+        if since is not None and table_exists(self.spark, self.output_table):
+            kept = self.spark.table(self.output_table).where(F.col("window.start") < ts_literal(since))
+            fresh = kept.unionByName(fresh)
+        overwrite_table(materialize(fresh), self.output_table)
+
+    def violated(self, metric: str, threshold: float, num_evaluation_windows: int = 5,
+                 num_violation_windows: int = 2, granularity: str | None = None,
+                 per_model: bool = False) -> DataFrame:
+        prof = self.spark.table(self.output_table)
+        g = granularity or self.granularities[0]
+        prof = prof.where(F.col("granularity") == g)
+        return metric_violated(prof, metric, threshold, num_evaluation_windows, num_violation_windows, per_model)
