@@ -181,16 +181,31 @@ def metrics_long(wide: DataFrame, names: Sequence[str], keys: Sequence[str] = ()
     )
 
 
-def check_thresholds(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """M3: metric (metric, value) joined to (metric, threshold, higher_is_better) -> pass flag.
+def check_thresholds(metrics: DataFrame, thresholds: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
+    """M3: (metric, value) joined to (metric, threshold, higher_is_better[, min_absolute_change,
+    min_relative_change]) -> pass flag.
 
     ``higher_is_better`` means value >= threshold passes, else value <= threshold.
-    A metric without a value fails.
+    With a ``baseline`` (metric, value) frame, optional columns
+    ``min_absolute_change`` / ``min_relative_change`` also require the candidate
+    to improve on the baseline by at least that amount / fraction (in the
+    metric's better direction).  A metric without a value fails.
     """
     j = thresholds.join(metrics, "metric", "left")
     ok = F.when(F.col("higher_is_better"), F.col("value") >= F.col("threshold")).otherwise(
         F.col("value") <= F.col("threshold")
     )
+    extra = [c for c in ("min_absolute_change", "min_relative_change") if c in thresholds.columns]
+    if baseline is not None and extra:
+        j = j.join(baseline.select("metric", F.col("value").alias("baseline_value")), "metric", "left")
+        gain = F.when(F.col("higher_is_better"), F.col("value") - F.col("baseline_value")).otherwise(
+            F.col("baseline_value") - F.col("value")
+        )
+        if "min_absolute_change" in extra:
+            ok = ok & (F.col("min_absolute_change").isNull() | (gain >= F.col("min_absolute_change")))
+        if "min_relative_change" in extra:
+            rel = _div(gain, F.nullif(F.abs(F.col("baseline_value")), F.lit(0.0)))
+            ok = ok & (F.col("min_relative_change").isNull() | (rel >= F.col("min_relative_change")))
     return j.select("metric", "value", "threshold", "higher_is_better",
                     F.coalesce(ok, F.lit(False)).alias("passed"))
 

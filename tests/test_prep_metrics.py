@@ -72,3 +72,19 @@ def test_evaluate_regression_with_custom_metric(spark):
     assert m["max_error"] == 1.0 and abs(m["mean_absolute_error"] - 2 / 3) < 1e-12
     assert abs(m["r2_score"] - (1 - (2 / 3) / (2 / 3))) < 1e-12
     assert m["squared_diff_plus_one"] == 0.0 + 1.0 + 4.0
+
+
+def test_check_thresholds_with_baseline(spark):
+    from featurewright.operators.metrics import check_thresholds
+
+    cand = spark.createDataFrame([("mse", 400.0), ("r2", 0.9)], "metric string, value double")
+    base = spark.createDataFrame([("mse", 410.0), ("r2", 0.8)], "metric string, value double")
+    th = spark.createDataFrame(
+        [("mse", 500.0, False, 20.0, None), ("r2", 0.8, True, None, 0.1)],
+        "metric string, threshold double, higher_is_better boolean, min_absolute_change double, "
+        "min_relative_change double",
+    )
+    got = {r["metric"]: r["passed"] for r in check_thresholds(cand, th, base).collect()}
+    assert got == {"mse": False, "r2": True}  # mse improved by 10 < 20; r2 by 12.5 % >= 10 %
+    plain = {r["metric"]: r["passed"] for r in check_thresholds(cand, th).collect()}
+    assert plain == {"mse": True, "r2": True}
