@@ -66,6 +66,26 @@ def scan(
     return out
 
 
+def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> str:
+    """IO4 helper: infer the listing CSV schema once and return it as JSON text.
+
+    Store the text next to the job; later runs pass ``schema_from_json(text)``
+    so production reads never pay the inference pass again.
+    """
+    df = (
+        spark.read.option("header", "true").option("multiLine", "true").option("quote", '"')
+        .option("escape", '"').option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
+        .csv(path)
+    )
+    return df.schema.json()
+
+
+def schema_from_json(text: str) -> StructType:
+    import json
+
+    return StructType.fromJson(json.loads(text))
+
+
 def read_listing_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:

@@ -104,3 +104,15 @@ def test_model_udf_over_struct(spark):
     df = spark.createDataFrame([(1, 1.0, 0.5), (2, 3.0, 1.0)], "k int, a double, b double")
     out = {r["k"]: r["prediction"] for r in score_struct(df, _LinearModel().predict, ["a", "b"]).collect()}
     assert out == {1: 2.5, 2: 6.0}
+
+
+def test_csv_schema_inferred_once(spark):
+    from featurewright.sources.tables import infer_csv_schema, read_listing_csv, schema_from_json
+
+    path = scratch_path(spark, "csv")
+    df = spark.createDataFrame([(1, 'a "quoted"\nline', 2.5), (2, "plain", 3.0)], "id int, txt string, v double")
+    df.write.option("header", "true").option("quote", '"').option("escape", '"').csv(path)
+    text = infer_csv_schema(spark, path)
+    back = read_listing_csv(spark, path, schema=schema_from_json(text))
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["int", "string", "double"]
+    assert sorted(back.collect()) == sorted(df.collect())
