@@ -112,8 +112,9 @@ def roc_auc_ovr(
     )
     ps = prefix_sums(g, ["__c", "__s"], ["neg"])
     # A global prefix over (class, score); subtract each class's starting offset.
+    # One row per class: AQE broadcasts it after measuring its size (no hint).
     start = ps.groupBy("__c").agg(F.min("before_neg").alias("__start"))
-    within = ps.join(F.broadcast(start), "__c").withColumn("below", F.col("before_neg") - F.col("__start"))
+    within = ps.join(start, "__c").withColumn("below", F.col("before_neg") - F.col("__start"))
     return within.groupBy(F.col("__c").alias("class")).agg(
         _div(F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))),
              F.sum("pos") * F.sum("neg")).alias("auc")

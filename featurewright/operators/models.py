@@ -25,14 +25,18 @@ from featurewright.operators.history import stamp
 
 
 def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    """``class_weight='balanced'``: n / (k * n_class), from one grouped count (k rows, broadcast)."""
+    """``class_weight='balanced'``: n / (k * n_class), from one grouped count (k rows).
+
+    No broadcast hint: the class table is tiny in practice, but its size is
+    the label's cardinality, so AQE decides at runtime from the measured size.
+    """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     everything = Window.partitionBy()  # over the k class rows only
     w = counts.select(
         label,
         (F.sum("__nc").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("__nc"))).alias(weight_col),
     )
-    return df.join(F.broadcast(w), label)
+    return df.join(w, label)
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
