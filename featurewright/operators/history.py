@@ -73,24 +73,39 @@ def latest_version(models: DataFrame, name_col: str = "model_name", version_col:
 
 
 def running_max_before(
-    df: DataFrame, keys: Sequence[str], order_ts: str, tie: str, value: str, bucket: str = "1 day"
+    df: DataFrame, keys: Sequence[str], order_ts: str, tie: str, value: str,
+    bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
     """Max of ``value`` over all earlier rows of the same key (exclusive), as ``prev_max``.
 
-    A per-key window would put a hot key into one task.  Instead rows are
-    bucketed by time: a window over (key, bucket) gives the in-bucket running
-    max, and a window over one row per (key, bucket) - bounded by the time
-    span, not the data - carries the max of all earlier buckets.
+    A per-key window would put a hot key into one task.  Rows are bucketed by
+    time instead (one width, a coarse-to-fine list, or ``"auto"`` - as for the
+    as-of lookup): a window over (key, finest bucket) gives the in-bucket
+    running max, and each level adds the max of earlier buckets inside its
+    parent bucket from one row per active bucket.  Max is associative, so the
+    levels combine with ``greatest``; every window is bounded by the ratio of
+    adjacent widths (the coarsest by span / width), not by the data.
     """
-    step = interval_micros(bucket)
-    b = df.withColumn("__b", F.floor(epoch_micros(order_ts) / F.lit(step)))
-    w_in = Window.partitionBy(*keys, "__b").orderBy(order_ts, tie).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("__in", F.max(value).over(w_in))
-    per_bucket = b.groupBy(*keys, "__b").agg(F.max(value).alias("__bmax"))
-    w_carry = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.withColumn("__carry", F.max("__bmax").over(w_carry)).drop("__bmax")
-    out = b.join(carry, [*keys, "__b"], "left")
-    return out.withColumn("prev_max", F.greatest("__in", "__carry")).drop("__b", "__in", "__carry")
+    from featurewright.operators.asof import _levels, auto_levels
+
+    if bucket == "auto":
+        units = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(order_ts).alias("__t"))
+        bucket = auto_levels(units, [f"__k{i}" for i in range(len(keys))])
+    widths = _levels(bucket)
+    bcols = [f"__b{i}" for i in range(len(widths))]
+    us = epoch_micros(order_ts)
+    b = df.withColumns({c: F.floor(us / F.lit(w)) for c, w in zip(bcols, widths)})
+    w_in = Window.partitionBy(*keys, bcols[-1]).orderBy(order_ts, tie).rowsBetween(Window.unboundedPreceding, -1)
+    out = b.withColumn("__in", F.max(value).over(w_in))
+    prev = F.col("__in")
+    for lvl in range(len(widths) - 1, -1, -1):
+        own, parent = bcols[: lvl + 1], bcols[:lvl]
+        per_bucket = b.groupBy(*keys, *own).agg(F.max(value).alias("__bmax"))
+        w_carry = Window.partitionBy(*keys, *parent).orderBy(own[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        carry = per_bucket.select(*keys, *own, F.max("__bmax").over(w_carry).alias(f"__carry{lvl}"))
+        out = out.join(carry, [*keys, *own], "left")
+        prev = F.greatest(prev, F.col(f"__carry{lvl}"))
+    return out.withColumn("prev_max", prev).drop(*bcols, "__in", *[f"__carry{i}" for i in range(len(widths))])
 
 
 def champion_history(
@@ -99,7 +114,7 @@ def champion_history(
     order_col: str = "created",
     run_col: str = "run_id",
     metric_col: str = "metric",
-    bucket: str = "1 day",
+    bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
     """Replay the promotion rule over a model's runs in time order.
 

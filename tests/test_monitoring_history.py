@@ -106,3 +106,25 @@ def test_quality_monitor_refresh_incremental(spark):
         assert again.count() == want.count() and again.exceptAll(want.select(*again.columns)).count() == 0
     got = mon.violated("root_mean_squared_error", 1.0).collect()[0]["query_result"]
     assert got == metric_violated(want, "root_mean_squared_error", 1.0).collect()[0]["query_result"]
+
+
+def test_champion_replay_bucket_levels_agree(spark):
+    rnd = random.Random(4)
+    rows = [(str(i), f"m{rnd.randint(0, 2)}", D + dt.timedelta(minutes=rnd.randint(0, 9 * 1440)), rnd.random())
+            for i in range(300)]
+    runs = spark.createDataFrame(rows, "run_id string, model_name string, created timestamp_ntz, metric double")
+    ref = {r["run_id"]: (r["is_champion"], r["challenger_run_id"]) for r in champion_history(runs).collect()}
+    for bucket in (("7 days", "1 day", "1 hour"), "auto", "1 hour"):
+        got = {r["run_id"]: (r["is_champion"], r["challenger_run_id"])
+               for r in champion_history(runs, bucket=bucket).collect()}
+        assert got == ref, bucket
+    # brute force for one model
+    for m in ("m0", "m1", "m2"):
+        seq = sorted([r for r in rows if r[1] == m], key=lambda r: (r[2], r[0]))
+        best = None
+        for run_id, _, _, metric in seq:
+            champ = best is None or metric > best[1]
+            assert ref[run_id][0] == int(champ)
+            if champ:
+                assert ref[run_id][1] == (run_id if best is None else best[0])
+                best = (run_id, metric)
