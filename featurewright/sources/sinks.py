@@ -102,9 +102,13 @@ def write_upsert(spark: SparkSession, name: str, updates: DataFrame) -> None:
 
 
 def refresh(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """IO8: truncate-and-load by position (the table keeps its schema)."""
-    spark.sql(f"TRUNCATE TABLE {name}")
-    df.write.insertInto(name, overwrite=True)
+    """IO8: truncate-and-load by position (the table keeps its schema).
+
+    The new rows are staged first and then written with insert-overwrite (which
+    replaces the old rows), so a frame derived from the table itself never
+    reads a table that was already emptied.
+    """
+    materialize(df).write.insertInto(name, overwrite=True)
 
 
 def rewrite(spark: SparkSession, name: str, df: DataFrame) -> None:

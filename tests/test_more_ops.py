@@ -116,3 +116,11 @@ def test_csv_schema_inferred_once(spark):
     back = read_listing_csv(spark, path, schema=schema_from_json(text))
     assert [f.dataType.simpleString() for f in back.schema.fields] == ["int", "string", "double"]
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_refresh_from_own_table(spark):
+    name = f"fw_test_db.refresh_{os.getpid()}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS fw_test_db")
+    spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double").write.saveAsTable(name)
+    sinks.refresh(spark, name, spark.table(name).withColumn("v", F.col("v") + 1))
+    assert sorted(r["v"] for r in spark.table(name).collect()) == [2.0, 3.0]
