@@ -93,3 +93,19 @@ def test_auto_buckets(spark):
     sparse = spark.createDataFrame([(1, T0 + dt.timedelta(days=d)) for d in range(0, 1096, 7)],
                                    "__k0 bigint, __t timestamp_ntz")
     assert auto_levels(units.unionByName(sparse), ["__k0"], target_rows=100) == ["1 hour", "1 minute"]
+
+
+def test_composite_key_and_rename(spark):
+    feats = spark.createDataFrame(
+        [(1, "a", T0, 1.0), (1, "b", T0, 2.0), (1, "a", T0 + dt.timedelta(hours=1), 3.0)],
+        "zip bigint, kind string, ts timestamp_ntz, f double",
+    )
+    base = spark.createDataFrame(
+        [(1, 1, "a", T0 + dt.timedelta(minutes=30)), (2, 1, "b", T0 + dt.timedelta(hours=2)),
+         (3, 1, "a", T0 + dt.timedelta(hours=2)), (4, 1, "c", T0 + dt.timedelta(hours=2))],
+        "id bigint, z bigint, k string, t timestamp_ntz",
+    )
+    lk = Lookup(feats, ["f"], ["z", "k"], "t", table_key=["zip", "kind"], table_ts="ts", rename={"f": "f_latest"})
+    out = asof_lookup(base, lk)
+    assert "f_latest" in out.columns and "f" not in out.columns
+    assert {r["id"]: r["f_latest"] for r in out.collect()} == {1: 1.0, 2: 2.0, 3: 3.0, 4: None}
