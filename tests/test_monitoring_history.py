@@ -128,3 +128,14 @@ def test_champion_replay_bucket_levels_agree(spark):
             if champ:
                 assert ref[run_id][1] == (run_id if best is None else best[0])
                 best = (run_id, metric)
+
+
+def test_current_aliases_after_replay(spark):
+    from featurewright.operators.history import current_aliases
+
+    runs = spark.createDataFrame(
+        [(str(i + 1), "m", D + dt.timedelta(days=i), v) for i, v in enumerate([0.5, 0.5, 0.7, 0.6, 0.8])],
+        "run_id string, model_name string, created timestamp_ntz, metric double",
+    )
+    got = {r["alias"]: r["run_id"] for r in current_aliases(champion_history(runs)).collect()}
+    assert got == {"Champion": "5", "Challenger": "3"}
