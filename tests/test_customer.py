@@ -66,3 +66,17 @@ def test_fanout_and_corrected(spark):
     assert fixed[2]["first_purchase_made"] == 0 and fixed[2]["lifetime_value"] is None
     assert fixed[2]["repurchase_flag"] == 0 and fixed[2]["repurchase_window_passed"] == 0
     assert sorted(r["id"] for r in fixed.values()) == [0, 1]
+
+
+def test_events_between_inclusive_edges(spark):
+    from featurewright.operators.joins import events_between, events_until
+
+    lo, hi = dt.datetime(2020, 7, 1), dt.datetime(2021, 1, 1)
+    us = dt.timedelta(microseconds=1)
+    ev = spark.createDataFrame([(1, lo - us), (1, lo), (1, hi), (1, hi + us), (2, lo)],
+                               "ContactCode bigint, t timestamp_ntz")
+    ref = spark.createDataFrame([(1, lo, hi)], "ContactCode bigint, lo timestamp_ntz, hi timestamp_ntz")
+    got = sorted(r["t"] for r in events_between(ev, ref, ["ContactCode"], "t", "lo", "hi").collect())
+    assert got == [lo, hi]
+    until = sorted(r["t"] for r in events_until(ev, ref, ["ContactCode"], "t", "lo").collect())
+    assert until == [lo - us, lo]
