@@ -139,3 +139,20 @@ def test_current_aliases_after_replay(spark):
     )
     got = {r["alias"]: r["run_id"] for r in current_aliases(champion_history(runs)).collect()}
     assert got == {"Champion": "5", "Challenger": "3"}
+
+
+def test_run_snapshot_columns(spark):
+    from featurewright.operators.history import run_snapshot
+
+    runs = spark.sql(
+        "SELECT 'r1' AS run_id, 'e1' AS experiment_id, 'n' AS run_name, 'Champion' AS alias, 'm' AS model_name, "
+        "'3' AS version, 1704067200123L AS created_ms, 1704067201123L AS updated_ms, "
+        "map('recall', 0.9D) AS metrics, map('depth', '3') AS params, "
+        "'{\"rows\": \"10\", \"cols\": \"4\"}' AS dataset_profile, 's3' AS dataset_source"
+    )
+    r = run_snapshot(runs, "2024-02-01 00:00:00").collect()[0]
+    assert r["created_timestamp"] == "2024-01-01 00:00:00.123000"
+    assert r["last_updated_timestamp"] == "2024-01-01 00:00:01.123000"
+    assert r["dataset_profile"] == {"rows": "10", "cols": "4"}
+    assert r["active_flag"] == "Y" and r["end_date"] is None and r["start_date"] == dt.date(2024, 1, 1)
+    assert r["ingestion_time"] == dt.datetime(2024, 2, 1)
