@@ -156,3 +156,15 @@ def test_run_snapshot_columns(spark):
     assert r["dataset_profile"] == {"rows": "10", "cols": "4"}
     assert r["active_flag"] == "Y" and r["end_date"] is None and r["start_date"] == dt.date(2024, 1, 1)
     assert r["ingestion_time"] == dt.datetime(2024, 2, 1)
+
+
+def test_latest_version_per_stage(spark):
+    from featurewright.operators.history import latest_version
+
+    models = spark.createDataFrame(
+        [("m", "2", "Production"), ("m", "10", "Staging"), ("m", "9", "Production"), ("n", "1", "Staging")],
+        "model_name string, version string, stage string",
+    )
+    assert {r["model_name"]: r["latest_version"] for r in latest_version(models).collect()} == {"m": 10, "n": 1}
+    prod = latest_version(models, stage_col="stage", stage="Production").collect()
+    assert [(r["model_name"], r["latest_version"]) for r in prod] == [("m", 9)]  # numeric, not string, max
