@@ -168,3 +168,11 @@ def test_latest_version_per_stage(spark):
     assert {r["model_name"]: r["latest_version"] for r in latest_version(models).collect()} == {"m": 10, "n": 1}
     prod = latest_version(models, stage_col="stage", stage="Production").collect()
     assert [(r["model_name"], r["latest_version"]) for r in prod] == [("m", 9)]  # numeric, not string, max
+
+
+def test_row_index_default_partitioning_matches_row_number(spark):
+    df = spark.range(20000).select((F.col("id") * 7919 % 20011).alias("a"))  # a permutation-like order key
+    got = row_index(df, ["a"], "id")  # no explicit count: AQE may coalesce the range shuffle
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("a")) - 1)
+    j = got.join(want, "a")
+    assert j.count() == 20000 and j.where("id != rn").count() == 0
