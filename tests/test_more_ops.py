@@ -124,3 +124,15 @@ def test_refresh_from_own_table(spark):
     spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double").write.saveAsTable(name)
     sinks.refresh(spark, name, spark.table(name).withColumn("v", F.col("v") + 1))
     assert sorted(r["v"] for r in spark.table(name).collect()) == [2.0, 3.0]
+
+
+def test_stack_by_position_and_by_name(spark):
+    from featurewright.operators.history import stack, stack_by_name
+
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(2, "y")], "key int, val string")
+    c = spark.createDataFrame([(3, "z")], "kk int, vv string")
+    s = stack([a, b, c])
+    assert s.columns == ["k", "v"] and sorted(s.collect()) == [(1, "x"), (2, "y"), (3, "z")]
+    n = stack_by_name(a, spark.createDataFrame([(4,)], "k int"))
+    assert sorted((r["k"], r["v"]) for r in n.collect()) == [(1, "x"), (4, None)]
