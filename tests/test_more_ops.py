@@ -136,3 +136,16 @@ def test_stack_by_position_and_by_name(spark):
     assert s.columns == ["k", "v"] and sorted(s.collect()) == [(1, "x"), (2, "y"), (3, "z")]
     n = stack_by_name(a, spark.createDataFrame([(4,)], "k int"))
     assert sorted((r["k"], r["v"]) for r in n.collect()) == [(1, "x"), (4, None)]
+
+
+def test_scalar_helpers(spark):
+    from featurewright.functions import json_map, match_any, squash_blanks, trunc_nullable_int
+
+    df = spark.createDataFrame([("cat_a", '{"k": "1"}', "a b c", 2.9), ("dog", None, None, None)],
+                               "name string, js string, s string, x double")
+    r = df.select(match_any("name", [" cat_ ", "", "bird"]).alias("m"), json_map("js").alias("j"),
+                  squash_blanks("s").alias("s"), trunc_nullable_int("x").alias("x")).collect()
+    assert [row["m"] for row in r] == [True, False]
+    assert r[0]["j"] == {"k": "1"} and r[1]["j"] is None
+    assert r[0]["s"] == "a_b_c" and r[1]["s"] is None  # null-safe, unlike the original lambda
+    assert r[0]["x"] == 2 and r[1]["x"] is None
