@@ -88,3 +88,13 @@ def test_check_thresholds_with_baseline(spark):
     assert got == {"mse": False, "r2": True}  # mse improved by 10 < 20; r2 by 12.5 % >= 10 %
     plain = {r["metric"]: r["passed"] for r in check_thresholds(cand, th).collect()}
     assert plain == {"mse": True, "r2": True}
+
+
+def test_confusion_and_distribution_known(spark):
+    from featurewright.operators.metrics import class_distribution, confusion_matrix
+
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)], "a int, p int")
+    cm = {(r["actual"], r["predicted"]): r["n"] for r in confusion_matrix(df, "a", "p").collect()}
+    assert cm == {(0, 0): 1, (0, 1): 1, (1, 1): 2, (2, 0): 1}
+    dist = {r["class"]: (r["n_predicted"], r["n_actual"]) for r in class_distribution(df, "a", "p").collect()}
+    assert dist == {0: (2, 2), 1: (3, 2), 2: (0, 1)}
