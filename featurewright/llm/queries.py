@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurewright.llm import exact_dedup, language_id, mixing, packing, token_counts, topk_search
+from featurewright.llm import exact_dedup, language_id, mixing, near_dedup, packing, token_counts, topk_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         packing.op1_pack_sum_of_squares,
+        near_dedup.op3_minhash_tensored,
         mixing.op4_mix_sources,
         token_counts.op7_token_counts,
         language_id.op8_language_id,
