@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurewright.llm import exact_dedup, language_id, mixing, near_dedup, packing, token_counts, topk_search
+from featurewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, secrets, token_counts, topk_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,8 +14,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         packing.op1_pack_sum_of_squares,
+        secrets.op2_secret_battery,
         near_dedup.op3_minhash_tensored,
         mixing.op4_mix_sources,
+        line_dedup.op6_line_dedup,
         token_counts.op7_token_counts,
         language_id.op8_language_id,
         topk_search.op9_topk_search,
@@ -24,4 +26,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": mixing.SQL, "op9_topk_search": topk_search.SQL, "op10_exact_dedup": exact_dedup.SQL}
+    return {"op4_mix_sources": mixing.SQL, "op6_line_dedup": line_dedup.SQL, "op9_topk_search": topk_search.SQL, "op10_exact_dedup": exact_dedup.SQL}
