@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurewright.session import checkpoint_dir
@@ -27,6 +28,20 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def new_value(column: str, text_col: str, text: Column, changed: Column, old: Column) -> Column:
+    """A document column's value beside a text that may have changed: ``n_chars`` follows it, others stay."""
+    if column == text_col:
+        return text
+    return F.when(changed, F.length(text).cast("long")).otherwise(old) if column == "n_chars" else old
+
+
+def table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read again."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -140,8 +140,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
     return Model({k: v for k, v in samples.items() if v})
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score at the end; only the text is looked at."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``docs`` with the prediction and its score at the end; only the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -159,10 +159,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 for r in np.flatnonzero(letter[lo:hi]):
                     pred[lo + r] = m.langs[best[r]]
                     score[lo + r] = 1 - two[r, 0] / max(1, two[r, 1]) if len(m.langs) > 1 else 1.0
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, pred_col, score_col])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    return docs.mapInArrow(run, ", ".join([*fields, f"`{pred_col}` string", f"`{score_col}` double"]))
 
 
 def held_out(key: str = "doc_id"):
@@ -176,5 +176,18 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", F.coalesce(kept, F.lit(False)).alias("held_out"), "text"), model).drop("text")
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """``docs`` without those whose language can't be told (no text, or no letter in it)."""
+    kept = held_out()
+    model = train(docs.filter(~F.coalesce(kept, F.lit(False))))
+    pred, score = "lang_pred", "score"
+    while {pred, score} & set(docs.columns):
+        pred, score = f"_{pred}", f"_{score}"
+    known = predict(docs, model, pred_col=pred, score_col=score)
+    # without any labelled text nothing can be told, so nothing is rejected for it
+    reject = (F.col(pred) == UNDETERMINED) if model.langs else ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return known.filter(~reject).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))

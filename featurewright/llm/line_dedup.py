@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, small_side, staged
+from featurewright.llm.common import documents, new_value, small_side, staged
 from featurewright.llm.mixing import n_words
 
 MIN_WORDS = 20
@@ -125,6 +125,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the texts that are left; documents that lose every line go, ``n_chars`` follows a changed text."""
+    out = dedup_lines(docs, id_col, text_col, min_words).filter("n_removed = 0 OR n_removed < n_lines")
+    return out.select(*[new_value(c, text_col, F.col("new_text"), F.col("n_removed") > 0, F.col("doc")[c]).alias(c) for c in docs.columns])
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select(
         "doc.doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("new_text", F.lit("")), 256).alias("kept_sha256")

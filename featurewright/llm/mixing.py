@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, small_side, staged
+from featurewright.llm.common import documents, new_value, small_side, staged
 from featurewright.operators.scan import row_index
 
 MAX_EPOCHS = 3
@@ -132,7 +132,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.when(extra > 0, F.array(cut_text)).otherwise(F.array().cast("array<string>")),
     )
     out = row.withColumn("__new", F.explode(texts))
-    return out.select(*[(F.col("__new") if c == text_col else F.col("__row")[c]).alias(c) for c in cols])
+    changed = ~F.col("__new").eqNullSafe(F.col("__text"))
+    return out.select(*[new_value(c, text_col, F.col("__new"), changed, F.col("__row")[c]).alias(c) for c in cols])
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
