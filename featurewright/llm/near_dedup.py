@@ -92,10 +92,9 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray,
         if b - a >= k:
             s = np.unique(h[a:b - k + 1])
         elif b > a:  # the whole short sequence is one shingle
-            one = w[a] + np.uint64(b - a)
-            for x in w[a + 1:b]:
-                one = _mix(np.array([one]))[0] + x
-            s = np.array([one], np.uint64)
+            s = w[a:a + 1] + np.uint64(b - a)
+            for x in range(a + 1, b):
+                s = _mix(s) + w[x:x + 1]
         else:
             continue
         sets.append(s)
