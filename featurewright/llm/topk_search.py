@@ -3,23 +3,22 @@
 A vector's dimensions are dealt over ``LISTS`` lists (the "nodes"); a score is
 the sum of its partial scores in the lists.
 
-1. Each list gives its local top k partial scores per query, and its smallest.
-   Sums of what is known, the smallest standing in for what is not, are lower
-   bounds; the k-th best of them, tau, is a safe cutoff.
+1. Each list gives its ``LOCAL`` best partial scores per query; their full
+   scores are looked up, and the k-th best of them, tau, is a safe cutoff.
 2. Whoever reaches tau has a partial score of tau / LISTS or more in some list:
-   all such entries are collected, the cutoff going out with the query blocks.
-3. An entry's known parts plus tau / LISTS for the unknown bound its score from
-   above; those that can reach the best k lower bounds are scored exactly.
+   tau goes out with the query blocks and all such entries are collected.
+3. The parts that an entry lacks are resolved exactly, and the best k stay.
 
 Rows are dealt in blocks: query blocks against candidate blocks, each pair one
-bounded matrix product in one task.  Equal vectors are scored once: of each
-distinct vector the k + 1 smallest ids stay (a query needs k besides itself),
-picked before the shuffle, so a vector that a third of the rows share is no
-hot key.
+bounded matrix product in one task, which sends its best k + 1 only.  Equal
+vectors are scored once: of each distinct vector the k + 1 smallest ids stay (a
+query needs k besides itself), picked before the shuffle, so a vector that a
+third of the rows share is no hot key.
 
 Null vectors, vectors with null, NaN or infinite components, and null ids take
 no part; vectors of other lengths than the query's are not comparable with it
-and are not returned for it.  Repeated rows (same id) count as they are.
+and are not returned for it.  Repeated rows (same id and vector) count as they
+are among the candidates, once among the queries.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from featurewright.llm.common import staged, table_parts
 
-K, LISTS, SCALE, QUERY_BLOCK, CANDIDATE_BLOCK = 5, 2, 256, 512, 8192
+K, LISTS, LOCAL, SCALE, QUERY_BLOCK, CANDIDATE_BLOCK = 5, 2, 32, 256, 512, 8192
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -42,7 +41,10 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE)
 
 
 def _partials(q: np.ndarray, c: np.ndarray, lists: int) -> np.ndarray:
-    """(list, query, candidate) partial inner products."""
+    """(list, query, candidate) partial inner products, exact."""
+    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    if bound < 2.0**53:  # sums are exact in doubles, which multiply faster
+        q, c = q.astype(np.float64), c.astype(np.float64)
     cuts = np.linspace(0, q.shape[1], lists + 1).astype(int)
     return np.stack([q[:, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:])])
 
@@ -51,11 +53,11 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.array(col.tolist(), np.int64).reshape(len(col), -1)
 
 
-def _top(p: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the k largest of each row."""
-    k = min(k, p.shape[1])
-    at = np.argpartition(-p, k - 1, axis=1)[:, :k]
-    return np.repeat(np.arange(len(p)), k), at.ravel()
+def _best(query_id, cid: np.ndarray, picked: np.ndarray, score: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best of the picked candidates by exact score, ties to the smaller id."""
+    at = np.flatnonzero(picked)
+    top = at[np.lexsort((cid[at], -score[at]))[:k]]
+    return pd.DataFrame({"query_id": query_id, "c": cid[top], "score": score[top].astype("int64")})
 
 
 def top_k(
@@ -81,62 +83,45 @@ def top_k(
         n = table_parts(queries_df.sparkSession)
         return both.repartition(n, *key).groupBy(*key).cogroup(cands.repartition(n, *key).groupBy(*key)).applyInPandas(fn, schema)
 
-    def gather(ql: pd.DataFrame, cl: pd.DataFrame) -> pd.DataFrame:
-        """Phase 1: local top lists and each list's smallest partial score (candidate null)."""
-        out = []
-        if len(ql) and len(cl):
-            p = _partials(_matrix(ql.v), _matrix(cl.v), LISTS)
-            qid, cid = ql.query_id.to_numpy(), cl.c.to_numpy()
-            for lst in range(LISTS):
-                r, c = _top(p[lst], k + 1)
-                out.append(pd.DataFrame({"query_id": qid[r], "list": lst, "c": cid[c], "part": p[lst][r, c], "low": p[lst].min(axis=1)[r]}))
-        return pd.concat(out) if out else pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "list", "c", "part", "low")})
-
-    local = staged(paired(gather, qs, "query_id bigint, list int, c bigint, part bigint, low bigint"))
-    low = local.groupBy("query_id", "list").agg(F.min("low").alias("low"))
-    lows = low.groupBy("query_id").agg(F.sum("low").alias("lows"))
-    # a candidate's known parts, the smallest standing in for unknown ones
-    known = (
-        local.join(low, ["query_id", "list"])
-        .groupBy("query_id", "c").agg(F.sum(local["part"] - low["low"]).alias("gain"))
-        .join(lows, "query_id").withColumn("bound", F.col("gain") + F.col("lows"))
-    )
+    def blockwise(pick):
+        """Per query of the block the best k + 1 of the candidates that ``pick`` takes from the partial scores."""
+        def run(ql: pd.DataFrame, cl: pd.DataFrame) -> pd.DataFrame:
+            out = [pd.DataFrame({x: pd.Series(dtype="int64") for x in ("query_id", "c", "score")})]
+            if len(ql) and len(cl):
+                q_, c_, qid, cid = _matrix(ql.v), _matrix(cl.v), ql.query_id.to_numpy(), cl.c.to_numpy()
+                for a in range(0, len(q_), 64):
+                    p = _partials(q_[a:a + 64], c_, LISTS)
+                    picked, score = pick(p, ql.iloc[a:a + 64]), p.sum(axis=0)
+                    out.extend(_best(qid[a + r], cid, picked[r], score[r], k + 1) for r in range(len(score)))
+            return pd.concat(out)
+
+        return run
+
+    def local_best(p: np.ndarray, _) -> np.ndarray:
+        n = min(LOCAL, p.shape[2])
+        picked = np.zeros(p.shape[1:], bool)
+        for part in p:
+            np.put_along_axis(picked, np.argpartition(-part, n - 1, axis=1)[:, :n], True, axis=1)
+        return picked
+
+    def enough(p: np.ndarray, ql: pd.DataFrame) -> np.ndarray:
+        tau = ql.tau.to_numpy(dtype="float64")[:, None]  # NaN: fewer than k are known, all are needed
+        return (p * LISTS >= tau).any(axis=0) | np.isnan(tau)
+
+    schema = "query_id bigint, c bigint, score bigint"
     members = cand.select("c", F.explode("ids").alias("vec_id"))
-    by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), "vec_id")
-    tau = (
-        known.join(members, "c").filter("vec_id != query_id")
-        .withColumn("n", F.row_number().over(by_bound)).filter(F.col("n") == k).select("query_id", F.col("bound").alias("tau"))
-    )
-    with_tau = staged(qs.join(tau, "query_id", "left"))
 
-    def collect(ql: pd.DataFrame, cl: pd.DataFrame) -> pd.DataFrame:
-        """Phase 2: entries with a partial score of tau / LISTS or more (all, for a query without tau)."""
-        cols = {x: [] for x in ("query_id", "c", "part", "unknown")}
-        if len(ql) and len(cl):
-            q_, c_ = _matrix(ql.v), _matrix(cl.v)
-            qid, cid = ql.query_id.to_numpy(), cl.c.to_numpy()
-            t = ql.tau.to_numpy(dtype="float64")
-            for a in range(0, len(q_), 64):
-                p = _partials(q_[a:a + 64], c_, LISTS)
-                cut = t[a:a + 64, None]
-                enough = (p * LISTS >= cut) | np.isnan(cut)
-                r, c = np.nonzero(enough.any(axis=0))
-                has = enough[:, r, c]
-                cols["query_id"].append(qid[a + r])
-                cols["c"].append(cid[c])
-                cols["part"].append(np.where(has, p[:, r, c], 0).sum(axis=0))
-                cols["unknown"].append((~has).sum(axis=0))
-        return pd.DataFrame({x: np.concatenate(v).astype("int64") if v else pd.Series(dtype="int64") for x, v in cols.items()})
-
-    entries = paired(collect, with_tau, "query_id bigint, c bigint, part bigint, unknown bigint")
-    # Phase 3: the bound from above, then exact scores
-    reach = entries.join(with_tau.select("query_id", "tau", F.col("v").alias("qv")), "query_id").filter(
-        F.col("tau").isNull() | (F.col("part") + F.col("unknown") * F.col("tau") / LISTS >= F.col("tau"))
+    def ranked(entries: DataFrame) -> DataFrame:
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        every = entries.join(members, "c").filter("vec_id <> query_id")
+        return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    # tau is handed on as a double: below 2^53 exactly, else rounded, and then one step lower stays safe
+    tau = ranked(paired(blockwise(local_best), qs, schema)).filter(F.col("rank") == k).select(
+        "query_id", F.when(F.abs("score") < 2**53, F.col("score").cast("double")).otherwise(F.col("score") * (1 - F.signum("score") * 1e-15)).alias("tau")
     )
-    product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
-    scored = reach.join(cand, "c").select("query_id", product.alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id != query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    with_tau = staged(qs.join(tau, "query_id", "left"))
+    return ranked(paired(blockwise(enough), with_tau, schema)).select("query_id", "rank", "vec_id", "score")
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
