@@ -9,8 +9,9 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
 1. One pass: set size, a 128-bit set fingerprint, A and B of each document
    (checkpoint; no text).  Equal sets become one node, so copies never meet.
 2. A sub-key that only one node has can form no table key; the others are
-   paired with B.  Each bucket of two or more nodes is a star on its smallest
-   node: edges grow with the members, not with their pairs.
+   paired with B.  Each bucket of two or more nodes is a star on one of them:
+   edges grow with the members, not with their pairs.  The top is the first in
+   a random order that differs between A's sub-keys.
 3. Edges whose set sizes allow the similarity are confirmed on the full word
    shingle sets; linked components come from min-labels with pointer jumping.
 4. Buckets that still hold several components: their pairs across components,
@@ -196,6 +197,26 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(check, "x bigint, y bigint"))
 
 
+def _across(halves: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs (x, y) that share a table key but no component, each pair once.
+
+    Per A sub-key the members outside its most frequent component meet the
+    others, so a large group that is one component already makes no pairs.
+    """
+    key = ["i", "ka"]
+    placed = staged(halves.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    counts = placed.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("many"))
+    mixed = counts.groupBy(*key).agg(F.max(F.struct("many", "comp"))["comp"].alias("major"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
+    left = placed.join(mixed, key)
+    minor = left.filter("comp <> major").select(*key, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
+    every = left.select(*[F.col(k).alias(f"y_{k}") for k in key], F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), "major")
+    first_shared = F.array_position(F.zip_with("ax", "ay", lambda p, q: p == q), True) == F.col("i") + 1
+    shares_b = F.exists(F.zip_with("bx", "by", lambda p, q: p == q), lambda same: same)
+    apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("cx") < F.col("cy")))
+    same_key = (F.col("i") == F.col("y_i")) & (F.col("ka") == F.col("y_ka"))
+    return minor.join(every, same_key & apart & first_shared & shares_b)
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = WORDS, percent: int = PERCENT, tables: int = TABLES, rows: int = ROWS,
@@ -210,27 +231,22 @@ def near_groups(
 
     a = nodes.select("node", "n", F.posexplode("a").alias("i", "ka"))
     shared = a.groupBy("i", "ka").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
-    halves = a.join(shared, ["i", "ka"]).join(nodes.select("node", "b"), "node")
-    keyed = staged(halves.select("node", "n", "i", "ka", F.posexplode("b").alias("j", "kb")))
+    halves = staged(a.join(shared, ["i", "ka"]).join(nodes.select("node", "a", "b"), "node"))
+    keyed = halves.select("node", "n", "i", "ka", F.posexplode("b").alias("j", "kb"))
     key = ["i", "ka", "j", "kb"]
-    stars = keyed.groupBy(*key).agg(F.min(F.struct("node", "n")).alias("top"), F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
-    members = staged(keyed.join(stars, key))
+    # another random order for each of A's sub-keys, so a document meets many tops of a large group
+    top = F.min(F.struct(F.xxhash64("node", "i").alias("order"), "node", "n")).alias("top")
+    stars = keyed.groupBy(*key).agg(top, F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    pair = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
     tried = staged(
-        members.select(F.col("top.node").alias("x"), F.col("node").alias("y"), F.col("top.n").alias("nx"), F.col("n").alias("ny"))
-        .filter("x <> y").filter(fits).select("x", "y").distinct()
+        keyed.join(stars, key).filter("node <> top.node")
+        .select(F.col("top.node").alias("x"), F.col("node").alias("y"), F.col("top.n").alias("nx"), F.col("n").alias("ny"))
+        .filter(fits).select(*pair).distinct()
     )
     links = _confirmed(tried, nodes, src, words, percent)
     comp = components(links)
-
-    placed = members.select(*key, "node", "n").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = placed.groupBy(*key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").drop("lo", "hi")
-    left = staged(placed.join(mixed, key))
-    ahead = left.select(*key, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    behind = left.select(*key, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-    across = ahead.join(behind, key).filter("cx < cy").filter(fits)
-    lower, upper = F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")  # a star's top is its smallest node
-    open_pairs = staged(across.select(lower, upper).distinct().join(tried, ["x", "y"], "left_anti"))
+    open_pairs = staged(_across(halves, comp).filter(fits).select(*pair).join(tried, ["x", "y"], "left_anti"))
     if not open_pairs.isEmpty():
         more = _confirmed(open_pairs, nodes, src, words, percent)
         if not more.isEmpty():
