@@ -14,8 +14,10 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
    a random order that differs between A's sub-keys.
 3. Edges whose set sizes allow the similarity are confirmed on the full word
    shingle sets; linked components come from min-labels with pointer jumping.
-4. Buckets that still hold several components: their pairs across components,
-   and only those, are confirmed as well, and the components closed.  So every
+4. Buckets that still hold several components: what shares a table key across
+   components, and only that, is compared as well, and the components closed.
+   Members outside a bucket's most frequent component meet it block by block
+   if it has more than ``BLOCK`` nodes, and all else pair by pair.  So every
    pair that shares a table is linked, already joined, or was refuted.
 
 Null or blank text has the empty set and is linked with nothing.  Fewer words
@@ -26,15 +28,17 @@ rows that share an id are separate documents.
 from __future__ import annotations
 
 import functools
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurewright.llm.common import documents, row_slices, small_side, staged, utf8
 
-WORDS, PERCENT, TABLES, ROWS = 5, 80, 16, 3
+WORDS, PERCENT, TABLES, ROWS, BLOCK = 5, 80, 16, 3, 64
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -171,12 +175,21 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def _texts(used: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``used``: the one place where texts are moved, and only those that are compared."""
+    want = staged(nodes.join(used.distinct(), "node").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")))
+    found = docs.join(small_side(want), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
+    return staged(found.select("node", "text").dropDuplicates(["node"]))
+
+
+def _alike(first: set, second: set, percent: int) -> bool:
+    both = len(first & second)
+    return 100 * both >= percent * (len(first) + len(second) - both)
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (x, y) whose full shingle sets are similar enough."""
-    used = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    want = staged(nodes.join(used, "node").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")))
-    found = docs.join(small_side(want), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
-    texts = staged(found.select("node", "text").dropDuplicates(["node"]))
+    texts = _texts(pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))), nodes, docs)
 
     def check(batches):
         for b in batches:
@@ -186,9 +199,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
             for r in range(b.num_rows):
                 if x[r] != key:
                     key, first = x[r], shingles(left[r].as_py(), k)
-                second = shingles(right[r].as_py(), k)
-                both = len(first & second)
-                if 100 * both >= percent * (len(first) + len(second) - both):
+                if _alike(first, shingles(right[r].as_py(), k), percent):
                     keep.append(r)
             yield pa.RecordBatch.from_arrays([pa.array([v[r] for r in keep], pa.int64()) for v in (x, y)], ["x", "y"])
 
@@ -197,24 +208,62 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(check, "x bigint, y bigint"))
 
 
-def _across(halves: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs (x, y) that share a table key but no component, each pair once.
+def _blockwise(probes: DataFrame, members: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (x, y) of ``probes`` (x, comp) with the members (node, comp) of large components, one for each component a probe is alike to.
 
-    Per A sub-key the members outside its most frequent component meet the
-    others, so a large group that is one component already makes no pairs.
+    Blocks of members meet blocks of probes: each text is moved once per
+    opposite block instead of once per pair, and no pair is made a row.
     """
+    texts = _texts(probes.select(F.col("x").alias("node")).union(members.select("node")), nodes, docs)
+    n_m = members.groupBy(F.col("comp").alias("m_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"))
+    n_p = probes.groupBy(F.col("comp").alias("p_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("p_blocks"))
+    blocks = staged(n_m.join(n_p, F.col("m_comp") == F.col("p_comp")).select(F.col("m_comp").alias("b_comp"), "m_blocks", "p_blocks"))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        at = rows.join(blocks, F.col("comp") == F.col("b_comp")).withColumn(own[0], F.pmod(F.xxhash64("node"), F.col(own)))
+        return at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select("comp", "m", "p", "node", "n").join(texts, "node").toDF("node", "comp", "m", "p", "n", "text")
+
+    def check(left, right):
+        out = {"x": [], "y": []}
+        base = [(y, n, shingles(t, k)) for y, n, t in zip(right.node, right.n, right.text)]
+        for x, n, t in zip(left.node, left.n, left.text):
+            mine = shingles(t, k)
+            for y, m, other in base:
+                if 100 * min(n, m) >= percent * max(n, m) and _alike(mine, other, percent):
+                    out["x"].append(x)
+                    out["y"].append(y)
+                    break  # its block's members are one component already
+        return pd.DataFrame(out, dtype="int64")
+
+    sized = nodes.select(F.col("node").alias("s_node"), "n")
+    left = dealt(probes.withColumnRenamed("x", "node").join(sized, F.col("node") == F.col("s_node")), "p_blocks", "m_blocks")
+    right = dealt(members.join(sized, F.col("node") == F.col("s_node")), "m_blocks", "p_blocks")
+    key = ["comp", "m", "p"]
+    return staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check, "x bigint, y bigint"))
+
+
+def _minors(halves: DataFrame, comp: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of A sub-keys that hold several components, with the sub-key's most frequent one (``major``, ``large``),
+    and those of them outside it."""
     key = ["i", "ka"]
     placed = staged(halves.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     counts = placed.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("many"))
     mixed = counts.groupBy(*key).agg(F.max(F.struct("many", "comp"))["comp"].alias("major"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
-    left = placed.join(mixed, key)
-    minor = left.filter("comp <> major").select(*key, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
-    every = left.select(*[F.col(k).alias(f"y_{k}") for k in key], F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), "major")
+    mixed = mixed.join(sizes, F.col("major") == F.col("z_comp"), "left").select(*key, "major", (F.coalesce("z_n", F.lit(1)) > BLOCK).alias("large"))
+    rows = staged(placed.join(mixed, key))
+    return rows, rows.filter("comp <> major")
+
+
+def _across(rows: DataFrame, minor: DataFrame) -> DataFrame:
+    """Pairs (x, y) that share a table key but no component, each pair once; members of large majors are left out."""
+    x = minor.select("i", "ka", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
+    y = rows.filter("NOT large OR comp <> major").select(
+        F.col("i").alias("yi"), F.col("ka").alias("yka"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), "major"
+    )
     first_shared = F.array_position(F.zip_with("ax", "ay", lambda p, q: p == q), True) == F.col("i") + 1
     shares_b = F.exists(F.zip_with("bx", "by", lambda p, q: p == q), lambda same: same)
     apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("cx") < F.col("cy")))
-    same_key = (F.col("i") == F.col("y_i")) & (F.col("ka") == F.col("y_ka"))
-    return minor.join(every, same_key & apart & first_shared & shares_b)
+    return x.join(y, (F.col("i") == F.col("yi")) & (F.col("ka") == F.col("yka")) & apart & first_shared & shares_b)
 
 
 def near_groups(
@@ -246,11 +295,20 @@ def near_groups(
     )
     links = _confirmed(tried, nodes, src, words, percent)
     comp = components(links)
-    open_pairs = staged(_across(halves, comp).filter(fits).select(*pair).join(tried, ["x", "y"], "left_anti"))
+    sizes = staged(comp.groupBy(F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z_n")))
+    mixed, minor = _minors(halves, comp, sizes)
+    pairs = _across(mixed, minor).filter(fits).select(*pair).distinct()  # a minor of one sub-key may be the major of another
+    open_pairs = staged(pairs.join(tried, ["x", "y"], "left_anti"))
+    probes = staged(minor.filter("large").select(F.col("node").alias("x"), F.col("major").alias("comp")).distinct())
+    more = []
     if not open_pairs.isEmpty():
-        more = _confirmed(open_pairs, nodes, src, words, percent)
-        if not more.isEmpty():
-            comp = components(links.union(more))
+        more.append(_confirmed(open_pairs, nodes, src, words, percent))
+    if not probes.isEmpty():
+        members = comp.join(probes.select("comp").distinct(), "comp", "left_semi")
+        more.append(_blockwise(probes, members, nodes, src, words, percent))
+    found = [m for m in more if not m.isEmpty()]
+    if found:
+        comp = components(reduce(DataFrame.union, found, links))
 
     node_of = sets.select(*(F.col(c).alias(f"s_{c}") for c in same_set), "node")
     on_set = (F.col("n") == F.col("s_n")) & (F.col("fp1") == F.col("s_fp1")) & (F.col("fp2") == F.col("s_fp2"))
