@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, secrets, token_counts, topk_search
+from featurewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, secrets, token_counts, topk_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, QueryFn]:
         secrets.op2_secret_battery,
         near_dedup.op3_minhash_tensored,
         mixing.op4_mix_sources,
+        repeats.op5_suffix_repeats,
         line_dedup.op6_line_dedup,
         token_counts.op7_token_counts,
         language_id.op8_language_id,
