@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -64,6 +66,19 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
 
 
+def freeing(fn):
+    """``fn`` for mapInArrow, after which the worker gives its freed memory back: workers stay, and so would it."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def row_slices(offs: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes each; a longer row makes a range of its own."""
     lo, n = 0, len(offs) - 1

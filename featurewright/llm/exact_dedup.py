@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, row_slices, staged, utf8
+from featurewright.llm.common import documents, freeing, row_slices, staged, utf8
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 1024, 32768, 12
 _GEAR = np.random.default_rng(20).integers(0, 2**32, 256, dtype=np.uint32)
@@ -98,7 +98,7 @@ def exact_groups(
 
     id_type = src.schema["doc_id"].dataType.simpleString()
     recipes = staged(
-        src.mapInArrow(recipe, f"doc_id {id_type}, text_sha256 string, digests array<bigint>")
+        src.mapInArrow(freeing(recipe), f"doc_id {id_type}, text_sha256 string, digests array<bigint>")
         .withColumn("row", F.monotonically_increasing_id())
     )
 
@@ -116,7 +116,7 @@ def exact_groups(
             if ds:
                 yield pa.RecordBatch.from_arrays([pa.array(ds, pa.int64()), pa.array(cs, pa.binary())], ["digest", "chunk"])
 
-    contents = src.select("text").mapInArrow(chunks, "digest bigint, chunk binary").groupBy("digest", "chunk").agg(
+    contents = src.select("text").mapInArrow(freeing(chunks), "digest bigint, chunk binary").groupBy("digest", "chunk").agg(
         F.count(F.lit(1)).alias("n")
     )
     shared = staged(contents.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1"))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, row_slices, utf8
+from featurewright.llm.common import documents, freeing, row_slices, utf8
 
 SAMPLE_DOCS, DOC_CHARS, SAMPLE_BYTES, BLOCK = 64, 4096, 1 << 16, 512
 UNDETERMINED = "und"
@@ -162,7 +162,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, pred_col, score_col])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return docs.mapInArrow(run, ", ".join([*fields, f"`{pred_col}` string", f"`{score_col}` double"]))
+    return docs.mapInArrow(freeing(run), ", ".join([*fields, f"`{pred_col}` string", f"`{score_col}` double"]))
 
 
 def held_out(key: str = "doc_id"):

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents
+from featurewright.llm.common import documents, freeing
 
 WINDOW, END_ID, MAX_OPEN = 2048, 1, 2048
 TOKENIZER, RANKS, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "<|endoftext|>"
@@ -202,7 +202,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     fields = ", ".join(f"{c} {'array<bigint>' if c == 'ids' else 'bigint'}" for c, _ in columns)
     if with_ids:
         columns = [*_COLUMNS[:-1], ("ids", pa.list_(pa.int64()))]
-    return src.mapInArrow(run, f"doc_id {id_type}, {fields}")
+    return src.mapInArrow(freeing(run), f"doc_id {id_type}, {fields}")
 
 
 def op1_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:

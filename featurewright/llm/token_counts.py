@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents
+from featurewright.llm.common import documents, freeing
 
 TOKENIZER, LIMIT, MEMO = "word_bpe_49k.json", 2048, 1_000_000
 _LATIN = [chr(i) for i in range(256)]
@@ -134,7 +134,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 )
 
     id_type = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return src.mapInArrow(freeing(run), f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
