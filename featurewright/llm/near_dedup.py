@@ -16,9 +16,10 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
    shingle sets; linked components come from min-labels with pointer jumping.
 4. Buckets that still hold several components: what shares a table key across
    components, and only that, is compared as well, and the components closed.
-   Members outside a bucket's most frequent component meet it block by block
-   if it has more than ``BLOCK`` nodes, and all else pair by pair.  So every
-   pair that shares a table is linked, already joined, or was refuted.
+   Where a sub-key's most frequent component has more than ``BLOCK`` nodes,
+   the others there meet it and each other block by block, all else pair by
+   pair.  So every pair that shares a table is linked, already joined, or was
+   refuted.
 
 Null or blank text has the empty set and is linked with nothing.  Fewer words
 than the shingle length make one shingle.  A null id is larger than any other;
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, row_slices, small_side, staged, utf8
+from featurewright.llm.common import documents, freeing, row_slices, small_side, staged, utf8
 
 WORDS, PERCENT, TABLES, ROWS, BLOCK = 5, 80, 16, 3, 64
 
@@ -156,7 +157,7 @@ def _signatures(docs: DataFrame, k: int, tables: int, rows: int) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(
-        run, f"doc_id {id_type}, text_hash bigint, n bigint, fp1 bigint, fp2 bigint, a array<int>, b array<int>"
+        freeing(run), f"doc_id {id_type}, text_hash bigint, n bigint, fp1 bigint, fp2 bigint, a array<int>, b array<int>"
     ).withColumn("row", F.monotonically_increasing_id())
 
 
@@ -205,38 +206,43 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
 
     lx = texts.select(F.col("node").alias("x"), F.col("text").alias("tx"))
     ly = texts.select(F.col("node").alias("y"), F.col("text").alias("ty"))
-    return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(check, "x bigint, y bigint"))
+    return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(freeing(check), "x bigint, y bigint"))
 
 
 def _blockwise(probes: DataFrame, members: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (x, y) of ``probes`` (x, comp) with the members (node, comp) of large components, one for each component a probe is alike to.
+    """Links (x, y) of ``probes`` (x, comp) with the members (node, comp) of that large component and with its other probes.
 
-    Blocks of members meet blocks of probes: each text is moved once per
-    opposite block instead of once per pair, and no pair is made a row.
+    Blocks of members and probes meet blocks of probes: each text is moved once
+    per opposite block instead of once per pair, and no pair is made a row.
     """
     texts = _texts(probes.select(F.col("x").alias("node")).union(members.select("node")), nodes, docs)
+    probing = probes.withColumnRenamed("x", "node").select("node", "comp", F.lit(True).alias("probe"))
+    members = members.select("node", "comp", F.lit(False).alias("probe")).union(probing)
     n_m = members.groupBy(F.col("comp").alias("m_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"))
     n_p = probes.groupBy(F.col("comp").alias("p_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("p_blocks"))
     blocks = staged(n_m.join(n_p, F.col("m_comp") == F.col("p_comp")).select(F.col("m_comp").alias("b_comp"), "m_blocks", "p_blocks"))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         at = rows.join(blocks, F.col("comp") == F.col("b_comp")).withColumn(own[0], F.pmod(F.xxhash64("node"), F.col(own)))
-        return at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select("comp", "m", "p", "node", "n").join(texts, "node").toDF("node", "comp", "m", "p", "n", "text")
+        return at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select("comp", "m", "p", "node", "n", "probe").join(texts, "node").toDF("node", "comp", "m", "p", "n", "probe", "text")
 
     def check(left, right):
         out = {"x": [], "y": []}
-        base = [(y, n, shingles(t, k)) for y, n, t in zip(right.node, right.n, right.text)]
+        base = [(y, n, p, shingles(t, k)) for y, n, p, t in zip(right.node, right.n, right.probe, right.text)]
         for x, n, t in zip(left.node, left.n, left.text):
             mine = shingles(t, k)
-            for y, m, other in base:
-                if 100 * min(n, m) >= percent * max(n, m) and _alike(mine, other, percent):
-                    out["x"].append(x)
-                    out["y"].append(y)
-                    break  # its block's members are one component already
+            joined = False
+            for y, m, probe, other in base:
+                # the members are one component already: one link to them is enough
+                if (y <= x if probe else joined) or 100 * min(n, m) < percent * max(n, m) or not _alike(mine, other, percent):
+                    continue
+                joined |= not probe
+                out["x"].append(x)
+                out["y"].append(y)
         return pd.DataFrame(out, dtype="int64")
 
     sized = nodes.select(F.col("node").alias("s_node"), "n")
-    left = dealt(probes.withColumnRenamed("x", "node").join(sized, F.col("node") == F.col("s_node")), "p_blocks", "m_blocks")
+    left = dealt(probing.join(sized, F.col("node") == F.col("s_node")), "p_blocks", "m_blocks")
     right = dealt(members.join(sized, F.col("node") == F.col("s_node")), "m_blocks", "p_blocks")
     key = ["comp", "m", "p"]
     return staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check, "x bigint, y bigint"))
@@ -255,11 +261,12 @@ def _minors(halves: DataFrame, comp: DataFrame, sizes: DataFrame) -> tuple[DataF
 
 
 def _across(rows: DataFrame, minor: DataFrame) -> DataFrame:
-    """Pairs (x, y) that share a table key but no component, each pair once; members of large majors are left out."""
-    x = minor.select("i", "ka", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
-    y = rows.filter("NOT large OR comp <> major").select(
+    """Pairs (x, y) that share a table key but no component, each pair once, where the sub-key's major component is not large."""
+    x = minor.filter("NOT large").select("i", "ka", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
+    y = rows.filter("NOT large").select(
         F.col("i").alias("yi"), F.col("ka").alias("yka"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), "major"
     )
+    # the same pair may have its first sub-key in a large one: there it is compared block by block
     first_shared = F.array_position(F.zip_with("ax", "ay", lambda p, q: p == q), True) == F.col("i") + 1
     shares_b = F.exists(F.zip_with("bx", "by", lambda p, q: p == q), lambda same: same)
     apart = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("cx") < F.col("cy")))
