@@ -86,17 +86,31 @@ def _sorted_seeds(t: np.ndarray, s_type: np.ndarray, seeds: np.ndarray) -> np.nd
     # the reduced strings are short (their strings are): their suffixes are ranked by doubling
     last = t[seeds] == 0
     of = np.cumsum(last) - last  # string number
-    h, m = 1, len(rank)
+    m = len(rank)
+    order = np.argsort(rank, kind="stable")
+    rank[order] = _group_starts(rank[order])
+    todo, h = np.arange(m), 1  # those that still share their rank
     longest = int(np.bincount(of).max())
-    while h < longest and rank.max() + 1 < m:
-        nxt = np.zeros(m, np.int64)
-        if h < m:
-            nxt[:-h] = np.where(of[h:] == of[:-h], rank[h:] + 1, 0)
-        _, rank = np.unique(rank * (m + 1) + nxt, return_inverse=True)
+    while h < longest:
+        todo = todo[np.bincount(rank, minlength=m)[rank[todo]] > 1]
+        if not len(todo):
+            break
+        ahead = np.minimum(todo + h, m - 1)
+        nxt = np.where((todo + h < m) & (of[ahead] == of[todo]), rank[ahead] + 1, 0)
+        key = rank[todo] * (m + 1) + nxt
+        by = np.argsort(key)
+        key, group = key[by], rank[todo[by]]
+        rank[todo[by]] = group + _group_starts(key) - _group_starts(group)
         h *= 2
     return seeds[np.argsort(rank, kind="stable")]
 
 
+def _group_starts(values: np.ndarray) -> np.ndarray:
+    """Of sorted values: where each one's run begins."""
+    head = np.append(True, values[1:] != values[:-1])
+    return np.maximum.accumulate(np.where(head, np.arange(len(values)), 0))
+
+
 def suffix_array(t: np.ndarray, memory: int = MEMORY) -> np.ndarray:
     """Positions of all non-separator suffixes in order; ``t`` holds byte + 1, and 0 for separators, the last one included."""
     s_type = _types(t)

@@ -27,14 +27,15 @@ import struct
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, row_slices, table_parts, utf8
+from featurewright.llm.common import documents, freeing, row_slices, table_parts, utf8
 from featurewright.llm.induced_sort import equal_prefixes, suffix_array
 from featurewright.llm.near_dedup import _BYTE, _mix, _powers
 
-LENGTH, GRAM, SLICE = 50, 20, 2 << 20
+LENGTH, GRAM, SLICE, SHARDS = 50, 20, 2 << 20, 4
 _NO_ID = 2**63 - 1
 
 
@@ -53,7 +54,7 @@ def stretches(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int
         span *= 2
     if wide > span:
         h = np.minimum(h[:span - wide], h[wide - span:])
-    row = np.searchsorted(offs, np.arange(n), side="right") - 1
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[:n]
     ok = np.arange(n) + length <= offs[row + 1]
     new = ok.copy()
     new[1:] &= ~ok[:-1] | (h[1:n] != h[:n - 1]) | (row[1:] != row[:-1])
@@ -104,9 +105,8 @@ def _hash_entries(parts: int):
             buf, offs = utf8(b.column(1))
             for lo, hi in row_slices(offs, SLICE):
                 row, _, _, h = stretches(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                key = keys[lo:hi][row]
-                order = np.lexsort((key, h))
-                h, key = h[order], key[order]
+                order = np.argsort(h, kind="stable")  # a document's entries of one hash stay neighbours
+                h, key = h[order], keys[lo:hi][row[order]]
                 if not len(h):
                     continue
                 once = np.ones(len(h), bool)
@@ -114,7 +114,8 @@ def _hash_entries(parts: int):
                 h, key = h[once], key[once]
                 head = np.ones(len(h), bool)
                 head[1:] = h[1:] != h[:-1]
-                many = np.repeat(np.diff(np.append(np.flatnonzero(head), len(h))) > 1, np.diff(np.append(np.flatnonzero(head), len(h))))
+                size = np.diff(np.append(np.flatnonzero(head), len(h)))
+                many = np.repeat(size > 1, size)
                 out = [], [], []
                 known = _by_key(key[many], h[many])
                 for k, blob in zip(known.key, known.blob):
@@ -175,7 +176,7 @@ def _dealt_stretches(parts: int):
                     first = at[row[o]] + start[o]
                     index = np.repeat(first - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
                     out[0].append(int(shard[o[0]]))
-                    out[1].append(_pack(keys[lo:hi][row[o]], start[o], count[o]) + part_buf[index].tobytes())
+                    out[1].append(zstandard.compress(_pack(keys[lo:hi][row[o]], start[o], count[o]) + part_buf[index].tobytes(), 1))
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], ["part", "blob"])
 
@@ -184,7 +185,7 @@ def _dealt_stretches(parts: int):
 
 def _shard_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
     """Step 3: (key, removed ranges) from one shard."""
-    (key, start, count), texts = _unpack(pdf.blob, np.int64, np.int64, np.int64)
+    (key, start, count), texts = _unpack(map(zstandard.decompress, pdf.blob), np.int64, np.int64, np.int64)
     size = count + LENGTH - 1
     raw = b"".join(texts)
     ends = np.cumsum(size)
@@ -199,7 +200,7 @@ def _shard_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
     first = last - length
     # only suffixes with a whole string in them matter; others just take part in the sorting
     order = suffix_array(t)
-    of = np.searchsorted(last, order)
+    of = np.repeat(np.arange(len(ids)), length + 1)[order]
     whole = order + LENGTH <= last[of]
     order, of = order[whole], of[whole]
     same = equal_prefixes(t, order, LENGTH)
@@ -258,17 +259,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = table_parts(docs.sparkSession)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     src = docs.select(key.alias("key"), F.col(text_col).alias("text"))
-    entries = src.mapInArrow(_hash_entries(parts), "part bigint, key bigint, blob binary")
+    entries = src.mapInArrow(freeing(_hash_entries(parts)), "part bigint, key bigint, blob binary")
     recur = entries.groupBy("part").applyInPandas(_recurring, "key bigint, blob binary")
     recur = recur.groupBy(F.col("key").alias("r_key")).agg(F.collect_list("blob").alias("hashes"))
     found = src.join(recur, F.col("key") == F.col("r_key")).select("key", "text", "hashes")
-    dealt = found.mapInArrow(_dealt_stretches(parts), "part bigint, blob binary")
+    dealt = found.mapInArrow(freeing(_dealt_stretches(parts * SHARDS)), "part bigint, blob binary")
     ranges = dealt.groupBy("part").applyInPandas(_shard_ranges, "key bigint, blob binary")
     ranges = ranges.groupBy(F.col("key").alias("g_key")).agg(F.collect_list("blob").alias("ranges"))
     id_type = docs.schema[id_col].dataType
     doc_id = F.when(F.col("key") != _NO_ID, F.col("key")).cast(id_type)
     out = src.join(ranges, F.col("key") == F.col("g_key"), "left").select("key", "text", "ranges", doc_id.alias("doc_id"))
-    return out.mapInArrow(_outcome, f"doc_id {id_type.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    return out.mapInArrow(freeing(_outcome), f"doc_id {id_type.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
 def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
