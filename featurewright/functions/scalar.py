@@ -78,6 +78,6 @@ def bucket_sql(col: str, ranges: Sequence[BucketRange], other: int = 4) -> str:
 
 
 def match_any(c: Column | str, patterns: Sequence[str]) -> Column:
-    """True when the value matches any of the (trimmed) regex patterns."""
+    """True when the value matches any of the (trimmed) regex patterns; without patterns none does."""
     alternation = "|".join(f"(?:{p.strip()})" for p in patterns if p.strip())
-    return _c(c).rlike(alternation)
+    return _c(c).rlike(alternation) if alternation else F.lit(False)

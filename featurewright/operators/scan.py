@@ -2,8 +2,8 @@
 
 ``ROW_NUMBER() OVER (ORDER BY ...)`` with no partition runs in one task.  Here
 the rows are range-partitioned on the order, sorted inside each partition, and
-numbered locally; per-partition counts (one row per partition - a proven size
-bound) give the offsets, which are broadcast back.  Same numbers, full
+numbered locally; per-partition counts (one row per partition) give the
+offsets, which are joined back (AQE broadcasts what it measured to be small).  Same numbers, full
 parallelism.
 
 The numbered frame is checkpointed (reliably, in the shared checkpoint folder)
@@ -64,7 +64,7 @@ def row_index(
             F.lit(0),
         ).alias("__off"),
     )
-    out = tagged.join(F.broadcast(offsets), "__pid")
+    out = tagged.join(offsets, "__pid")
     local = F.col("__mid") - F.col("__pid").cast("long") * F.lit(_PID_SHIFT)
     return out.withColumn(id_col, F.col("__off") + local + F.lit(start)).drop(
         "__pid", "__mid", "__off"
@@ -117,7 +117,7 @@ def prefix_sums(
     offsets = totals.select(
         "__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(w), F.lit(0.0)).alias(f"__off_{c}") for c in cols]
     )
-    out = local.join(F.broadcast(offsets), "__pid")
+    out = local.join(offsets, "__pid")
     return out.select(
         *df.columns,
         *[(F.col(f"__off_{c}") + F.col(f"__loc_{c}")).alias(f"before_{c}") for c in cols],

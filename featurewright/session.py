@@ -72,6 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="fw-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -93,26 +95,14 @@ def _counter() -> int:
     return _COUNT[0]
 
 
-def materialize(df, how: str | None = None):
+def materialize(df):
     """Cut lineage: compute ``df`` once into the shared checkpoint folder and read it back.
 
     Used before steps that read a costly plan several times (statistics, then
-    projection; two branches of one plan).  ``how="checkpoint"`` (default) is a
-    reliable checkpoint, which keeps the output partitioning; ``how="parquet"``
-    writes a parquet table under ``spark.checkpoint.dir`` (columnar, pruned on
-    re-read; measured no faster here at sf0.1).  Never a local checkpoint:
-    executors can be lost, and both forms survive that.
+    projection; two branches of one plan).  Always a reliable checkpoint, never a
+    local one: executors can be lost, and it survives that.
     """
-    spark = df.sparkSession
-    how = how or os.environ.get("FEATUREWRIGHT_MATERIALIZE", "checkpoint")
-    if how == "parquet":
-        path = scratch_path(spark, "stage")
-        try:
-            df.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - e.g. a void-typed column parquet cannot store
-            pass
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

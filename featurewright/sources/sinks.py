@@ -29,12 +29,51 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate key {dict(dup[0].asDict())} for primary key {list(keys)}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in its file system; other errors are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def moved_keys(current: DataFrame, updates: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> bool:
+    """Whether an update takes a key to another partition (keys and partition columns only are read)."""
+    if set(parts) <= set(keys):
+        return False
+    new = updates.select(*keys, F.struct(*parts).alias("__new"))
+    return not current.select(*dict.fromkeys([*keys, *parts])).join(new, list(keys)).where(
+        ~F.struct(*parts).eqNullSafe(F.col("__new"))
+    ).isEmpty()
+
+
+def touched_partitions(current: DataFrame, updates: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The current rows in the partitions that the updates touch, as a filter the scan can prune on.
+
+    The distinct partition values come to the driver: as many as partitions are rewritten.
+    """
+    values = updates.select(*parts).distinct().collect()
+    wanted = F.lit(False)
+    for v in values:
+        same = F.lit(True)
+        for c in parts:
+            same = same & (F.col(c).isNull() if v[c] is None else F.col(c) == F.lit(v[c]))
+        wanted = wanted | same
+    return current.where(wanted)
+
+
 def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """IO5: replace table contents and schema."""
-    w = df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet")
+    """IO5: replace table contents and schema; the table's own keys and other library properties stay."""
+    spark = df.sparkSession
+    props = {}
+    if table_exists(spark, name):
+        rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        props = {r["key"]: r["value"] for r in rows if r["key"].startswith("featurewright.")}
+    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
+    if props:
+        props["featurewright.partition_by"] = ",".join(partition_by)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in props.items()) + ")")
 
 
 def create_feature_table(
@@ -84,17 +123,22 @@ def write_upsert(spark: SparkSession, name: str, updates: DataFrame) -> None:
 
     Only partitions that receive updates are read and rewritten: current rows
     of those partitions minus updated keys (left anti join) plus the updates,
-    checkpointed, then written with dynamic partition overwrite.
+    checkpointed, then written with dynamic partition overwrite.  If an update
+    takes a key to another partition, all partitions are rewritten, as the one it
+    leaves may get empty.
     """
     keys, parts = table_keys(spark, name)
-    updates = materialize(updates)  # read three times below: computed once
+    if not keys:
+        raise ValueError(f"{name} has no primary key")
+    updates = materialize(updates)  # read several times below: computed once
+    assert_unique(updates, keys)
     current = spark.table(name)
-    if parts:
-        touched = updates.select(*parts).distinct()
-        current = current.join(touched, parts, "left_semi")
+    whole = not parts or moved_keys(current, updates, keys, parts)
+    if not whole:
+        current = touched_partitions(current, updates, parts)
     merged = materialize(upsert(current, updates.select(*current.columns), keys))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if parts else "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if whole else "dynamic")
     try:
         merged.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
     finally:

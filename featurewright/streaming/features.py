@@ -23,6 +23,7 @@ from featurewright.functions.time import is_weekend, year_month
 from featurewright.operators.asof import Lookup
 from featurewright.operators.models import score_with_lookup
 from featurewright.session import scratch_path
+from featurewright.sources.sinks import assert_unique, moved_keys, path_exists, touched_partitions
 
 
 def stream_source(spark: SparkSession, directory: str, schema: StructType, glob: str | None = None,
@@ -71,7 +72,7 @@ def stream_dropoff_features(src: DataFrame, ts_col: str, zip_col: str, watermark
 
 
 def upsert_into_path(path: str, keys: Sequence[str], partition_col: str | None = "yyyy_mm"):
-    """``foreachBatch`` body: merge a micro-batch of changed rows into a parquet feature table.
+    """``foreachBatch`` body: merge a micro-batch of changed rows (unique by key) into a parquet feature table.
 
     Reads only the partitions the batch touches, keeps rows whose key was not
     updated, adds the batch, stages the result in the checkpoint folder and
@@ -90,31 +91,26 @@ def upsert_into_path(path: str, keys: Sequence[str], partition_col: str | None =
     def _merge(spark: SparkSession, batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        try:
-            current = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
-            current = None
-        if current is None:
+        assert_unique(batch, keys)
+        whole = False
+        if not path_exists(spark, path):
             merged = batch
-        else:
+        else:  # any other read error ends the batch: rows are never taken for missing
+            current = spark.read.parquet(path)
             if partition_col:
-                touched = batch.select(partition_col).distinct()
-                current = current.join(touched, partition_col, "left_semi")
+                whole = moved_keys(current, batch, keys, [partition_col])
+                current = current if whole else touched_partitions(current, batch, [partition_col])
             merged = current.join(batch.select(*keys), list(keys), "left_anti").unionByName(
                 batch.select(*current.columns)
             )
         staged = scratch_path(spark, f"upsert-{epoch_id}")
         merged.write.mode("overwrite").parquet(staged)
         out = spark.read.parquet(staged)
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            w = out.write.mode("overwrite")
-            if partition_col:
-                w = w.partitionBy(partition_col)
-            w.parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        # a row that leaves its partition may leave it empty: then all partitions are written
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
+        if partition_col:
+            w = w.partitionBy(partition_col)
+        w.parquet(path)
 
     return run
 

@@ -20,7 +20,9 @@ def test_registry_consistent():
     sql = entry.oracle_sql()
     assert set(sql) <= set(q)
     assert len(q) >= 60
-    assert all(not k.lower().startswith("op") for k in q)
+    from featurewright.plans import registry
+
+    assert all(not k.lower().startswith("op") for k in registry.queries())
 
 
 def test_feature_table_create_and_upsert(spark):
