@@ -63,40 +63,11 @@ class Lookup:
     rename: dict[str, str] = field(default_factory=dict)
 
 
-# The ladder of nested bucket widths that ``bucket="auto"`` picks from.
-AUTO_LADDER = ("30 days", "1 day", "1 hour", "1 minute", "1 second")
+# Nested bucket widths that bound every window at any key density: a day has 1,440 minutes, a month 30 days.
+NESTED_BUCKETS = ("30 days", "1 day", "1 minute")
 
 
-def auto_levels(units: DataFrame, kcols: Sequence[str], target_rows: int = 1_000_000,
-                max_top_buckets: int = 100_000) -> list[str]:
-    """Pick a coarse-to-fine bucket hierarchy from one small aggregate.
-
-    ``units`` holds the key columns and ``__t`` of features and probe points.
-    One job returns the largest (key, day) row count and the day span.  The top
-    level is the finest ladder width whose per-key carry window stays under
-    ``max_top_buckets`` rows; finer levels are added while the expected rows of
-    the busiest (key, finest bucket) exceed ``target_rows``.  Any choice gives
-    the same exact result - only group sizes change.
-    """
-    day = interval_micros("1 day")
-    per_day = units.groupBy(*kcols, F.floor(epoch_micros("__t") / F.lit(day)).alias("__d")).count()
-    row = per_day.agg(F.max("count").alias("m"), F.min("__d").alias("lo"), F.max("__d").alias("hi")).first()
-    if row is None or row["m"] is None:
-        return ["1 day"]
-    span = (row["hi"] - row["lo"] + 1) * day
-    widths = [interval_micros(w) for w in AUTO_LADDER]
-    top = 0
-    while top + 1 < len(widths) and span / widths[top + 1] <= max_top_buckets:
-        top += 1
-    levels = [AUTO_LADDER[top]]
-    i = top
-    while i + 1 < len(widths) and row["m"] * widths[i] / day > target_rows:
-        i += 1
-        levels.append(AUTO_LADDER[i])
-    return levels
-
-
-def _levels(bucket: str | Sequence[str]) -> list[int]:
+def bucket_widths(bucket: str | Sequence[str]) -> list[int]:
     widths = [interval_micros(bucket)] if isinstance(bucket, str) else [interval_micros(b) for b in bucket]
     for coarse, fine in zip(widths, widths[1:]):
         if coarse % fine:
@@ -112,8 +83,9 @@ def asof_answers(
 ) -> DataFrame:
     """J5 core: one answer struct per distinct probe point ``(key, ts)`` of ``base``.
 
-    ``bucket`` is one width, a coarse-to-fine list (e.g. ``("30 days",
-    "1 day", "1 minute")``), or ``"auto"`` (see ``auto_levels``).  The running ``last`` runs per (key, finest
+    ``bucket`` is one width or a coarse-to-fine list such as ``NESTED_BUCKETS``.
+    Of features at one (key, instant) the largest struct counts, in the bucket
+    and carried alike.  The running ``last`` runs per (key, finest
     bucket); level ``i`` carries the last feature of earlier level-``i``
     buckets inside the same level-``i-1`` bucket, so every window partition is
     bounded by the ratio of adjacent widths (the coarsest by span / width).
@@ -143,9 +115,7 @@ def asof_answers(
     probe_raw = base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t")).where(
         F.col("__t").isNotNull()
     )
-    if bucket == "auto":
-        bucket = auto_levels(fe_raw.select(*kcols, "__t").unionByName(probe_raw), kcols)
-    widths = _levels(bucket)
+    widths = bucket_widths(bucket)
     bcols = [f"__b{i}" for i in range(len(widths))]
 
     def with_buckets(df: DataFrame) -> DataFrame:
@@ -163,7 +133,7 @@ def asof_answers(
     )
     w_in = (
         Window.partitionBy(*kcols, bcols[-1])
-        .orderBy("__t", "__kind")
+        .orderBy("__t", "__kind", "__f")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     answers = (
@@ -179,7 +149,7 @@ def asof_answers(
         own = bcols[: lvl + 1]
         parent = bcols[:lvl]
         last_per_bucket = fe.groupBy(*kcols, *own).agg(
-            F.max_by("__f", "__t").alias("__last"), F.lit(False).alias("__probe")
+            F.max_by("__f", F.struct("__t", "__f")).alias("__last"), F.lit(False).alias("__probe")
         )
         probe_buckets = probe_src.select(*kcols, *own).distinct().select(
             *kcols, *own, null_f.alias("__last"), F.lit(True).alias("__probe")

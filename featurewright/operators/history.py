@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from featurewright.functions.scalar import json_map, match_any
 from featurewright.functions.time import epoch_micros
-from featurewright.operators.asof import interval_micros
+from featurewright.operators.asof import NESTED_BUCKETS, bucket_widths
 from featurewright.operators.scan import row_index
 from featurewright.sources.tables import ts_literal
 
@@ -72,40 +72,34 @@ def latest_version(models: DataFrame, name_col: str = "model_name", version_col:
     return src.groupBy(name_col).agg(F.max(F.col(version_col).cast("long")).alias("latest_version"))
 
 
-def running_max_before(
+def running_min_before(
     df: DataFrame, keys: Sequence[str], order_ts: str, tie: str, value: str,
-    bucket: str | Sequence[str] = "1 day",
+    bucket: str | Sequence[str] = NESTED_BUCKETS,
 ) -> DataFrame:
-    """Max of ``value`` over all earlier rows of the same key (exclusive), as ``prev_max``.
+    """Min of ``value`` over all earlier rows of the same key (exclusive), as ``prev_min``.
 
     A per-key window would put a hot key into one task.  Rows are bucketed by
-    time instead (one width, a coarse-to-fine list, or ``"auto"`` - as for the
-    as-of lookup): a window over (key, finest bucket) gives the in-bucket
-    running max, and each level adds the max of earlier buckets inside its
-    parent bucket from one row per active bucket.  Max is associative, so the
-    levels combine with ``greatest``; every window is bounded by the ratio of
+    time instead (one width or a coarse-to-fine list, as for the as-of lookup):
+    a window over (key, finest bucket) gives the in-bucket running min, and each
+    level adds the min of earlier buckets inside its parent bucket from one row
+    per active bucket.  Min is associative, so the levels combine with ``least``; every window is bounded by the ratio of
     adjacent widths (the coarsest by span / width), not by the data.
     """
-    from featurewright.operators.asof import _levels, auto_levels
-
-    if bucket == "auto":
-        units = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(order_ts).alias("__t"))
-        bucket = auto_levels(units, [f"__k{i}" for i in range(len(keys))])
-    widths = _levels(bucket)
+    widths = bucket_widths(bucket)
     bcols = [f"__b{i}" for i in range(len(widths))]
     us = epoch_micros(order_ts)
     b = df.withColumns({c: F.floor(us / F.lit(w)) for c, w in zip(bcols, widths)})
     w_in = Window.partitionBy(*keys, bcols[-1]).orderBy(order_ts, tie).rowsBetween(Window.unboundedPreceding, -1)
-    out = b.withColumn("__in", F.max(value).over(w_in))
+    out = b.withColumn("__in", F.min(value).over(w_in))
     prev = F.col("__in")
     for lvl in range(len(widths) - 1, -1, -1):
         own, parent = bcols[: lvl + 1], bcols[:lvl]
-        per_bucket = b.groupBy(*keys, *own).agg(F.max(value).alias("__bmax"))
+        per_bucket = b.groupBy(*keys, *own).agg(F.min(value).alias("__bmin"))
         w_carry = Window.partitionBy(*keys, *parent).orderBy(own[-1]).rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_bucket.select(*keys, *own, F.max("__bmax").over(w_carry).alias(f"__carry{lvl}"))
+        carry = per_bucket.select(*keys, *own, F.min("__bmin").over(w_carry).alias(f"__carry{lvl}"))
         out = out.join(carry, [*keys, *own], "left")
-        prev = F.greatest(prev, F.col(f"__carry{lvl}"))
-    return out.withColumn("prev_max", prev).drop(*bcols, "__in", *[f"__carry{i}" for i in range(len(widths))])
+        prev = F.least(prev, F.col(f"__carry{lvl}"))
+    return out.withColumn("prev_min", prev).drop(*bcols, "__in", *[f"__carry{i}" for i in range(len(widths))])
 
 
 def champion_history(
@@ -114,27 +108,28 @@ def champion_history(
     order_col: str = "created",
     run_col: str = "run_id",
     metric_col: str = "metric",
-    bucket: str | Sequence[str] = "1 day",
+    bucket: str | Sequence[str] = NESTED_BUCKETS,
 ) -> DataFrame:
     """Replay the promotion rule over a model's runs in time order.
 
     The first run becomes champion (and its own challenger).  A later run
     becomes champion only if its metric is strictly greater than every earlier
     run's; the champion it replaces - the earliest run holding that earlier
-    maximum - becomes challenger.  The running maximum is taken over
-    ``struct(metric, -time, run)``, so it carries the holder's run id and no
-    self-join is needed.  Adds ``is_champion`` (0/1) and ``challenger_run_id``
-    (null for other runs).
+    maximum - becomes challenger.  Runs at one instant follow their run ids.  A
+    null or NaN metric counts as lower than any number: such a run is champion
+    only as a model's first, until a run with a number follows.
+
+    The running minimum is taken over ``struct(-metric, time, run)``, so it
+    carries the run id of the earliest holder and no self-join is needed.  Adds
+    ``is_champion`` (0/1) and ``challenger_run_id`` (null for other runs).
     """
-    holder = F.struct(
-        F.col(metric_col).alias("m"),
-        (-epoch_micros(order_col)).alias("t"),
-        F.col(run_col).alias("r"),
-    )
-    r = running_max_before(runs.withColumn("__holder", holder), [model_col], order_col, run_col, "__holder",
+    metric = F.col(metric_col).cast("double")
+    cost = F.when(metric.isNull() | F.isnan(metric), F.lit(float("inf"))).otherwise(-metric)
+    holder = F.struct(cost.alias("c"), epoch_micros(order_col).alias("t"), F.col(run_col).alias("r"))
+    r = running_min_before(runs.withColumn("__holder", holder), [model_col], order_col, run_col, "__holder",
                            bucket)
-    prev = F.col("prev_max")
-    is_champ = prev.isNull() | (F.col(metric_col) > prev.getField("m"))
+    prev = F.col("prev_min")
+    is_champ = prev.isNull() | (cost < prev.getField("c"))
     challenger = F.when(~is_champ, F.lit(None).cast("string")).when(
         prev.isNull(), F.col(run_col)).otherwise(prev.getField("r"))
     return r.select(

@@ -29,17 +29,17 @@ from featurewright.sources.tables import read_table
 RUNS_SQL = """SELECT CAST(event_id AS VARCHAR) AS run_id,
                      'model_' || CAST(user_id % 20 AS VARCHAR) AS model_name,
                      CAST(event_id AS VARCHAR) AS version, ts AS created, value AS metric, props, user_id
-              FROM events WHERE event_type = 'purchase'"""
+              FROM events"""
 
 HISTORY_SQL = f"""
   runs AS ({RUNS_SQL}),
-  r AS (SELECT *, max(metric) OVER (PARTITION BY model_name ORDER BY created, run_id
+  r AS (SELECT *, max(coalesce(metric, '-infinity')) OVER (PARTITION BY model_name ORDER BY created, run_id
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max FROM runs),
-  c AS (SELECT *, (prev_max IS NULL OR metric > prev_max) AS is_champ FROM r),
+  c AS (SELECT *, (prev_max IS NULL OR coalesce(metric, '-infinity') > prev_max) AS is_champ FROM r),
   h AS (SELECT c.*, CASE WHEN NOT c.is_champ THEN NULL WHEN c.prev_max IS NULL THEN c.run_id
                          ELSE p.run_id END AS challenger_run_id
         FROM c LEFT JOIN c p ON c.is_champ AND p.is_champ AND p.model_name = c.model_name
-                              AND p.metric = c.prev_max)
+                              AND coalesce(p.metric, '-infinity') = c.prev_max)
 """
 
 
@@ -120,12 +120,12 @@ def c6_snapshot(spark, sf_dir):
 
 _STORED_SQL = """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS id, c_custkey AS key, c_acctbal AS value,
                         'Y' AS active_flag, DATE '1999-01-01' AS start_date, CAST(NULL AS DATE) AS end_date
-                 FROM customer WHERE c_acctbal > 0"""
+                 FROM customer"""
 _INCOMING_SQL = "SELECT o_custkey AS key, max(o_totalprice) AS value FROM orders GROUP BY o_custkey"
 
 
 def _stored(spark, sf_dir):
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
+    c = read_table(spark, sf_dir, "customer")
     base = c.select(
         F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("value"), F.lit("Y").alias("active_flag"),
         F.to_date(F.lit("1999-01-01")).alias("start_date"), F.lit(None).cast("date").alias("end_date"),

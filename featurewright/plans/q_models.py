@@ -59,7 +59,7 @@ def l8_bucket_classifier(spark, sf_dir):
 
 
 def _trip_sets(spark, sf_dir):
-    ts = events_training_set(trips(spark, sf_dir), F.col("event_type") == "click")
+    ts = events_training_set(trips(spark, sf_dir))
     ts = split(ts.fillna(0.0, subset=TRIP_FEATURES).fillna(0, subset=TRIP_FEATURES), "event_id", 0.3)
     return materialize(ts)
 

@@ -18,7 +18,7 @@ from featurewright.operators.prep import (
     split,
 )
 from featurewright.plans.customer import appointment_totals, customer_features, in_window_sales, sales_summary
-from featurewright.plans.q_customer import CFG, CTES, _final, _pre_and_dates, _sources
+from featurewright.plans.q_customer import CFG, ORACLE_CTES, _pre_and_dates, _sources, features_sql
 from featurewright.plans.registry import query, r_sql, rounded
 from featurewright.sources.standins import (
     CATEGORICAL_FEATURES,
@@ -71,7 +71,7 @@ def _prep_sql(source: str, key: str, numeric, categorical, min_variance: float |
     """
 
 
-_TRAIN_SQL = f"SELECT * FROM ({_final('sales_agg')}) WHERE repurchase_window_passed = 1"
+_TRAIN_SQL = f"SELECT * FROM ({features_sql()}) WHERE repurchase_window_passed = 1"
 
 
 @query(
@@ -165,8 +165,8 @@ def l5_l6_split(spark, sf_dir):
 
 @query(
     "F14_value_bucket",
-    CTES + f"""SELECT ContactCode, {bucket_sql('COALESCE(lifetime_value, 0)', VALUE_BUCKETS)} AS value_bucket
-               FROM sales_agg""",
+    ORACLE_CTES + f"""SELECT who AS ContactCode, {bucket_sql('COALESCE(worth, 0)', VALUE_BUCKETS)} AS value_bucket
+                      FROM buyer WHERE worth IS NOT NULL""",
 )
 def f14_bucket(spark, sf_dir):
     """lifetime value to class 0-3 by inclusive, overlapping ranges; else 4."""
@@ -179,15 +179,11 @@ def f14_bucket(spark, sf_dir):
 
 @query(
     "P15_fill_zero",
-    CTES + f"""
-    SELECT c.ContactCode, c.Segment,
-           {r_sql('COALESCE(p.pre_repurchase_app_duration, 0)')} AS pre_repurchase_app_duration,
-           COALESCE(p.pre_repurchase_app_attended, 0) AS pre_repurchase_app_attended,
-           COALESCE(p.pre_repurchase_app_noshow, 0) AS pre_repurchase_app_noshow,
-           COALESCE(CAST(r.first_hi_purchase_date AS VARCHAR), '0') AS first_hi
-    FROM contacts c
-    LEFT JOIN pre_repurchase_appointments p ON c.ContactCode = p.ContactCode
-    LEFT JOIN repurchase_dates r ON c.ContactCode = r.ContactCode
+    ORACLE_CTES + f"""
+    SELECT c_custkey AS ContactCode, c_mktsegment AS Segment, {r_sql('ifnull(minutes, 0)')} AS pre_repurchase_app_duration,
+           ifnull(kept, 0) AS pre_repurchase_app_attended, ifnull(missed, 0) AS pre_repurchase_app_noshow,
+           ifnull(CAST(first_priority AS VARCHAR), '0') AS first_hi
+    FROM customer LEFT JOIN visit ON visit.who = c_custkey LEFT JOIN buyer ON buyer.who = c_custkey
     """,
 )
 def p15_fill_zero(spark, sf_dir):

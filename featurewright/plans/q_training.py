@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from featurewright.operators.asof import Lookup, asof_lookup
+from featurewright.operators.asof import NESTED_BUCKETS, Lookup, asof_lookup
 from featurewright.plans.q_trips import DROPOFF_SQL, PICKUP_SQL, ceil_sql
 from featurewright.plans.registry import query, r_sql, rounded
-from featurewright.plans.training import click_filter, events_training_set
+from featurewright.plans.training import events_training_set
 from featurewright.plans.trips import dropoff_features
 from featurewright.sources.standins import trips
 
@@ -16,7 +16,7 @@ WITH p AS ({PICKUP_SQL}), d AS ({DROPOFF_SQL}),
 base AS (
   SELECT event_id, user_id, event_type, value, props,
          {ceil_sql('ts', 15)} AS rp, {ceil_sql('ts', 30)} AS rd
-  FROM events WHERE event_type = 'click')
+  FROM events)
 SELECT base.event_id, base.user_id, base.event_type, {r_sql('base.value')} AS value, base.props,
        p.mean_fare_window_1h_pickup_zip, p.count_trips_window_1h_pickup_zip,
        d.count_trips_window_30m_dropoff_zip, d.dropoff_is_weekend
@@ -28,8 +28,8 @@ ASOF LEFT JOIN d ON base.user_id = d.zip AND base.rd >= d.ts
 
 @query("J6_training_set", TRAINING_SQL)
 def j6_training_set(spark, sf_dir):
-    """J6 (J5 x2, F3, F4, P9): clicks + pickup and drop-off features as of the rounded times."""
-    return rounded(events_training_set(trips(spark, sf_dir), click_filter()))
+    """J6 (J5 x2, F3, F4, P9): every event + pickup and drop-off features as of the rounded times."""
+    return rounded(events_training_set(trips(spark, sf_dir)))
 
 
 @query(
@@ -38,18 +38,17 @@ def j6_training_set(spark, sf_dir):
     WITH d AS ({DROPOFF_SQL})
     SELECT v.event_id, v.ts, v.user_id, v.event_type, {r_sql('v.value')} AS value, v.props,
            d.count_trips_window_30m_dropoff_zip, d.dropoff_is_weekend
-    FROM (SELECT * FROM events WHERE event_type = 'view') v
+    FROM events v
     ASOF LEFT JOIN d ON v.user_id = d.zip AND v.ts >= d.ts
     """,
 )
 def j5_asof_raw(spark, sf_dir):
-    """J5 on unrounded probe times: each view gets the latest 30-minute count at or before it."""
+    """J5 on unrounded probe times: each event gets the latest 30-minute count at or before it."""
     ev = trips(spark, sf_dir)
     feats = dropoff_features(ev, "ts", zip_col="user_id")
-    base = ev.where(F.col("event_type") == "view")
     lk = Lookup(feats, ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"],
                 ["user_id"], "ts", table_key=["zip"], table_ts="ts")
-    return rounded(asof_lookup(base, lk, bucket=("1 day", "1 hour")))
+    return rounded(asof_lookup(ev, lk, bucket=("1 day", "1 hour")))
 
 
 @query(
@@ -59,7 +58,7 @@ def j5_asof_raw(spark, sf_dir):
     SELECT v.event_id, v.user_id, {r_sql('v.value')} AS value,
            p.mean_fare_window_1h_pickup_zip, p.count_trips_window_1h_pickup_zip
     FROM (SELECT event_id, user_id, value, {ceil_sql('ts', 15)} AS rp
-          FROM events WHERE event_type = 'purchase') v
+          FROM events) v
     ASOF LEFT JOIN p ON v.user_id = p.zip AND v.rp >= p.ts + INTERVAL 15 MINUTE
     """,
 )
@@ -70,7 +69,7 @@ def j5_asof_embargo(spark, sf_dir):
 
     ev = trips(spark, sf_dir)
     feats = pickup_features(ev, "ts", zip_col="user_id", fare_col="value")
-    base = ev.where(F.col("event_type") == "purchase").select(
+    base = ev.select(
         "event_id", "user_id", "value", ceil_minutes("ts", 15).alias("rp")
     )
     lk = Lookup(feats, ["mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"],
@@ -92,12 +91,12 @@ def j5_asof_embargo(spark, sf_dir):
     """,
 )
 def j5_asof_hot_key(spark, sf_dir):
-    """J5 under total skew: one key holds every row; "auto" picks nested buckets that keep windows small."""
+    """J5 under total skew: one key holds every row; nested buckets keep windows small."""
     from featurewright.operators.windows import tumbling
 
     ev = trips(spark, sf_dir).select("event_id", "ts", F.lit(0).alias("k"))
     counts = tumbling(ev, ["k"], "ts", "30 minutes", [F.count(F.lit(1)).cast("int").alias("n_events_30m")])
     feats = counts.select("k", F.col("window.end").alias("ts"), "n_events_30m")
     lk = Lookup(feats, ["n_events_30m"], ["k"], "ts")
-    out = asof_lookup(ev, lk, bucket="auto")
+    out = asof_lookup(ev, lk, bucket=NESTED_BUCKETS)
     return out.select("event_id", "ts", "n_events_30m")

@@ -46,7 +46,9 @@ def stable_round(c, digits: int = 4):
     of short decimals do not produce.  ``r_sql`` is the same formula in SQL.
     """
     scale = 10 ** digits
-    return F.floor(c.cast("double") * scale + 0.4999) / scale
+    x = c.cast("double") * scale + 0.4999
+    # Spark's floor goes through bigint; from 2^53 on a double is whole, so it stays as it is.
+    return F.when(F.abs(x) < 2.0 ** 53, F.floor(x).cast("double")).otherwise(x) / scale
 
 
 def r_sql(expr: str, digits: int = 4) -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from featurewright.operators.asof import Lookup, training_set
 from featurewright.plans.trips import dropoff_features, pickup_features, round_trip_times
@@ -51,17 +50,12 @@ def trip_training_set(
     )
 
 
-def events_training_set(events: DataFrame, base_filter=None, embargo: str | None = None) -> DataFrame:
+def events_training_set(events: DataFrame, embargo: str | None = None) -> DataFrame:
     """The stand-in form: events are the trips, ``user_id`` both zips, ``value`` the fare."""
     # The pipeline writes feature tables before training; the checkpoint plays that
     # role, so each lookup scans a table instead of recomputing the window aggregate.
     pickup = materialize(pickup_features(events, "ts", zip_col="user_id", fare_col="value"))
     dropoff = materialize(dropoff_features(events, "ts", zip_col="user_id"))
-    base = events if base_filter is None else events.where(base_filter)
     return trip_training_set(
-        base, pickup, dropoff, "ts", "ts", "user_id", "user_id", "value", "ts", embargo
+        events, pickup, dropoff, "ts", "ts", "user_id", "user_id", "value", "ts", embargo
     )
-
-
-def click_filter():
-    return F.col("event_type") == "click"

@@ -29,9 +29,9 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(path)
 
 
-def read_sql(spark: SparkSession, query: str) -> DataFrame:
-    """IO3: the result of an SQL string over registered views/tables."""
-    return spark.sql(query)
+def read_sql(spark: SparkSession, query: str, **params) -> DataFrame:
+    """IO3: the result of an SQL string over registered views/tables; ``:name`` markers are bound from ``params``."""
+    return spark.sql(query, args=params) if params else spark.sql(query)
 
 
 def ts_literal(value) -> Column:
@@ -66,18 +66,26 @@ def scan(
     return out
 
 
+# Cells keep outer blanks; an empty text is written quoted and a null as \\N, so both come back as they were.
+LISTING_CSV = {
+    "header": "true", "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def write_listing_csv(df: DataFrame, path: str) -> None:
+    """IO4: a CSV folder that ``read_listing_csv`` reads back cell for cell (a text that is exactly ``\\N`` excepted)."""
+    df.write.options(**LISTING_CSV | {"emptyValue": '""'}).csv(path)
+
+
 def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> str:
     """IO4 helper: infer the listing CSV schema once and return it as JSON text.
 
     Store the text next to the job; later runs pass ``schema_from_json(text)``
     so production reads never pay the inference pass again.
     """
-    df = (
-        spark.read.option("header", "true").option("multiLine", "true").option("quote", '"')
-        .option("escape", '"').option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
-        .csv(path)
-    )
-    return df.schema.json()
+    reader = spark.read.options(**LISTING_CSV, multiLine="true", inferSchema="true")
+    return reader.option("samplingRatio", str(sampling_ratio)).csv(path).schema.json()
 
 
 def schema_from_json(text: str) -> StructType:
@@ -94,12 +102,7 @@ def read_listing_csv(
     Pass ``schema`` in production: inference is an extra full pass over the
     files.  Without it, the schema is inferred once.
     """
-    reader = (
-        spark.read.option("header", "true")
-        .option("multiLine", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-    )
+    reader = spark.read.options(**LISTING_CSV, multiLine="true")
     if schema is not None:
         reader = reader.schema(schema)
     else:

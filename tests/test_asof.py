@@ -5,7 +5,7 @@ import random
 
 import pandas as pd
 
-from featurewright.operators.asof import Lookup, asof_lookup
+from featurewright.operators.asof import NESTED_BUCKETS, Lookup, asof_lookup
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -73,26 +73,21 @@ def test_multilevel_buckets_match_single_level(spark):
         assert three[i] == want
 
 
-def test_auto_buckets(spark):
-    from featurewright.operators.asof import auto_levels
-
+def test_nested_buckets_equal_one_bucket(spark):
     rnd = random.Random(2)
     feats = [(1, T0 + dt.timedelta(seconds=rnd.randint(0, 86400)), float(i)) for i in range(200)]
-    fdf = pd.DataFrame(feats, columns=["zip", "ts", "f"]).drop_duplicates(["zip", "ts"])
-    frows = [(int(z), t.to_pydatetime(), float(f)) for z, t, f in fdf.itertuples(index=False, name=None)]
     base = [(i, 1, T0 + dt.timedelta(seconds=rnd.randint(0, 90000))) for i in range(200)]
-    lk = Lookup(_feats(spark, frows), ["f"], ["zip"], "t", table_ts="ts")
-    auto = {r["id"]: r["f"] for r in asof_lookup(_base(spark, base), lk, bucket="auto").collect()}
+    lk = Lookup(_feats(spark, feats), ["f"], ["zip"], "t", table_ts="ts")
+    nested = {r["id"]: r["f"] for r in asof_lookup(_base(spark, base), lk, bucket=NESTED_BUCKETS).collect()}
     day = {r["id"]: r["f"] for r in asof_lookup(_base(spark, base), lk, bucket="1 day").collect()}
-    assert auto == day
-    units = spark.createDataFrame([(1, T0 + dt.timedelta(seconds=s)) for s in range(0, 86400, 10)],
-                                  "__k0 bigint, __t timestamp_ntz")
-    # one-day span: the finest ladder width already keeps the carry window small
-    assert auto_levels(units, ["__k0"], target_rows=100) == ["1 second"]
-    # three-year span with one dense day: hourly top level, minutes added for the dense day
-    sparse = spark.createDataFrame([(1, T0 + dt.timedelta(days=d)) for d in range(0, 1096, 7)],
-                                   "__k0 bigint, __t timestamp_ntz")
-    assert auto_levels(units.unionByName(sparse), ["__k0"], target_rows=100) == ["1 hour", "1 minute"]
+    assert nested == day
+
+
+def test_feature_ties_give_the_largest_in_bucket_and_carried(spark):
+    feats = [(1, T0, 1.0), (1, T0, 3.0), (1, T0, 2.0)]
+    base = [(0, 1, T0), (1, 1, T0 + dt.timedelta(days=5))]
+    lk = Lookup(_feats(spark, feats), ["f"], ["zip"], "t", table_ts="ts")
+    assert {r["id"]: r["f"] for r in asof_lookup(_base(spark, base), lk).collect()} == {0: 3.0, 1: 3.0}
 
 
 def test_composite_key_and_rename(spark):

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from featurewright.operators.asof import NESTED_BUCKETS
 from featurewright.operators.history import champion_history, scd2_merge, upsert
 from featurewright.operators.scan import row_index
 from featurewright.plans.monitoring import metric_violated
@@ -114,7 +115,7 @@ def test_champion_replay_bucket_levels_agree(spark):
             for i in range(300)]
     runs = spark.createDataFrame(rows, "run_id string, model_name string, created timestamp_ntz, metric double")
     ref = {r["run_id"]: (r["is_champion"], r["challenger_run_id"]) for r in champion_history(runs).collect()}
-    for bucket in (("7 days", "1 day", "1 hour"), "auto", "1 hour"):
+    for bucket in (("7 days", "1 day", "1 hour"), NESTED_BUCKETS, "1 hour"):
         got = {r["run_id"]: (r["is_champion"], r["challenger_run_id"])
                for r in champion_history(runs, bucket=bucket).collect()}
         assert got == ref, bucket
@@ -130,6 +131,18 @@ def test_champion_replay_bucket_levels_agree(spark):
                 best = (run_id, metric)
 
 
+def test_champion_replay_ties_and_null_metrics(spark):
+    rows = [
+        ("a", "tie", D, 0.5), ("b", "tie", D, 0.5), ("c", "tie", D + dt.timedelta(days=1), 0.9),
+        ("d", "null", D, None), ("e", "null", D + dt.timedelta(hours=1), None),
+        ("f", "null", D + dt.timedelta(days=2), 0.1), ("g", "null", D + dt.timedelta(days=3), float("nan")),
+    ]
+    runs = spark.createDataFrame(rows, "run_id string, model_name string, created timestamp_ntz, metric double")
+    got = {r["run_id"]: (r["is_champion"], r["challenger_run_id"]) for r in champion_history(runs).collect()}
+    assert got == {"a": (1, "a"), "b": (0, None), "c": (1, "a"),
+                   "d": (1, "d"), "e": (0, None), "f": (1, "d"), "g": (0, None)}
+
+
 def test_current_aliases_after_replay(spark):
     from featurewright.operators.history import current_aliases
 
