@@ -76,8 +76,8 @@ def from_millis(c: Column | str) -> Column:
 
 
 def as_ts(c: Column | str, fmt: str | None = None) -> Column:
-    """text to timestamp."""
-    return F.to_timestamp(_c(c), fmt) if fmt else F.to_timestamp(_c(c))
+    """text to timestamp; text that is none gives null."""
+    return F.try_to_timestamp(_c(c), F.lit(fmt)) if fmt else F.try_to_timestamp(_c(c))
 
 
 def is_ntz(dtype: DataType) -> bool:

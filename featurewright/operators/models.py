@@ -17,7 +17,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRe
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurewright.operators.asof import Lookup, training_set
@@ -27,16 +27,18 @@ from featurewright.operators.history import stamp
 def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_class), from one grouped count (k rows).
 
-    No broadcast hint: the class table is tiny in practice, but its size is
-    the label's cardinality, so AQE decides at runtime from the measured size.
+    The counts enter the projection as one scalar subquery (a map of the k
+    classes), so the rows are never shuffled by their few labels.  Rows without
+    a label are dropped.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    everything = Window.partitionBy()  # over the k class rows only
-    w = counts.select(
-        label,
-        (F.sum("__nc").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("__nc"))).alias(weight_col),
-    )
-    return df.join(w, label)
+    labelled = df.where(F.col(label).isNotNull())
+    counts = labelled.groupBy(F.col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__nc"))
+    classes = counts.agg(F.struct(
+        F.sum("__nc").alias("n"), F.count(F.lit(1)).alias("k"),
+        F.map_from_entries(F.collect_list(F.struct("__label", "__nc"))).alias("of_class"),
+    ).alias("__classes")).scalar()
+    own = F.element_at(classes.getField("of_class"), F.col(label))
+    return labelled.withColumn(weight_col, classes.getField("n") / (classes.getField("k") * own))
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -45,10 +47,15 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 def train_logistic(df: DataFrame, features: Sequence[str], label: str, balanced: bool = True,
                    max_iter: int = 10000) -> PipelineModel:
-    """Class-weighted logistic regression."""
+    """Class-weighted logistic regression with the reference's L2 penalty.
+
+    A penalty of C = 1 on the summed loss is 1 / (sum of weights) on Spark's mean
+    loss; balanced weights sum to the number of rows.
+    """
+    src = balanced_weights(df, label) if balanced else df.where(F.col(label).isNotNull())
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+                            regParam=1.0 / max(src.count(), 1), standardization=False,
                             weightCol="weight" if balanced else None)
-    src = balanced_weights(df, label) if balanced else df
     return Pipeline(stages=[_assembler(features), lr]).fit(src)
 
 
@@ -96,7 +103,11 @@ def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None
     cols = list(keep) if keep is not None else list(df.columns)
     extra = [F.col("prediction")]
     if raw_scores and "rawPrediction" in out.columns:
-        extra.append(vector_to_array("rawPrediction").alias("raw_scores"))
+        raw = vector_to_array("rawPrediction")
+        # a boosted class margin m has probability 1 / (1 + exp(-2 m)); normalised over the classes
+        each = F.transform(raw, lambda m: 1 / (1 + F.exp(-2 * m)))
+        total = F.aggregate(each, F.lit(0.0), lambda a, p: a + p)
+        extra += [raw.alias("raw_scores"), F.transform(each, lambda p: p / total).alias("probabilities")]
     return out.select(*cols, *extra)
 
 
@@ -122,11 +133,18 @@ def score_struct(df: DataFrame, predict, features: Sequence[str], out_col: str =
     return df.withColumn(out_col, model_udf(predict, return_type)(F.struct(*[F.col(c) for c in features])))
 
 
-def score_with_lookup(df: DataFrame, lookups: Sequence[Lookup], model: PipelineModel, model_version: str,
-                      scored_at: str, exclude: Sequence[str] = (), fill: float | None = 0.0) -> DataFrame:
-    """As-of feature lookup, scoring and lineage stamp in one plan."""
-    feats = training_set(df, lookups, exclude_columns=exclude)
+def score_with_lookup(df: DataFrame, lookups: Sequence[Lookup], model, model_version: str,
+                      scored_at: str, exclude: Sequence[str] = (), fill: float | None = None,
+                      bucket: str | Sequence[str] = "1 day") -> DataFrame:
+    """As-of feature lookup, scoring and lineage stamp in one plan.
+
+    ``model`` is a fitted pipeline, or a ``predict(pandas.DataFrame)`` over the
+    looked-up features.  Features that no row precedes stay null, as in a
+    training set, unless ``fill`` is given.
+    """
+    feats = training_set(df, lookups, exclude_columns=exclude, bucket=bucket)
+    names = [n for lk in lookups for n in (lk.rename.get(f, f) for f in lk.features)]
     if fill is not None:
-        names = [n for lk in lookups for n in (lk.rename.get(f, f) for f in lk.features)]
         feats = feats.fillna(fill, subset=names)
-    return stamp(score(feats, model), model_version, scored_at)
+    scored = score(feats, model) if isinstance(model, PipelineModel) else score_struct(feats, model, names)
+    return stamp(scored, model_version, scored_at)

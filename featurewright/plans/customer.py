@@ -155,12 +155,13 @@ def customer_features(
     sales: DataFrame, appointments: DataFrame, contacts: DataFrame, cfg: CustomerConfig
 ) -> DataFrame:
     """The whole customer feature table."""
-    s = scan(sales, entity_col=cfg.entity_col if cfg.entity_col in sales.columns else None,
-             entity=cfg.entity, ts_col="InvoiceDate", since=cfg.since)
-    a = scan(appointments, entity_col=cfg.entity_col if cfg.entity_col in appointments.columns else None,
-             entity=cfg.entity, ts_col="Date", since=cfg.since)
-    c = scan(contacts, entity_col=cfg.entity_col if cfg.entity_col in contacts.columns else None,
-             entity=cfg.entity)
+    if cfg.entity is not None:
+        for name, df in (("sales", sales), ("appointments", appointments), ("contacts", contacts)):
+            if cfg.entity_col not in df.columns:
+                raise ValueError(f"{name} has no column {cfg.entity_col} to filter on")
+    s = scan(sales, entity_col=cfg.entity_col, entity=cfg.entity, ts_col="InvoiceDate", since=cfg.since)
+    a = scan(appointments, entity_col=cfg.entity_col, entity=cfg.entity, ts_col="Date", since=cfg.since)
+    c = scan(contacts, entity_col=cfg.entity_col, entity=cfg.entity)
 
     pre = sales_by_instant(s)
     if cfg.materialize:

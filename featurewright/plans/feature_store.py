@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurewright.operators.asof import Lookup, training_set
-from featurewright.operators.models import score_with_lookup
+from featurewright.operators.history import stamp
+from featurewright.operators.models import score
 from featurewright.session import materialize
 from featurewright.sources import sinks
 
@@ -104,5 +105,5 @@ class FeatureStore:
     def score_batch(self, model: PipelineModel, df: DataFrame, feature_lookups: Sequence[FeatureLookup],
                     model_version: str, scored_at: str, exclude_columns: Sequence[str] = ()) -> DataFrame:
         """Look the features up as of each row, score, stamp version and time."""
-        return score_with_lookup(df, self._lookups(feature_lookups), model, model_version, scored_at,
-                                 exclude=exclude_columns)
+        feats = self.create_training_set(df, feature_lookups, None, exclude_columns).load_df()
+        return stamp(score(feats, model), model_version, scored_at)

@@ -82,14 +82,14 @@ def l10_forest_regressor(spark, sf_dir):
 
 @query("S2_score_with_lookup")
 def s2_score_with_lookup(spark, sf_dir):
-    """Purchases scored with automatic as-of feature lookup, stamped with model version and time."""
+    """Events scored with automatic as-of feature lookup, stamped with model version and time."""
     ev = trips(spark, sf_dir)
     data = _trip_sets(spark, sf_dir)
     model = train_forest_regressor(data.where(F.col("split") == "train"), TRIP_FEATURES, "value", trees=20)
     pickup = materialize(pickup_features(ev, "ts", zip_col="user_id", fare_col="value"))
     dropoff = materialize(dropoff_features(ev, "ts", zip_col="user_id"))
-    base = round_trip_times(ev.where(F.col("event_type") == "purchase"), "ts", "ts").drop("value")
+    base = round_trip_times(ev, "ts", "ts").drop("value")
     return score_with_lookup(
         base, trip_lookups(pickup, dropoff, "user_id", "user_id"), model, "1", "2024-02-01 00:00:00",
-        exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"],
+        exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"], fill=0.0,
     )

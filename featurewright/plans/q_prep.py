@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 from featurewright.functions.scalar import bucket, bucket_sql
 from featurewright.operators.prep import (
     PrepConfig,
-    Preprocessor,
-    category_levels,
+    SparsePreprocessor,
     column_ranges_df,
     column_variances_df,
     downsample,
     fill_zero,
     min_max,
-    one_hot_columns,
     split,
 )
 from featurewright.plans.customer import appointment_totals, customer_features, in_window_sales, sales_summary
@@ -50,7 +48,7 @@ def _prep_sql(source: str, key: str, numeric, categorical, min_variance: float |
         f"SELECT {key}, '{c}' AS feature, {c} AS value FROM filled" for c in numeric
     ) or f"SELECT {key}, '' AS feature, 0.0 AS value FROM filled WHERE false"
     keep = (
-        f"WHERE feature IN (SELECT feature FROM scaled GROUP BY feature HAVING var_pop(value) > {min_variance})"
+        f"AND feature IN (SELECT feature FROM scaled GROUP BY feature HAVING var_pop(value) > {min_variance})"
         if min_variance is not None else ""
     )
     return f"""
@@ -67,7 +65,7 @@ def _prep_sql(source: str, key: str, numeric, categorical, min_variance: float |
              CASE WHEN max(value) OVER w - min(value) OVER w = 0 THEN 1
                   ELSE max(value) OVER w - min(value) OVER w END AS value
       FROM raw WINDOW w AS (PARTITION BY feature))
-    SELECT {key}, feature, {r_sql('value')} AS value FROM scaled {keep}
+    SELECT {key}, feature, {r_sql('value')} AS value FROM scaled WHERE value <> 0 {keep}
     """
 
 
@@ -79,14 +77,11 @@ _TRAIN_SQL = f"SELECT * FROM ({features_sql()}) WHERE repurchase_window_passed =
     _prep_sql(_TRAIN_SQL, "ContactCode", NUMERIC_FEATURES, CATEGORICAL_FEATURES, 0.0001),
 )
 def l4_preprocess(spark, sf_dir):
-    """L4 (P5, P15, L1, L2, L3): fit on closed-window customers, transform, long form."""
+    """L4 (P5, P15, L1, L2, L3): fit on closed-window customers, transform, entries that are not zero."""
     feats = customer_features(*_sources(spark, sf_dir), CFG)
     train = feats.where(F.col("repurchase_window_passed") == 1)
-    fitted = Preprocessor(
-        PrepConfig(NUMERIC_FEATURES, CATEGORICAL_FEATURES, 0.0001, keep_cols=("ContactCode",))
-    ).fit(train)
-    wide = fitted.transform(train)
-    return rounded(wide.unpivot(["ContactCode"], fitted.kept, "feature", "value"))
+    cfg = PrepConfig(NUMERIC_FEATURES, CATEGORICAL_FEATURES, 0.0001, keep_cols=("ContactCode",))
+    return rounded(SparsePreprocessor(cfg).fit(train).transform(train))
 
 
 _CONTACTS_SQL = """SELECT c_custkey AS ContactCode, c_mktsegment AS Segment,
@@ -98,12 +93,10 @@ _CONTACTS_SQL = """SELECT c_custkey AS ContactCode, c_mktsegment AS Segment,
     _prep_sql(_CONTACTS_SQL, "ContactCode", (), CATEGORICAL_FEATURES, None),
 )
 def l1_one_hot(spark, sf_dir):
-    """L1: one-hot with the first (string-sorted) level dropped, long form."""
+    """L1: one-hot with the first (string-sorted) level dropped, entries that are not zero."""
     c = contacts(spark, sf_dir)
-    levels = category_levels(c, CATEGORICAL_FEATURES)
-    cols = [x.cast("double") for col in CATEGORICAL_FEATURES for x in one_hot_columns(col, levels[col])]
-    wide = c.select("ContactCode", *cols)
-    return rounded(wide.unpivot(["ContactCode"], wide.columns[1:], "feature", "value"))
+    cfg = PrepConfig((), CATEGORICAL_FEATURES, None, keep_cols=("ContactCode",))
+    return SparsePreprocessor(cfg).fit(c).transform(c)
 
 
 @query(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from featurewright.plans.q_scoring import LINEAR_SQL, linear_model
 from featurewright.plans.q_trips import DROPOFF_SQL, PICKUP_SQL
 from featurewright.plans.registry import query, rounded
-from featurewright.session import materialize
+from featurewright.session import materialize, scratch_path
 from featurewright.sources.tables import read_table
 from featurewright.streaming.features import (
     fresh_paths,
@@ -49,7 +50,7 @@ def r1_stream_dropoff(spark, sf_dir):
 
 @query("R2_stream_score")
 def r2_stream_score(spark, sf_dir):
-    """R2: a stream of purchases scored in foreachBatch with as-of features and a fitted model."""
+    """R2: the stream of events scored in foreachBatch with as-of features and a fitted model."""
     from featurewright.operators.models import train_forest_regressor
     from featurewright.plans.q_models import TRIP_FEATURES, _trip_sets
     from featurewright.plans.training import trip_lookups
@@ -64,11 +65,53 @@ def r2_stream_score(spark, sf_dir):
         materialize(pickup_features(ev, "ts", zip_col="user_id", fare_col="value")),
         materialize(dropoff_features(ev, "ts", zip_col="user_id")), "user_id", "user_id",
     )
-    src = round_trip_times(
-        _events_stream(spark, sf_dir).where(F.col("event_type") == "purchase"), "ts", "ts"
-    ).drop("value")
+    src = round_trip_times(_events_stream(spark, sf_dir), "ts", "ts").drop("value")
     out, ckpt = fresh_paths(spark, "r2-scores")
     q = run_scoring_stream(src, lookups, model, out, ckpt, "1", "2024-02-01 00:00:00",
-                           exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"])
+                           exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"], fill=0.0)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("epoch")
+
+
+def _events_in_files(spark, sf_dir, parts: int = 4):
+    """The events as a folder of files in time order, one file set after the other, streamed one file a trigger."""
+    ev = read_table(spark, sf_dir, "events")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    path = scratch_path(spark, "event-files")
+    cuts = [lo + (hi - lo) * i / parts for i in range(1, parts)]
+    for start, end in zip([None, *cuts], [*cuts, None]):
+        part = ev.where((F.lit(True) if start is None else F.col("ts") >= F.lit(start))
+                        & (F.lit(True) if end is None else F.col("ts") < F.lit(end)))
+        part.write.mode("append").parquet(path)
+    return stream_source(spark, path, ev.schema, max_files=1)
+
+
+@query("R1_stream_many_batches", PICKUP_SQL)
+def r1_stream_many_batches(spark, sf_dir):
+    """R1 over several micro-batches: windows that span a batch border are merged, the drained table = batch."""
+    feats = stream_pickup_features(_events_in_files(spark, sf_dir), "ts", "user_id", "value", watermark="2 days")
+    table, ckpt = fresh_paths(spark, "r1-batches")
+    run_feature_stream(feats, table, ["zip", "ts"], ckpt).awaitTermination()
+    return rounded(spark.read.parquet(table).select(
+        "zip", "ts", "yyyy_mm", "mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"
+    ))
+
+
+@query("R2_stream_linear_score", LINEAR_SQL)
+def r2_stream_linear_score(spark, sf_dir):
+    """R2 with a fixed linear model over several micro-batches: the drained scores = batch scores."""
+    from featurewright.plans.training import trip_lookups
+    from featurewright.plans.trips import dropoff_features, pickup_features, round_trip_times
+    from featurewright.sources.standins import trips
+
+    ev = trips(spark, sf_dir)
+    lookups = trip_lookups(
+        materialize(rounded(pickup_features(ev, "ts", zip_col="user_id", fare_col="value"))),
+        materialize(dropoff_features(ev, "ts", zip_col="user_id")), "user_id", "user_id",
+    )
+    src = round_trip_times(_events_in_files(spark, sf_dir), "ts", "ts")
+    out, ckpt = fresh_paths(spark, "r2-linear")
+    run_scoring_stream(src, lookups, linear_model, out, ckpt, "1", "2024-02-01 00:00:00",
+                       exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"], fill=0.0).awaitTermination()
+    return rounded(spark.read.parquet(out).select("event_id", "user_id", "prediction", "model_version",
+                                                  "inference_timestamp"))

@@ -96,6 +96,9 @@ def _load() -> None:
     from featurewright.plans import q_prep  # noqa: F401
     from featurewright.plans import q_metrics  # noqa: F401
     from featurewright.plans import q_history  # noqa: F401
+    from featurewright.plans import q_scoring  # noqa: F401
+    from featurewright.plans import q_sinks  # noqa: F401
+    from featurewright.plans import q_more  # noqa: F401
     from featurewright.plans import q_models  # noqa: F401
     from featurewright.plans import q_streaming  # noqa: F401
     from featurewright.plans import q_io  # noqa: F401

@@ -4,7 +4,7 @@ R1: the batch window features on a stream - event-time watermark, update
 mode, and a ``foreachBatch`` that upserts each micro-batch's changed windows
 into the feature table (only the month partitions it touches are rewritten).
 R2: a stream of events scored in ``foreachBatch`` with the as-of lookup and a
-fitted model, appended to a predictions table.
+fitted model, one folder of predictions per epoch.
 
 Both default to ``availableNow`` triggers: drain what is there, then stop, so
 a scheduled job resumes from its checkpoint after a failure.
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -127,15 +126,25 @@ def run_feature_stream(features: DataFrame, table_path: str, keys: Sequence[str]
     return writer.start()
 
 
-def run_scoring_stream(src: DataFrame, lookups: Sequence[Lookup], model: PipelineModel, out_path: str,
-                       checkpoint: str, model_version: str, scored_at: str, exclude: Sequence[str] = (),
-                       available_now: bool = True):
-    """R2: score each micro-batch with as-of features and append the predictions."""
+def score_into_path(lookups: Sequence[Lookup], model, out_path: str, model_version: str, scored_at: str,
+                    exclude: Sequence[str] = (), fill: float | None = None):
+    """``foreachBatch`` body: score a micro-batch into its own ``epoch=<id>`` folder.
+
+    The folder is overwritten, so a batch retried after a failure is not written twice.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        scored = score_with_lookup(batch, lookups, model, model_version, scored_at, exclude=exclude)
-        scored.write.mode("append").parquet(out_path)
+        scored = score_with_lookup(batch, lookups, model, model_version, scored_at, exclude=exclude, fill=fill)
+        scored.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
+    return run
+
+
+def run_scoring_stream(src: DataFrame, lookups: Sequence[Lookup], model, out_path: str,
+                       checkpoint: str, model_version: str, scored_at: str, exclude: Sequence[str] = (),
+                       available_now: bool = True, fill: float | None = None):
+    """R2: score each micro-batch with as-of features; one folder of predictions per epoch."""
+    run = score_into_path(lookups, model, out_path, model_version, scored_at, exclude, fill)
     writer = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
