@@ -8,14 +8,15 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
 
 1. One pass: set size, a 128-bit set fingerprint, A and B of each document
    (checkpoint; no text).  Equal sets become one node, so copies never meet.
-2. A sub-key that only one node has can form no table key; the others are
-   paired with B.  Each bucket of two or more nodes is a star on one of them:
-   edges grow with the members, not with their pairs.  The top is the first in
-   a random order that differs between A's sub-keys.
+2. A sub-key that only one node has can form no table key.  ``SEEDS`` tables of
+   each of A's sub-keys seed the components: each bucket of two or more nodes is
+   a star on one of them, so edges grow with the members, not with their pairs.
+   The top is the first in a random order that differs between A's sub-keys.
 3. Edges whose set sizes allow the similarity are confirmed on the full word
    shingle sets; linked components come from min-labels with pointer jumping.
-4. Buckets that still hold several components: what shares a table key across
-   components, and only that, is compared as well, and the components closed.
+4. Sub-keys that still hold several components: what shares a table key, of all
+   TABLES^2, across components, and only that, is compared as well, and the
+   components closed.
    Where a sub-key's most frequent component has more than ``BLOCK`` nodes,
    the others there meet it and each other block by block, all else pair by
    pair.  So every pair that shares a table is linked, already joined, or was
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from featurewright.llm.common import documents, freeing, row_slices, small_side, staged, utf8
 
-WORDS, PERCENT, TABLES, ROWS, BLOCK = 5, 80, 16, 3, 64
+WORDS, PERCENT, TABLES, ROWS, BLOCK, SEEDS = 5, 80, 16, 3, 64, 2
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -288,7 +289,8 @@ def near_groups(
     a = nodes.select("node", "n", F.posexplode("a").alias("i", "ka"))
     shared = a.groupBy("i", "ka").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     halves = staged(a.join(shared, ["i", "ka"]).join(nodes.select("node", "a", "b"), "node"))
-    keyed = halves.select("node", "n", "i", "ka", F.posexplode("b").alias("j", "kb"))
+    seeds = F.array(*(F.get("b", (F.col("i") + s) % tables) for s in range(min(SEEDS, tables))))
+    keyed = halves.select("node", "n", "i", "ka", F.posexplode(seeds).alias("j", "kb"))
     key = ["i", "ka", "j", "kb"]
     # another random order for each of A's sub-keys, so a document meets many tops of a large group
     top = F.min(F.struct(F.xxhash64("node", "i").alias("order"), "node", "n")).alias("top")
