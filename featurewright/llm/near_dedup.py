@@ -17,9 +17,9 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
 4. Sub-keys that still hold several components: what shares a table key, of all
    TABLES^2, across components, and only that, is compared as well, and the
    components closed.
-   Where a sub-key's most frequent component has more than ``BLOCK`` nodes,
-   the others there meet it and each other block by block, all else pair by
-   pair.  So every pair that shares a table is linked, already joined, or was
+   Where a sub-key or its most frequent component has more than ``BLOCK``
+   nodes, the others there meet that component and each other block by block,
+   all else pair by pair: at most ``BLOCK`` rows a node.  So every pair that shares a table is linked, already joined, or was
    refuted.
 
 Null or blank text has the empty set and is linked with nothing.  Fewer words
@@ -210,59 +210,81 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(freeing(check), "x bigint, y bigint"))
 
 
-def _blockwise(probes: DataFrame, members: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (x, y) of ``probes`` (x, comp) with the members (node, comp) of that large component and with its other probes.
+def _blockwise(probes: DataFrame, comp: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (x, y) of ``probes`` (node, own, major) with the members of the component ``major`` and with its other probes.
 
     Blocks of members and probes meet blocks of probes: each text is moved once
     per opposite block instead of once per pair, and no pair is made a row.
+    Within two blocks, what shares a table key but no component is compared.
     """
-    texts = _texts(probes.select(F.col("x").alias("node")).union(members.select("node")), nodes, docs)
-    probing = probes.withColumnRenamed("x", "node").select("node", "comp", F.lit(True).alias("probe"))
-    members = members.select("node", "comp", F.lit(False).alias("probe")).union(probing)
-    n_m = members.groupBy(F.col("comp").alias("m_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"))
-    n_p = probes.groupBy(F.col("comp").alias("p_comp")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("p_blocks"))
-    blocks = staged(n_m.join(n_p, F.col("m_comp") == F.col("p_comp")).select(F.col("m_comp").alias("b_comp"), "m_blocks", "p_blocks"))
+    majors = probes.select("major").distinct()
+    members = majors.join(comp, F.col("major") == F.col("comp"), "left").select(F.coalesce("node", "major").alias("node"), F.col("major").alias("own"), "major", F.lit(False).alias("probe"))
+    probing = probes.withColumn("probe", F.lit(True))
+    members = staged(members.unionByName(probing))
+    texts = _texts(members.select("node"), nodes, docs).join(nodes.select(F.col("node").alias("s_node"), "n", "a", "b"), F.col("node") == F.col("s_node")).drop("s_node")
+    blocks = members.groupBy(F.col("major").alias("b_major")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"), F.ceil(F.count_if("probe") / BLOCK).alias("p_blocks")
+    )
+    blocks = staged(blocks)
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
-        at = rows.join(blocks, F.col("comp") == F.col("b_comp")).withColumn(own[0], F.pmod(F.xxhash64("node"), F.col(own)))
-        return at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).select("comp", "m", "p", "node", "n", "probe").join(texts, "node").toDF("node", "comp", "m", "p", "n", "probe", "text")
+        at = rows.join(blocks, F.col("major") == F.col("b_major")).withColumn(own[0], F.pmod(F.xxhash64("node"), F.col(own)))
+        at = at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        return at.select("node", "own", "probe", "major", "m", "p").join(texts, "node").toDF("node", "own", "probe", "major", "m", "p", "text", "n", "a", "b")
 
     def check(left, right):
         out = {"x": [], "y": []}
-        base = [(y, n, p, shingles(t, k)) for y, n, p, t in zip(right.node, right.n, right.probe, right.text)]
-        for x, n, t in zip(left.node, left.n, left.text):
-            mine = shingles(t, k)
-            joined = False
-            for y, m, probe, other in base:
+        x, y = left.node.to_numpy(), right.node.to_numpy()
+        if len(x) and len(y):
+            small, large = (f.outer(left.n.to_numpy(), right.n.to_numpy()) for f in (np.minimum, np.maximum))
+            maybe = (100 * small >= percent * large) & np.not_equal.outer(left.own.to_numpy(), right.own.to_numpy())
+            maybe &= ~right.probe.to_numpy(bool) | np.less.outer(x, y)
+            for c in ("a", "b"):
+                maybe &= (np.stack(left[c])[:, None] == np.stack(right[c])[None]).any(axis=2)
+            rows = np.flatnonzero(maybe.any(axis=1))
+            sets = [shingles(left.text.iat[q], k) for q in rows]
+            sizes, at = np.array([len(s) for s in sets], np.int64), {}
+            for s in sets:
+                for w in s:
+                    at.setdefault(w, len(at))
+            held = np.zeros((len(at), len(rows)), bool)
+            for c, s in enumerate(sets):
+                held[[at[w] for w in s], c] = True
+            joined = np.zeros(len(rows), bool)
+            for r in range(len(y)):
                 # the members are one component already: one link to them is enough
-                if (y <= x if probe else joined) or 100 * min(n, m) < percent * max(n, m) or not _alike(mine, other, percent):
+                live = maybe[rows, r] & (right.probe.iat[r] | ~joined)
+                if not live.any():
                     continue
-                joined |= not probe
-                out["x"].append(x)
-                out["y"].append(y)
+                other = shingles(right.text.iat[r], k)
+                seen = np.array([at[w] for w in other if w in at], np.int64)
+                both = sum((held[seen[z:z + 65536]].sum(axis=0) for z in range(0, len(seen), 65536)), np.zeros(len(rows), np.int64))
+                live &= 100 * both >= percent * (sizes + len(other) - both)
+                if not right.probe.iat[r]:
+                    joined |= live
+                out["x"] += x[rows[live]].tolist()
+                out["y"] += [y[r]] * int(live.sum())
         return pd.DataFrame(out, dtype="int64")
 
-    sized = nodes.select(F.col("node").alias("s_node"), "n")
-    left = dealt(probing.join(sized, F.col("node") == F.col("s_node")), "p_blocks", "m_blocks")
-    right = dealt(members.join(sized, F.col("node") == F.col("s_node")), "m_blocks", "p_blocks")
-    key = ["comp", "m", "p"]
+    key = ["major", "m", "p"]
+    left, right = dealt(probing, "p_blocks", "m_blocks"), dealt(members, "m_blocks", "p_blocks")
     return staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check, "x bigint, y bigint"))
 
 
 def _minors(halves: DataFrame, comp: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of A sub-keys that hold several components, with the sub-key's most frequent one (``major``, ``large``),
-    and those of them outside it."""
+    """Rows of A sub-keys that hold several components, with the sub-key's most frequent one (``major``), and those of
+    them outside it; ``large`` if the sub-key or that component has more than ``BLOCK`` nodes."""
     key = ["i", "ka"]
     placed = staged(halves.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     counts = placed.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("many"))
-    mixed = counts.groupBy(*key).agg(F.max(F.struct("many", "comp"))["comp"].alias("major"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").drop("comps")
-    mixed = mixed.join(sizes, F.col("major") == F.col("z_comp"), "left").select(*key, "major", (F.coalesce("z_n", F.lit(1)) > BLOCK).alias("large"))
+    mixed = counts.groupBy(*key).agg(F.max(F.struct("many", "comp"))["comp"].alias("major"), F.count(F.lit(1)).alias("comps"), F.sum("many").alias("held")).filter("comps > 1").drop("comps")
+    mixed = mixed.join(sizes, F.col("major") == F.col("z_comp"), "left").select(*key, "major", (F.greatest("held", F.coalesce("z_n", F.lit(1))) > BLOCK).alias("large"))
     rows = staged(placed.join(mixed, key))
     return rows, rows.filter("comp <> major")
 
 
 def _across(rows: DataFrame, minor: DataFrame) -> DataFrame:
-    """Pairs (x, y) that share a table key but no component, each pair once, where the sub-key's major component is not large."""
+    """Pairs (x, y) that share a table key but no component, each pair once, where the sub-key is not large."""
     x = minor.filter("NOT large").select("i", "ka", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
     y = rows.filter("NOT large").select(
         F.col("i").alias("yi"), F.col("ka").alias("yka"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), "major"
@@ -308,13 +330,12 @@ def near_groups(
     mixed, minor = _minors(halves, comp, sizes)
     pairs = _across(mixed, minor).filter(fits).select(*pair).distinct()  # a minor of one sub-key may be the major of another
     open_pairs = staged(pairs.join(tried, ["x", "y"], "left_anti"))
-    probes = staged(minor.filter("large").select(F.col("node").alias("x"), F.col("major").alias("comp")).distinct())
+    probes = staged(minor.filter("large").select("node", F.col("comp").alias("own"), "major").distinct())
     more = []
     if not open_pairs.isEmpty():
         more.append(_confirmed(open_pairs, nodes, src, words, percent))
     if not probes.isEmpty():
-        members = comp.join(probes.select("comp").distinct(), "comp", "left_semi")
-        more.append(_blockwise(probes, members, nodes, src, words, percent))
+        more.append(_blockwise(probes, comp, nodes, src, words, percent))
     found = [m for m in more if not m.isEmpty()]
     if found:
         comp = components(reduce(DataFrame.union, found, links))
