@@ -104,6 +104,31 @@ def test_near_groups_match_brute_force(docs, words):
     assert [got[i]["n_shingles"] for i in range(len(texts))] == [len(s) for s in sets]
 
 
+def test_large_sub_keys_are_compared_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    met = []
+    blockwise = near_dedup._blockwise
+    monkeypatch.setattr(near_dedup, "_blockwise", lambda *a: met.append(a) or blockwise(*a))
+    rng = random.Random(3)
+    texts = []
+    for n in range(60):  # similar to each other at 0.3 to 0.95
+        words = [f"w{k}" for k in range(60)]
+        for k in rng.sample(range(60), 1 + n % 9):
+            words[k] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [near_dedup.shingles(t, 2) for t in texts]
+    comp = list(range(len(texts)))
+    for x in range(len(texts)):
+        for y in range(x):
+            if near_dedup._alike(sets[x], sets[y], 80):
+                low, high = sorted((comp[x], comp[y]))
+                comp = [low if c == high else c for c in comp]
+    assert 1 < len(set(comp)) < len(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame, words=2, rows=1).collect()}
+    assert met and got == dict(enumerate(comp))
+
+
 def test_mixture_meets_targets(docs):
     rows = mixing.mixture(docs).collect()
     by = {}
