@@ -94,7 +94,7 @@ def _normal_cdf(z: Column) -> Column:
 
 
 def battery(runs: DataFrame) -> DataFrame:
-    """Adds to rows with a string ``run``: length_class, p_text's ``bin`` (larger: less like text), and ``uniform``."""
+    """Adds to rows with a string ``run`` (of two symbols at least besides its padding): length_class, p_text's ``bin`` (larger: less like text), and ``uniform``."""
     def pick(values: list) -> Column:
         last = F.lit(values[-1])
         return reduce(lambda rest, e: F.when(F.col("run").rlike(e[0][0]), F.lit(e[1])).otherwise(rest),
@@ -107,11 +107,12 @@ def battery(runs: DataFrame) -> DataFrame:
         .withColumn("body", F.regexp_replace("run", "=+$", ""))
         .withColumn("k", F.length("alphabet").cast("double"))
         .withColumn("n", F.length("body").cast("double"))
+        .filter("n >= 2")  # of a run of padding alone no statistic is defined
         .withColumn("x", F.expr("transform(split(body, ''), c -> CAST(locate(c, alphabet) - 1 AS DOUBLE))"))
     )
     e = e.withColumn("chars", F.expr("split(body, '')"))
     e = e.withColumn("chi", F.expr(
-        "aggregate(array_distinct(chars), 0D, (s, d) -> s + pow(size(filter(chars, c -> c = d)), 2)) * k / n - n"
+        "try_divide(aggregate(array_distinct(chars), 0D, (s, d) -> s + pow(size(filter(chars, c -> c = d)), 2)) * k, n) - n"
     ))
     e = e.withColumn("up", F.expr("transform(x, v -> IF(v >= k / 2, 1, 0))"))
     e = e.withColumn("n1", F.expr("CAST(aggregate(up, 0, (s, u) -> s + u) AS DOUBLE)")).withColumn("n2", F.expr("n - n1"))
@@ -124,7 +125,8 @@ def battery(runs: DataFrame) -> DataFrame:
     df, n = F.col("k") - 1, F.col("n")
     z_chi = (F.pow(F.greatest(F.col("chi"), F.lit(0.0)) / df, 1 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
     both = 2 * F.col("n1") * F.col("n2")
-    z_runs = (F.col("runs_seen") - (both / n + 1)) / F.sqrt(both * (both - n) / (n * n * (n - 1)))
+    # a run on one side of the middle has no variance of runs; it isn't uniform anyway
+    z_runs = F.try_divide(F.col("runs_seen") - (both / n + 1), F.sqrt(both * (both - n) / (n * n * (n - 1))))
     z_serial = F.col("products") / ((F.pow("k", F.lit(2)) - 1) / 12 * F.sqrt(n - 1))
     worst = F.greatest(F.abs(z_chi), F.abs(z_runs), F.abs(z_serial))
     uniform = (F.col("n1") > 0) & (F.col("n2") > 0) & (both > n) & (3 * 2 * _normal_cdf(-worst) >= UNIFORM_ALPHA)

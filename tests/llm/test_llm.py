@@ -89,6 +89,15 @@ def test_battery_finds_random_runs_and_leaves_words(spark):
     assert sum(got[i]["n_random"] for i in range(10, 60)) == 0
 
 
+def test_separator_lines_are_no_secrets(spark):
+    key = "".join(random.Random(4).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=64))
+    lines = ["=" * 32, "-" * 32, "a" + "=" * 40, "ab" + "=" * 40, "_" * 20, "/" * 25, "abcd" * 8, f"Title\n{'=' * 20}\n{key} end"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id bigint, text string")
+    got = _rows(secrets.find_secrets(df))
+    assert [got[i]["n_random"] for i in range(len(lines))] == [0] * 7 + [1]
+    assert got[7]["spans"] == "random:27:91"
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_groups_match_brute_force(docs, words):
     texts = _texts()
