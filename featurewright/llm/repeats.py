@@ -17,6 +17,12 @@ it over a stretch, and a stretch can only repeat where its hash recurs.
 
 Null text is empty; texts shorter than ``LENGTH`` lose nothing.  A null id is
 larger than any other; rows that share an id don't remove each other's bytes.
+
+Ids only tell which document is smaller.  A row is known by two 64-bit hashes of
+its id and text: by the first one (``row``) hashes and ranges are grouped and
+joined, and the second one (``check``) tells its ranges from those of a row whose
+first hash happens to be the same.  Rows equal in id and text have the same ranges,
+so they count once in each slice, hash part and shard, however many there are.
 """
 
 from __future__ import annotations
@@ -86,8 +92,25 @@ def _groups(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)])) if len(keys) else []
 
 
+def _distinct(*cols: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows, in ascending order."""
+    order = np.lexsort(cols[::-1])
+    cols = [c[order] for c in cols]
+    new = np.ones(len(order), bool)
+    if len(new):
+        new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+    return [c[new] for c in cols]
+
+
+def _first_copies(ids: np.ndarray) -> np.ndarray:
+    """True where a value occurs for the first time."""
+    first = np.zeros(len(ids), bool)
+    first[np.unique(ids, return_index=True)[1]] = True
+    return first
+
+
 def _frame(keys: list, blobs: list) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.array(keys, np.int64), "blob": pd.Series(blobs, dtype=object)})
+    return pd.DataFrame({"row": np.array(keys, np.int64), "blob": pd.Series(blobs, dtype=object)})
 
 
 def _by_key(key: np.ndarray, *cols: np.ndarray) -> pd.DataFrame:
@@ -98,13 +121,16 @@ def _by_key(key: np.ndarray, *cols: np.ndarray) -> pd.DataFrame:
 
 
 def _hash_entries(parts: int):
-    """Scan side of step 1: rows (part, key, blob); key null: entries (hash, key) of the part, else hashes known to recur for the key."""
+    """Scan side of step 1: (part, known, row, blob): hashes known to recur for the row, or entries (hash, row) of the part."""
     def run(batches):
         for b in batches:
             keys = np.asarray(b.column(0))
             buf, offs = utf8(b.column(1))
             for lo, hi in row_slices(offs, SLICE):
                 row, _, _, h = stretches(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
+                new = _first_copies(keys[lo:hi])
+                if not new.all():
+                    row, h = row[new[row]], h[new[row]]
                 order = np.argsort(h, kind="stable")  # a document's entries of one hash stay neighbours
                 h, key = h[order], keys[lo:hi][row[order]]
                 if not len(h):
@@ -116,46 +142,51 @@ def _hash_entries(parts: int):
                 head[1:] = h[1:] != h[:-1]
                 size = np.diff(np.append(np.flatnonzero(head), len(h)))
                 many = np.repeat(size > 1, size)
-                out = [], [], []
+                out = [], [], [], []
                 known = _by_key(key[many], h[many])
-                for k, blob in zip(known.key, known.blob):
+                for k, blob in zip(known.row, known.blob):
                     out[0].append(int(k) % parts)
-                    out[1].append(int(k))
-                    out[2].append(blob)
+                    out[1].append(True)
+                    out[2].append(int(k))
+                    out[3].append(blob)
                 h, key = h[head], key[head]
                 part = (h % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((key, part))
                 for a, z in _groups(part[order]):
                     out[0].append(int(part[order[a]]))
-                    out[1].append(None)
-                    out[2].append(_pack(h[order[a:z]], key[order[a:z]]))
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["part", "key", "blob"])
+                    out[1].append(False)
+                    out[2].append(0)  # no null: pandas would turn the column's hashes to floats
+                    out[3].append(_pack(h[order[a:z]], key[order[a:z]]))
+                types = (pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["part", "known", "row", "blob"])
 
     return run
 
 
 def _recurring(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Step 1: (key, hashes of it that recur)."""
-    known = pdf[pdf.key.notna()]
-    (h, key), _ = _unpack(pdf.blob[pdf.key.isna()], np.uint64, np.int64)
+    """Step 1: (row, hashes of it that recur), once each."""
+    known = pdf[pdf.known]
+    (h, row), _ = _unpack(pdf.blob[~pdf.known], np.uint64, np.int64)
     order = np.argsort(h, kind="stable")
-    h, key = h[order], key[order]
-    out = [_frame(known.key.astype("int64").tolist(), known.blob.tolist())]
+    h, row = h[order], row[order]
+    shared = np.zeros(len(h), bool)
     if len(h):
         head = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
         size = np.diff(np.append(head, len(h)))
-        shared = np.repeat(np.minimum.reduceat(key, head) != np.maximum.reduceat(key, head), size)
-        out.append(_by_key(key[shared], h[shared]))
-    return pd.concat(out)
+        shared = np.repeat(np.minimum.reduceat(row, head) != np.maximum.reduceat(row, head), size)
+    (known_h,), _ = _unpack(known.blob, np.uint64)
+    known_row = np.repeat(known.row.to_numpy(np.int64), known.blob.map(len).to_numpy(np.int64) // 8 - 1)
+    row, h = _distinct(np.append(row[shared], known_row), np.append(h[shared], known_h))
+    return _by_key(row, h)
 
 
 def _dealt_stretches(parts: int):
     """Step 2: (part, blob of stretches with their bytes) of the documents' recurring hashes."""
     def run(batches):
         for b in batches:
-            keys = np.asarray(b.column(0))
-            buf, offs = utf8(b.column(1))
-            blobs = b.column(2)
+            rows, checks, keys = (np.asarray(b.column(k)) for k in range(3))
+            buf, offs = utf8(b.column(3))
+            blobs = b.column(4)
             for lo, hi in row_slices(offs, SLICE):
                 part_buf = buf[offs[lo]:offs[hi]]
                 at = offs[lo:hi + 1] - offs[lo]
@@ -166,6 +197,9 @@ def _dealt_stretches(parts: int):
                     (hs,), _ = _unpack(blobs[r].as_py(), np.uint64)
                     wanted.append(_mix(hs) ^ salt[r - lo])
                 keep = np.isin(_mix(h) ^ salt[row], np.concatenate(wanted))
+                new = _first_copies(rows[lo:hi])
+                if not new.all():  # a different text of the same hash isn't a copy
+                    keep &= _first_copies(_mix(rows[lo:hi].view(np.uint64)) ^ checks[lo:hi].view(np.uint64))[row]
                 row, start, count, h = row[keep], start[keep], count[keep], h[keep]
                 shard = (_mix(h) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
@@ -176,7 +210,7 @@ def _dealt_stretches(parts: int):
                     first = at[row[o]] + start[o]
                     index = np.repeat(first - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
                     out[0].append(int(shard[o[0]]))
-                    out[1].append(zstandard.compress(_pack(keys[lo:hi][row[o]], start[o], count[o]) + part_buf[index].tobytes(), 1))
+                    out[1].append(zstandard.compress(_pack(rows[lo:hi][row[o]], checks[lo:hi][row[o]], keys[lo:hi][row[o]], start[o], count[o]) + part_buf[index].tobytes(), 1))
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], ["part", "blob"])
 
@@ -184,8 +218,8 @@ def _dealt_stretches(parts: int):
 
 
 def _shard_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Step 3: (key, removed ranges) from one shard."""
-    (key, start, count), texts = _unpack(map(zstandard.decompress, pdf.blob), np.int64, np.int64, np.int64)
+    """Step 3: (row, its check and removed ranges) from one shard."""
+    (row, check, key, start, count), texts = _unpack(map(zstandard.decompress, pdf.blob), *[np.int64] * 5)
     size = count + LENGTH - 1
     raw = b"".join(texts)
     ends = np.cumsum(size)
@@ -218,7 +252,7 @@ def _shard_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
     new = np.append(True, (rep[1:] != rep[:-1]) | (off[1:] != off[:-1] + 1))
     a = np.flatnonzero(new)
     z = np.append(a[1:], len(rep)) - 1
-    return _by_key(key[rep[a]], start[rep[a]] + off[a], start[rep[a]] + off[z] + LENGTH)
+    return _by_key(*_distinct(row[rep[a]], check[rep[a]], start[rep[a]] + off[a], start[rep[a]] + off[z] + LENGTH))
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,14 +267,16 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _outcome(batches):
     """Step 4: what is left of each document."""
     for b in batches:
-        buf, offs = utf8(b.column(1))
+        buf, offs = utf8(b.column(0))
+        checks = np.asarray(b.column(2))
         out = [], [], [], [], []
-        for r, blobs in enumerate(b.column(2).to_pylist()):
+        for r, blobs in enumerate(b.column(1).to_pylist()):
             raw = buf[offs[r]:offs[r + 1]]
             removed, spans, kept = 0, 0, raw
-            if blobs:
-                (lo, hi), _ = _unpack(blobs, np.int64, np.int64)
-                lo, hi = merged(lo, hi)
+            (check, lo, hi), _ = _unpack(blobs or (), *[np.int64] * 3)
+            own = check == checks[r]
+            if own.any():
+                lo, hi = merged(lo[own], hi[own])
                 mask = np.zeros(len(raw) + 1, np.int8)
                 mask[lo] += 1
                 mask[hi] -= 1
@@ -258,17 +294,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     parts = table_parts(docs.sparkSession)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
-    src = docs.select(key.alias("key"), F.col(text_col).alias("text"))
-    entries = src.mapInArrow(freeing(_hash_entries(parts)), "part bigint, key bigint, blob binary")
-    recur = entries.groupBy("part").applyInPandas(_recurring, "key bigint, blob binary")
-    recur = recur.groupBy(F.col("key").alias("r_key")).agg(F.collect_list("blob").alias("hashes"))
-    found = src.join(recur, F.col("key") == F.col("r_key")).select("key", "text", "hashes")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    src = docs.select(key.alias("key"), text.alias("text")).withColumn("row", F.xxhash64("key", "text"))
+    check = F.xxhash64("text", "key").alias("check")
+    entries = src.select("row", "text").mapInArrow(freeing(_hash_entries(parts)), "part bigint, known boolean, row bigint, blob binary")
+    recur = entries.groupBy("part").applyInPandas(_recurring, "row bigint, blob binary")
+    recur = recur.groupBy(F.col("row").alias("r_row")).agg(F.collect_list("blob").alias("hashes"))
+    found = src.join(recur, F.col("row") == F.col("r_row")).select("row", check, "key", "text", "hashes")
     dealt = found.mapInArrow(freeing(_dealt_stretches(parts * SHARDS)), "part bigint, blob binary")
-    ranges = dealt.groupBy("part").applyInPandas(_shard_ranges, "key bigint, blob binary")
-    ranges = ranges.groupBy(F.col("key").alias("g_key")).agg(F.collect_list("blob").alias("ranges"))
+    ranges = dealt.groupBy("part").applyInPandas(_shard_ranges, "row bigint, blob binary")
+    ranges = ranges.groupBy(F.col("row").alias("g_row")).agg(F.collect_list("blob").alias("ranges"))
     id_type = docs.schema[id_col].dataType
     doc_id = F.when(F.col("key") != _NO_ID, F.col("key")).cast(id_type)
-    out = src.join(ranges, F.col("key") == F.col("g_key"), "left").select("key", "text", "ranges", doc_id.alias("doc_id"))
+    out = src.join(ranges, F.col("row") == F.col("g_row"), "left").select("text", "ranges", check, doc_id.alias("doc_id"))
     return out.mapInArrow(freeing(_outcome), f"doc_id {id_type.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 

@@ -176,6 +176,30 @@ def test_repeats_match_brute_force(docs):
     assert {i: (r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == want
 
 
+def test_repeats_with_null_and_shared_ids(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    passages = [" ".join(word() for _ in range(20)) for _ in range(4)]
+    a, b, c, d = passages
+    own = [" ".join(word() for _ in range(n)) for n in range(1, 60, 6)]
+    rows = [(1, f"{own[1]} {a}"), (2, f"{a} {own[9]} {b}"), (2, f"{own[2]} {a}"), (2, b), (3, f"{b} {c}"),
+            (None, f"{own[8]} {a} {own[7]} {c}"), (None, f"{b} {own[0]}"), (None, a), (None, a), (None, None), (None, f"{d} x"), (None, f"y {d}"),
+            (2, b), (3, f"{own[3]} {c}")]
+    rows += [(None, f"{a} {own[6]} {b}")] * 5
+    want = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        gone = np.zeros(len(raw), bool)
+        before = [(u or "").encode() for k, u in rows if k is not None and (i is None or k < i)]
+        for p in range(len(raw) - 49):
+            if any(raw[p:p + 50] in u for u in before):
+                gone[p:p + 50] = True
+        want.append((i, len(raw), int(gone.sum()), hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest()))
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in repeats.remove_repeats(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_suffix_array_spills_and_sorts():
     rng = random.Random(2)
     for trial in range(100):
