@@ -6,20 +6,30 @@ the pieces and the matches alternate, so their lengths add up to offsets in
 code points.  Only texts that contain a match at all are split.
 
 The battery looks at every unbroken run of ``MIN_RUN`` or more characters of
-the usual encodings' alphabets.  The smallest encoding that holds the run is
-inferred, and its symbols are tested against random ones of that alphabet:
+the usual encodings' alphabets, and in each run also at the parts of that length
+between ``/``, ``=``, ``-`` and ``_`` (a key behind a path or a name).  The
+smallest encoding that holds such a candidate is inferred, and its symbols are
+tested against random ones of that alphabet:
 
 * chi-squared of the symbol counts against uniformity,
 * runs above and below the middle of the alphabet,
 * serial correlation of neighbouring symbols.
 
-A run must pass all three (Bonferroni at ``UNIFORM_ALPHA``), and its
-chi-squared must be too small for running text: in text of the same length the
-statistic is close to a noncentral chi-squared whose noncentrality grows with
-the length, which gives a p-value for "this is text".  False discoveries among
-all runs of the corpus are held at ``FDR`` by Benjamini-Hochberg per length
-class (powers of two), on a histogram of p-values: at most 32 classes x 401
-bins whatever the corpus, and 32 thresholds on the driver.
+A candidate must pass all three (Bonferroni at ``UNIFORM_ALPHA``), and must be too
+unlikely as text.  Text is a chain of symbols whose transitions are counted over all
+words of the corpus (runs shorter than ``MIN_RUN``) or, as the second model, over the
+corpus' own long runs without digits that fail the three tests (joined words, names
+in code, paths), each restricted to the candidate's alphabet and with a share of ``NOISE`` uniform
+symbols.  The likelihood ratio of "uniform" to "text" is at least r with a
+probability of at most 1 / r in text (Markov), so 1 / r is a p-value for "this is
+text"; the larger of both models' counts.  Where words are few, ``PRIOR`` symbols with
+the usual shares of letters in prose stand in for them, and words for long runs.
+Digits are told from text only as far as the corpus' own numbers are not uniform.
+
+False discoveries among all candidates of the corpus are held at ``FDR`` by
+Benjamini-Hochberg per length class (powers of two), on a histogram of p-values:
+at most 32 classes x 401 bins whatever the corpus, and 32 thresholds and the
+transitions (2 x 68 x 67) on the driver.  Of an accepted run the parts are not added.
 
 Everything is SQL functions.  Null text is empty.  Spans of the battery that
 overlap a base span are not added.  Rows that share an id are scanned each.
@@ -27,6 +37,8 @@ overlap a base span are not added.  Rows that share an id are scanned each.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,27 +53,31 @@ HEX = "[0-9a-f]{24,}"
 MIN_VALUE = 6
 KINDS = ("assign", "access", "hex", "random")
 
-MIN_RUN, FDR, UNIFORM_ALPHA, BINS = 20, 0.01, 0.001, 400
+MIN_RUN, FDR, UNIFORM_ALPHA, BINS, NOISE, PRIOR = 20, 0.01, 0.001, 400, 0.1, 100
 _CLASS = "A-Za-z0-9+/_=-"
 RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_RUN},}}"
+PART = f"[A-Za-z0-9+]{{{MIN_RUN},}}"
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Encodings from the smallest alphabet on: pattern, alphabet, and by how much the
-#: coincidence rate of text in it exceeds a uniform one's (size * sum of squared shares - 1).
+_SYMBOLS = _UPPER + _LOWER + _DIGITS + "+/_=-"
+#: Encodings from the smallest alphabet on: pattern and alphabet.
 ENCODINGS = (
-    ("^[0-9]+$", _DIGITS, 0.5),
-    ("^[0-9a-f]+$", _DIGITS + _LOWER[:6], 3.2),
-    ("^[0-9A-F]+$", _DIGITS + _UPPER[:6], 3.2),
-    ("^[a-z]+$", _LOWER, 0.7),
-    ("^[A-Z]+$", _UPPER, 0.7),
-    ("^[A-Z2-7]+=*$", _UPPER + _DIGITS[2:8], 1.1),
-    ("^[0-9a-z]+$", _DIGITS + _LOWER, 1.4),
-    ("^[0-9A-Z]+$", _DIGITS + _UPPER, 1.4),
-    ("^[A-Za-z]+$", _UPPER + _LOWER, 2.4),
-    ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS, 3.1),
-    ("^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/", 3.2),
-    ("", _UPPER + _LOWER + _DIGITS + "-_", 3.2),
+    ("^[0-9]+$", _DIGITS),
+    ("^[0-9a-f]+$", _DIGITS + _LOWER[:6]),
+    ("^[0-9A-F]+$", _DIGITS + _UPPER[:6]),
+    ("^[a-z]+$", _LOWER),
+    ("^[A-Z]+$", _UPPER),
+    ("^[A-Z2-7]+=*$", _UPPER + _DIGITS[2:8]),
+    ("^[0-9a-z]+$", _DIGITS + _LOWER),
+    ("^[0-9A-Z]+$", _DIGITS + _UPPER),
+    ("^[A-Za-z]+$", _UPPER + _LOWER),
+    ("^[A-Za-z0-9]+$", _UPPER + _LOWER + _DIGITS),
+    ("^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/"),
+    ("", _UPPER + _LOWER + _DIGITS + "-_"),
 )
+#: Rough shares of the symbols in prose, in tenths of a per cent of the lower-case letters.
+_PROSE = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (127, 91, 82, 75, 70, 67, 63, 61, 60, 43, 40, 28, 28, 24, 24, 22, 20, 20, 19, 15, 10, 8, 2, 2, 1, 1)))
+_PROSE |= {c.upper(): n / 25 for c, n in _PROSE.items()} | dict.fromkeys(_DIGITS, 2.0) | dict.fromkeys("+/_=-", 1.0)
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -93,8 +109,22 @@ def _normal_cdf(z: Column) -> Column:
     return 1 / (1 + F.exp(-(1.5976 * z + 0.070566 * z * z * z)))
 
 
+def transitions(words: DataFrame, prior: dict | None = None) -> dict[str, dict[str, float]]:
+    """Shares of each symbol after each other one ('': at the start) in strings ``word`` that occur ``n`` times; ``prior`` fills in what is rare."""
+    chars = words.select("n", F.split("word", "").alias("b"))
+    pairs = chars.select("n", F.explode(F.expr("zip_with(concat(array(''), slice(b, 1, size(b) - 1)), b, (x, y) -> struct(x AS a, y AS b))")).alias("p"))
+    seen = {(r["a"], r["b"]): r["n"] for r in pairs.groupBy("p.a", "p.b").agg(F.sum("n").alias("n")).collect()}  # at most 68 x 67
+    single, after = Counter(), Counter()
+    for (a, b), n in seen.items():
+        single[b] += n
+        after[a] += n
+    total = sum(single.values())
+    alone = {b: (single[b] + PRIOR * _PROSE[b] / sum(_PROSE.values())) / (total + PRIOR) for b in _SYMBOLS}
+    return {a: {b: (seen.get((a, b), 0) + PRIOR * (prior[a] if prior else alone)[b]) / (after[a] + PRIOR) for b in _SYMBOLS} for a in ["", *_SYMBOLS]}
+
+
 def battery(runs: DataFrame) -> DataFrame:
-    """Adds to rows with a string ``run`` (of two symbols at least besides its padding): length_class, p_text's ``bin`` (larger: less like text), and ``uniform``."""
+    """Adds to rows with a string ``run`` (of two symbols at least besides its padding): its encoding's ``code``, ``body``, length_class, and ``uniform``."""
     def pick(values: list) -> Column:
         last = F.lit(values[-1])
         return reduce(lambda rest, e: F.when(F.col("run").rlike(e[0][0]), F.lit(e[1])).otherwise(rest),
@@ -103,7 +133,6 @@ def battery(runs: DataFrame) -> DataFrame:
     e = (
         runs.withColumn("code", pick(list(range(len(ENCODINGS)))))
         .withColumn("alphabet", F.element_at(F.array(*[F.lit(x[1]) for x in ENCODINGS]), F.col("code") + 1))
-        .withColumn("excess", F.element_at(F.array(*[F.lit(x[2]) for x in ENCODINGS]), F.col("code") + 1))
         .withColumn("body", F.regexp_replace("run", "=+$", ""))
         .withColumn("k", F.length("alphabet").cast("double"))
         .withColumn("n", F.length("body").cast("double"))
@@ -130,15 +159,29 @@ def battery(runs: DataFrame) -> DataFrame:
     z_serial = F.col("products") / ((F.pow("k", F.lit(2)) - 1) / 12 * F.sqrt(n - 1))
     worst = F.greatest(F.abs(z_chi), F.abs(z_runs), F.abs(z_serial))
     uniform = (F.col("n1") > 0) & (F.col("n2") > 0) & (both > n) & (3 * 2 * _normal_cdf(-worst) >= UNIFORM_ALPHA)
-    shift = F.col("excess") * n
-    p_text = _normal_cdf((F.col("chi") - df - shift) / F.sqrt(2 * df + 4 * shift))
-    bins = F.least(F.floor(-F.log10(F.greatest(p_text, F.lit(1e-300))) * 20), F.lit(BINS)).cast("int")
     return e.select(
-        *runs.columns, F.floor(F.log2(F.length("run").cast("double"))).cast("int").alias("length_class"),
-        bins.alias("bin"), F.coalesce(uniform, F.lit(False)).alias("uniform"),
+        *runs.columns, "code", "body", F.floor(F.log2(F.length("run").cast("double"))).cast("int").alias("length_class"),
+        F.coalesce(uniform, F.lit(False)).alias("uniform"),
     )
 
 
+def with_bins(tested: DataFrame, models: list[dict]) -> DataFrame:
+    """Adds p_text's ``bin`` (larger: less like text) to the battery's rows, by the model that takes a row for text most."""
+    size, alphabets = len(_SYMBOLS), [*(x[1] for x in ENCODINGS[:-1]), _SYMBOLS]  # the last one takes what is left
+    e = tested.withColumn("at", F.expr(f"transform(split(body, ''), c -> locate(c, '{_SYMBOLS}'))"))
+    e = e.withColumn("m", F.expr(f"element_at(array({','.join(f'{len(x)}D' for x in alphabets)}), code + 1)"))
+    bits = []
+    for model in models:
+        share, inside = ("array(" + ",".join(f"{x:.12e}D" for x in xs) + ")" for xs in (
+            [x for p in model.values() for x in p.values()], [sum(map(p.__getitem__, x)) for x in alphabets for p in model.values()]))
+        bits.append(F.expr(
+            f"""aggregate(zip_with(concat(array(0), slice(at, 1, size(at) - 1)), at, (a, b) -> -log2({NOISE}D + {1 - NOISE}D * m
+                * element_at({share}, a * {size} + b) / element_at({inside}, code * {size + 1} + a + 1))), 0D, (s, v) -> s + v)"""
+        ))
+    least = F.greatest(F.array_min(F.array(*bits)), F.lit(0.0))
+    return e.withColumn("bin", F.least(F.floor(least * math.log10(2) * 20), F.lit(BINS)).cast("int")).drop("at", "m")
+
+
 def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     """Smallest bin that Benjamini-Hochberg rejects in each length class (at most 32 numbers)."""
     per_bin = tested.groupBy("length_class", "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -172,16 +215,26 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.zip_with("run_spans", "run_texts", lambda s, t: F.struct(s.alias("span"), t.alias("run"))).alias("runs"),
         )
     )
-    # runs that a base span already covers are no candidates
-    cand = scanned.select("row", "base", F.explode("runs").alias("r")).filter(
-        "NOT exists(base, b -> b.start < r.span.end AND b.end > r.span.start)"
-    )
-    tested = staged(battery(cand.select("row", "r.span", "r.run")).drop("run"))
+    runs = scanned.select("row", "base", F.explode("runs").alias("r")).select("row", "base", "r.span", "r.run")
+    part_spans = F.transform(spans(F.col("run"), PART, 3), lambda x: F.struct(
+        (F.col("span.start") + x["start"]).alias("start"), x["kind"].alias("kind"), (F.col("span.start") + x["end"]).alias("end")))
+    parts = F.zip_with(part_spans, F.regexp_extract_all("run", F.lit(PART), F.lit(0)), lambda s, t: F.struct(s.alias("span"), t.alias("run")))
+    whole = F.struct("span", "run")
+    cand = runs.select("row", "base", F.col("span").alias("of"), F.explode(F.concat(F.array(whole), F.filter(parts, lambda x: x["run"] != F.col("run")))).alias("r"))
+    # what a base span already covers is no candidate
+    cand = cand.filter("NOT exists(base, b -> b.start < r.span.end AND b.end > r.span.start)")
+    tested = staged(battery(cand.select("row", "of", "r.span", "r.run")))
+    words = src.select(F.explode(F.split("text", f"[^{_CLASS}]+")).alias("word")).filter((F.length("word") > 0) & (F.length("word") < MIN_RUN))
+    by_words = transitions(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    # longer runs are data; one with digits may hold a key behind a path, and few keys would make up all a model knows of an alphabet
+    names = tested.filter("NOT uniform AND of = span AND length_class < 7 AND NOT rlike(run, '[0-9]')").select(F.col("run").alias("word"), F.lit(1).alias("n"))
+    tested = staged(with_bins(tested, [by_words, transitions(names, by_words)]).drop("run", "body"))
     cut = thresholds(tested)
     accepted = F.lit(False)
     for length_class, least in sorted(cut.items()):
         accepted = accepted | ((F.col("length_class") == length_class) & (F.col("bin") >= least))
-    extra = tested.filter(accepted & F.col("uniform")).groupBy(F.col("row").alias("x_row")).agg(F.collect_list("span").alias("extra"))
+    extra = tested.filter(accepted & F.col("uniform")).groupBy(F.col("row").alias("x_row")).agg(F.collect_list(F.struct("of", "span")).alias("found"))
+    extra = extra.select("x_row", F.expr("transform(filter(found, f -> f.of = f.span OR NOT exists(found, g -> g.span = f.of)), f -> f.span)").alias("extra"))
     out = scanned.join(extra, F.col("row") == F.col("x_row"), "left").withColumn("extra", F.coalesce("extra", F.array().cast(_SPAN)))
     names = F.array(*[F.lit(k) for k in KINDS])
 

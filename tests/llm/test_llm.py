@@ -89,6 +89,32 @@ def test_battery_finds_random_runs_and_leaves_words(spark):
     assert sum(got[i]["n_random"] for i in range(10, 60)) == 0
 
 
+def _long_words(rng, n):
+    """Long runs of text: joined words, names in code, paths."""
+    words = ("national language model of the government information service with people different account because through "
+             "example water between another children important million question power business country system").split()
+    for _ in range(n):
+        ws = rng.sample(words, 5)
+        yield rng.choice([lambda: "".join(ws), lambda: "".join(w.title() for w in ws), lambda: "_".join(ws), lambda: "/".join(ws), lambda: "-".join(ws)])()
+
+
+def test_short_keys_at_a_low_share_and_behind_paths(spark):
+    rng = random.Random(11)
+    low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [(low + dig, 20), (low + dig, 32), (up + dig[2:8], 20), (up + dig[2:8], 32), (up + low + dig, 24), (up + low + dig + "+", 40), (low, 32), (dig[:10] + up[:6], 40)]
+    keys = ["".join(rng.choices(a, k=n)) for a, n in kinds for _ in range(5)]
+    behind = ["com/service/" + k for k in keys[::5]] + ["name=" + k for k in keys[1::5]] + [f"country-{k}_system" for k in keys[2::5]]
+    text = list(_long_words(rng, 6000))
+    plain = [f"{' '.join(rng.sample(text, 1)[0].replace('/', ' ').replace('-', ' ').replace('_', ' ').split())} {t} in 1987" for t in text]
+    filler = "the national language of the government is a different question for people and children in the country with water and power in 2004"
+    rows = [f"{filler} {x}" for x in keys + behind + plain]
+    got = _rows(secrets.find_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(4)))
+    n, at = len(keys) + len(behind), len(filler) + 1
+    assert sum(got[i]["spans"] == f"random:{at}:{at + len(k)}" for i, k in enumerate(keys)) >= 0.9 * len(keys)
+    assert sum(got[i]["n_random"] == 1 for i in range(len(keys), n)) >= 0.9 * len(behind)
+    assert sum(got[i]["n_random"] > 0 for i in range(n, len(rows))) <= 0.02 * n
+
+
 def test_separator_lines_are_no_secrets(spark):
     key = "".join(random.Random(4).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=64))
     lines = ["=" * 32, "-" * 32, "a" + "=" * 40, "ab" + "=" * 40, "_" * 20, "/" * 25, "abcd" * 8, f"Title\n{'=' * 20}\n{key} end"]
