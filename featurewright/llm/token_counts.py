@@ -16,6 +16,7 @@ Null text is empty and counts 0.  Nothing is shuffled: one pass over the scan.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import unicodedata
@@ -47,8 +48,14 @@ def whole_tokens(name: str = TOKENIZER) -> frozenset[str]:
     t = _tokenizer(name)
     special = {a.content for a in t.get_added_tokens_decoder().values()}
     suffix = t.model.end_of_word_suffix or ""
-    ids = [i for v, i in t.get_vocab().items() if v not in special and v.endswith(suffix)]
-    words = sorted({w for w in (t.decode([i], skip_special_tokens=False).strip() for i in ids) if w and "�" not in w})
+    table = _byte_alphabet()
+    words = set()
+    for v in t.get_vocab():
+        w = v.removesuffix(suffix)
+        if w and v.endswith(suffix) and v not in special and table.keys() >= set(w):
+            with contextlib.suppress(UnicodeDecodeError):  # part of a character
+                words.add(bytes(table[c] for c in w).decode())
+    words = sorted(words)
     return frozenset(w for w, e in zip(words, t.encode_batch(words, add_special_tokens=False)) if len(e.ids) == 1)
 
 

@@ -66,6 +66,16 @@ def test_token_counts_match_the_library(docs):
         assert got[i]["n_bytes"] == len((text or "").encode())
 
 
+def test_whole_tokens_are_proven_and_used(monkeypatch):
+    known, t = token_counts.whole_tokens(), token_counts._tokenizer(token_counts.TOKENIZER)
+    assert len(known) > 10_000 and {"the", "of", "hello", "house"} <= known
+    counter, merged = token_counts.Counter(known), []
+    monkeypatch.setattr(counter, "merge", lambda words, f=counter.merge: (merged.extend(words), f(words)))
+    texts = ["The house, hello! of the THE", "the house 日本 of", "Straße été “the” house", "the_house's 1987 don't"]
+    assert counter.count(texts) == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert not {"the", "house", "hello", "of"} & set(merged)
+
+
 def test_secret_base_spans(docs):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     got = _rows(secrets.find_secrets(docs))
