@@ -99,6 +99,21 @@ def io11_split(spark, sf_dir):
     return rounded(load_split(spark, root, "train"))
 
 
+@query(
+    "IO11_IO12_both_splits",
+    f"""SELECT ContactCode, {r_sql('AccountBalance')} AS AccountBalance, lifetime_value,
+               CASE WHEN (('0x' || substr(md5(CAST(ContactCode AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0) >= 0.3
+                    THEN 'train' ELSE 'test' END AS split
+        FROM ({features_sql()}) WHERE repurchase_window_passed = 1""",
+)
+def io11_both_splits(spark, sf_dir):
+    """IO11 + IO12: as above, with both sides read back, so rows missing on either one show."""
+    feats = customer_features(*_sources(spark, sf_dir), CFG).where(F.col("repurchase_window_passed") == 1)
+    root = scratch_path(spark, "both-splits")
+    write_split(split(feats.select("ContactCode", "AccountBalance", "lifetime_value"), "ContactCode", 0.3), root)
+    return rounded(load_split(spark, root, "train").unionByName(load_split(spark, root, "test")))
+
+
 @query(
     "P3_valid_sales",
     ORACLE_CTES + f"""SELECT who AS ContactCode, bought AS InvoiceDate, {r_sql('amount')} AS NetAmountExclVAT,

@@ -47,6 +47,18 @@ def test_duplicate_key_rejected(spark):
     raise AssertionError("duplicate key accepted")
 
 
+def test_lost_test_side_shows_in_the_split_query(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from featurewright.plans import q_io, registry
+
+    run = registry.queries()["IO11_IO12_both_splits"]
+    whole = {r["split"]: r["count"] for r in run(spark, SF_SMALL).groupBy("split").count().collect()}
+    assert whole.keys() == {"train", "test"}
+    monkeypatch.setattr(q_io, "write_split", lambda df, root: sinks.write_split(df.where("split = 'train' OR ContactCode % 2 = 0"), root))
+    lossy = {r["split"]: r["count"] for r in run(spark, SF_SMALL).groupBy("split").count().collect()}
+    assert lossy["train"] == whole["train"] and lossy.get("test", 0) < whole["test"]
+
+
 def test_split_roundtrip(spark):
     root = scratch_path(spark, "split")
     df = spark.range(100).withColumn("split", F.when(F.col("id") < 30, "test").otherwise("train"))
