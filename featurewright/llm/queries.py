@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurewright.llm import exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, secrets, token_counts, topk_search
+from featurewright.llm import byte_bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, secrets, token_alignment, token_counts, topk_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,8 @@ def queries() -> dict[str, QueryFn]:
         language_id.op8_language_id,
         topk_search.op9_topk_search,
         exact_dedup.op10_exact_dedup,
+        token_alignment.op11_token_alignment,
+        byte_bpe.op12_byte_bpe,
     )}
 
 
