@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurewright.llm import byte_bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, secrets, token_alignment, token_counts, topk_search
+from featurewright.llm import byte_bpe, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, repeats, secrets, token_alignment, token_counts, topk_search, whitening
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, QueryFn]:
         exact_dedup.op10_exact_dedup,
         token_alignment.op11_token_alignment,
         byte_bpe.op12_byte_bpe,
+        whitening.op13_feast_whitening,
     )}
 
 
