@@ -10,13 +10,15 @@ root, which end early where a node keeps its value: O(log n) a merge, so a
 match of a million letters is no special case.
 
 A match that is an entry of the vocabulary as it stands is that entry, as in
-the rank library.  Results of matches of up to ``SHORT`` bytes are remembered in
-a memo of at most ``MEMO`` matches per worker; the memo changes no result.
+the rank library.  Matches are remembered in a memo, at most ``MEMO`` of them and
+``MEMO_CHARS`` characters per worker, which changes no result; new matches of up to
+``SHORT`` bytes are merged together, one merge of each at a time, in trees that
+are the rows of one array.
 
 Null text is empty: no tokens, digests of nothing.  Rows that repeat or share
 an id, or have none, are encoded row by row; other columns are not read.  An empty
 table gives an empty table.  Nothing is shuffled: one pass over the scan, in
-memory the batch read, the memo, and the matches of ``BLOCK`` characters.
+memory the batch read, the memo, and the matches of about ``BLOCK`` characters.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import hashlib
 import itertools
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from featurewright.llm.common import documents, freeing
 
 RANKS = "byte_bpe_50k.tiktoken"
-MEMO, SHORT, BLOCK, ROWS = 400_000, 64, 1 << 20, 256
+MEMO, MEMO_CHARS, SHORT, BLOCK = 400_000, 32 << 20, 64, 1 << 20
+_NONE = 1 << 62  # above every number in a tree: ranks stay below 2^24, matches below 2^31 bytes
 
 
 def read_ranks(name: str = RANKS) -> dict[bytes, int]:
@@ -48,7 +52,7 @@ def read_ranks(name: str = RANKS) -> dict[bytes, int]:
 def merge_ids(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     """Ids of one match after all merges; ``longest`` is the size of the longest vocabulary entry."""
     n = len(piece)
-    none = 1 << 62  # above every number: ranks stay below 2^24, matches below 2^31 bytes
+    none = _NONE
     ids = [ranks[piece[i:i + 1]] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n))
 
@@ -89,6 +93,68 @@ def merge_ids(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
+class Pairs:
+    """Rank of two neighbouring tokens' joined bytes, for arrays of ids: a sorted table of all splits of all entries."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.span = max(ranks.values()) + 1
+        found = [(ranks[left] * self.span + ranks[right], rank) for entry, rank in ranks.items() for cut in range(1, len(entry))
+                 if (left := entry[:cut]) in ranks and (right := entry[cut:]) in ranks]
+        self.keys, self.rank = np.array(sorted(found), np.int64).reshape(-1, 2).T.copy()
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, whether there is one)"""
+        key = left * self.span + right
+        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        return (self.rank[at], self.keys[at] == key) if len(self.keys) else (key, np.zeros(key.shape, bool))
+
+
+def merge_together(pieces: list[bytes], pairs: Pairs) -> list[tuple[int, ...]]:
+    """Ids of several short matches: ``merge_ids`` for each, with a row of the arrays per match."""
+    width = 1 << max(1, (max(map(len, pieces)) - 1).bit_length())
+    size = np.array(list(map(len, pieces)))
+    place = np.arange(width)
+    ids = np.full((len(pieces), width + 1), -1, np.int64)
+    ids[:, :width][place < size[:, None]] = pairs.byte_id[np.frombuffer(b"".join(pieces), np.uint8)]
+    after = np.tile(np.arange(1, width + 2), (len(pieces), 1))
+    before = np.tile(np.arange(-1, width), (len(pieces), 1))
+    tree = np.full((len(pieces), 2 * width), _NONE, np.int64)
+
+    def put(row: np.ndarray, leaf: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        rank, known = pairs.ranks(left, right)
+        tree[row, width + leaf] = np.where(known, rank * width + leaf, _NONE)
+
+    row, leaf = np.nonzero(place < size[:, None] - 1)
+    put(row, leaf, ids[row, leaf], ids[row, leaf + 1])
+    level = width
+    while level > 1:  # all inner nodes, from the leaves up
+        level //= 2
+        tree[:, level:2 * level] = np.minimum(tree[:, 2 * level:4 * level:2], tree[:, 2 * level + 1:4 * level:2])
+    row = np.flatnonzero(tree[:, 1] < _NONE)
+    while len(row):
+        rank, i = np.divmod(tree[row, 1], width)
+        gone = after[row, i]
+        end = after[row, gone]
+        ids[row, i], ids[row, gone], after[row, i] = rank, -1, end
+        before[row, end] = i
+        tree[row, width + gone] = tree[row, width + i] = _NONE
+        more = end < size[row]
+        put(row[more], i[more], rank[more], ids[row[more], end[more]])
+        less = i > 0
+        left = before[row[less], i[less]]
+        put(row[less], left, ids[row[less], left], rank[less])
+        for at, r in ((width + gone, row), (width + i, row), (width + left, row[less])):
+            for _ in range(width.bit_length() - 1):
+                at = at // 2
+                tree[r, at] = np.minimum(tree[r, 2 * at], tree[r, 2 * at + 1])
+        row = row[tree[row, 1] < _NONE]
+    live = ids >= 0
+    flat = ids[live].tolist()
+    ends = np.cumsum(live.sum(axis=1)).tolist()
+    return [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary; ``pattern`` None takes the one published with the rank files."""
 
@@ -96,43 +162,63 @@ class ByteBpe:
         import public_tokenizers
         import regex
 
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, Pairs(ranks)
         self.pattern = regex.compile(pattern or public_tokenizers.PATTERN)
         self.longest = max(map(len, ranks), default=1)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo_chars = 0
 
-    def _piece(self, match: str) -> tuple[int, ...]:
-        piece = match.encode()
-        whole = self.ranks.get(piece)
-        return (whole,) if whole is not None else tuple(merge_ids(piece, self.ranks, self.longest))
-
-    def _matches(self, text: str) -> Iterator[list[str]]:
-        if len(text) <= BLOCK:
-            yield self.pattern.findall(text)
-            return
-        found = (m.group() for m in self.pattern.finditer(text))
-        while block := list(itertools.islice(found, BLOCK // 8)):
-            yield block
-
-    def blocks(self, text: str) -> Iterator[list[int]]:
-        """The ids of ``text``, a bounded number of matches at a time."""
+    def _learn(self, matches: list[list[str]]) -> None:
+        """Put the ids of all these matches into the memo."""
         memo = self.memo
-        for matches in self._matches(text):
-            out: list[tuple[int, ...]] = []
-            for m in matches:
-                ids = memo.get(m)
-                if ids is None:
-                    ids = self._piece(m)
-                    if len(m) <= SHORT:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        memo[m] = ids
-                out.append(ids)
-            yield list(itertools.chain.from_iterable(out))
+        new = {m for ms in matches for m in ms if m not in memo}
+        if len(memo) + len(new) > MEMO or self.memo_chars > MEMO_CHARS:
+            memo.clear()
+            self.memo_chars = 0
+            new = {m for ms in matches for m in ms}
+        short: dict[int, list[tuple[str, bytes]]] = {}
+        for m in new:
+            piece = m.encode()
+            self.memo_chars += len(m)
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                memo[m] = (whole,)
+            elif len(piece) <= SHORT:
+                short.setdefault((len(piece) - 1).bit_length(), []).append((m, piece))
+            else:
+                memo[m] = tuple(merge_ids(piece, self.ranks, self.longest))
+        for words in short.values():
+            memo.update(zip((m for m, _ in words), merge_together([p for _, p in words], self.pairs)))
+
+    def blocks(self, texts: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """(index of the text, some of its ids), texts and ids in order, ids of a bounded number of matches at a time."""
+        waiting: list[tuple[int, list[str]]] = []
+        chars = 0
+
+        def ready() -> Iterator[tuple[int, list[int]]]:
+            self._learn([ms for _, ms in waiting])
+            of = self.memo.__getitem__
+            for k, ms in waiting:
+                yield k, list(itertools.chain.from_iterable(map(of, ms)))
+            waiting.clear()
+
+        for k, text in enumerate(texts):
+            if len(text) > BLOCK:
+                found = (m.group() for m in self.pattern.finditer(text))
+                while part := list(itertools.islice(found, BLOCK // 8)):
+                    waiting.append((k, part))
+                    yield from ready()
+                continue
+            waiting.append((k, self.pattern.findall(text)))
+            chars += len(text)
+            if chars > BLOCK:
+                yield from ready()
+                chars = 0
+        yield from ready()
 
     def encode(self, text: str) -> list[int]:
-        return list(itertools.chain.from_iterable(self.blocks(text)))
+        return [i for _, ids in self.blocks([text]) for i in ids]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -152,29 +238,23 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         codec = _codec(ranks)
         decimal = {i: str(i) for i in codec.bytes_of}
         for b in batches:
-            for lo in range(0, b.num_rows, ROWS):
-                part = b.slice(lo, ROWS)
-                n_tokens, ids_hash, text_hash, all_ids = [], [], [], []
-                for text in pc.fill_null(part.column(1), "").to_pylist():
-                    n, of_ids, of_text, kept = 0, hashlib.sha256(), hashlib.sha256(), []
-                    for ids in codec.blocks(text):
-                        if n and ids:
-                            of_ids.update(b" ")
-                        n += len(ids)
-                        of_ids.update(" ".join(map(decimal.__getitem__, ids)).encode())
-                        of_text.update(codec.decode(ids))
-                        if with_ids:
-                            kept.extend(ids)
-                    n_tokens.append(n)
-                    ids_hash.append(of_ids.hexdigest())
-                    text_hash.append(of_text.hexdigest())
-                    all_ids.append(kept)
-                columns = [part.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            texts = pc.fill_null(b.column(1), "").to_pylist()
+            n_tokens, kept = [0] * len(texts), [[] for _ in texts]
+            of_ids, of_text = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
+            for k, ids in codec.blocks(texts):
+                if n_tokens[k] and ids:
+                    of_ids[k].update(b" ")
+                n_tokens[k] += len(ids)
+                of_ids[k].update(" ".join(map(decimal.__getitem__, ids)).encode())
+                of_text[k].update(codec.decode(ids))
                 if with_ids:
-                    columns.append(pa.array(all_ids, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    kept[k].extend(ids)
+            columns = [b.column(0), pa.array(n_tokens, pa.int64()), *(pa.array([h.hexdigest() for h in hs], pa.string()) for hs in (of_ids, of_text))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     id_type = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")

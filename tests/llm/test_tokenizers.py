@@ -87,6 +87,9 @@ def test_merges_are_leftmost_and_of_smallest_rank():
         ranks = {b: i for i, b in enumerate(entries)}
         piece = bytes(rng.choices(range(97, 101), k=rng.randint(1, 60)))
         assert byte_bpe.merge_ids(piece, ranks, max(map(len, ranks))) == _naive(piece, ranks)
+        pieces = [bytes(rng.choices(range(97, 101), k=rng.randint(1, 33))) for _ in range(6)]
+        full = {bytes([b]): len(ranks) + b for b in range(256) if bytes([b]) not in ranks} | ranks
+        assert byte_bpe.merge_together(pieces, byte_bpe.Pairs(full)) == [tuple(_naive(p, ranks)) for p in pieces]
 
 
 def test_long_match_and_small_blocks(monkeypatch):
