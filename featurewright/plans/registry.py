@@ -102,3 +102,6 @@ def _load() -> None:
     from featurewright.plans import q_models  # noqa: F401
     from featurewright.plans import q_streaming  # noqa: F401
     from featurewright.plans import q_io  # noqa: F401
+    from featurewright.plans import q_selection  # noqa: F401
+    from featurewright.plans import q_evolution  # noqa: F401
+    from featurewright.plans import q_boosting  # noqa: F401

@@ -95,6 +95,12 @@ def _counter() -> int:
     return _COUNT[0]
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete staged data that no plan reads any longer."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df):
     """Cut lineage: compute ``df`` once into the shared checkpoint folder and read it back.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from featurewright.operators.history import upsert
 from featurewright.operators.scan import surrogate_id
-from featurewright.session import materialize
+from featurewright.session import materialize, remove_path, scratch_path
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -111,6 +111,11 @@ def create_feature_table(
     return True
 
 
+def table_partitions(spark: SparkSession, name: str) -> list[str]:
+    """The table's partition columns."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def table_keys(spark: SparkSession, name: str) -> tuple[list[str], list[str]]:
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     pk = [k for k in props.get("featurewright.primary_keys", "").split(",") if k]
@@ -136,28 +141,45 @@ def write_upsert(spark: SparkSession, name: str, updates: DataFrame) -> None:
     whole = not parts or moved_keys(current, updates, keys, parts)
     if not whole:
         current = touched_partitions(current, updates, parts)
-    merged = materialize(upsert(current, updates.select(*current.columns), keys))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if whole else "dynamic")
+    merged = upsert(current, updates.select(*current.columns), keys)
+    _replace(spark, name, merged.select(*spark.table(name).columns), "static" if whole else "dynamic")
+
+
+def _replace(spark: SparkSession, name: str, df: DataFrame, mode: str) -> None:
+    """Insert-overwrite by position: all partitions (static) or those that the rows touch (dynamic).
+
+    The rows are staged first.  The mode is a setting that no write option of
+    ``insertInto`` stands for, so a session of its own writes: the caller's
+    settings count for nothing here and are not changed.
+    """
+    path = scratch_path(spark, "replace")
     try:
-        merged.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        df.write.parquet(path)
+        writer = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if spark.conf.isModifiable(key):
+                writer.conf.set(key, value)
+        writer.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        writer.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+        writer.read.schema(df.schema).parquet(path).write.insertInto(name, overwrite=True)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.catalog.refreshTable(name)
+        remove_path(spark, path)
 
 
 def refresh(spark: SparkSession, name: str, df: DataFrame) -> None:
     """IO8: truncate-and-load by position (the table keeps its schema).
 
     The new rows are staged first and then written with insert-overwrite (which
-    replaces the old rows), so a frame derived from the table itself never
-    reads a table that was already emptied.
+    replaces the old rows of all partitions, whatever the session's overwrite mode), so
+    a frame derived from the table itself never reads a table that was already emptied.
     """
-    materialize(df).write.insertInto(name, overwrite=True)
+    _replace(spark, name, df, "static")
 
 
 def rewrite(spark: SparkSession, name: str, df: DataFrame) -> None:
     """IO9: insert-overwrite by position; a frame derived from the table is staged first."""
-    materialize(df).write.insertInto(name, overwrite=True)
+    _replace(spark, name, df, "static")
 
 
 def create_with_id(spark: SparkSession, name: str, df: DataFrame, keys: Sequence[str], id_col: str = "id") -> None:
