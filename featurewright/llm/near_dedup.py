@@ -7,7 +7,8 @@ minhashes, replace TABLES^2 full band keys: table (i, j) is keyed by the pair
 probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
 
 1. One pass: set size, a 128-bit set fingerprint, A and B of each document
-   (checkpoint; no text).  Equal sets become one node, so copies never meet.
+   (checkpoint; no text).  Equal sets become one node, so copies never meet; where
+   different texts share a fingerprint, a digest of the full sets tells them apart.
 2. A sub-key that only one node has can form no table key.  ``SEEDS`` tables of
    each of A's sub-keys seed the components: each bucket of two or more nodes is
    a star on one of them, so edges grow with the members, not with their pairs.
@@ -18,9 +19,9 @@ probability (1 - (1 - 0.8^3)^16)^2 > 0.99997.
    TABLES^2, across components, and only that, is compared as well, and the
    components closed.
    Where a sub-key or its most frequent component has more than ``BLOCK``
-   nodes, the others there meet that component and each other block by block,
-   all else pair by pair: at most ``BLOCK`` rows a node.  So every pair that shares a table is linked, already joined, or was
-   refuted.
+   nodes, the others there meet that component and each other block by block, on
+   compact sets, all else pair by pair: at most ``BLOCK`` rows a node.  So every
+   pair that shares a table is linked, already joined, or was refuted.
 
 Null or blank text has the empty set and is linked with nothing.  Fewer words
 than the shingle length make one shingle.  A null id is larger than any other;
@@ -30,6 +31,7 @@ rows that share an id are separate documents.
 from __future__ import annotations
 
 import functools
+import hashlib
 from functools import reduce
 
 import numpy as np
@@ -41,6 +43,8 @@ from pyspark.sql import functions as F
 from featurewright.llm.common import documents, freeing, row_slices, small_side, staged, utf8
 
 WORDS, PERCENT, TABLES, ROWS, BLOCK, SEEDS = 5, 80, 16, 3, 64, 2
+#: Bytes of shingle hashes in a block of a large group.
+BLOCK_BYTES = 8 << 20
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -69,7 +73,6 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the rows' words, A-Z lower-cased, and the rows' offsets in them."""
     n = len(buf)
-    up, down = _powers(1 << max(16, int(n).bit_length()))
     blank = np.ones(n + 1, bool)
     blank[:n] = _BLANK[buf]
     head = ~blank[:n]
@@ -81,10 +84,14 @@ def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last = offs[1:][np.diff(offs) > 0] - 1
     tail[last] = ~blank[last]
     starts, ends = np.flatnonzero(head), np.flatnonzero(tail) + 1
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(offs), np.int64)
+    # a sum of mixed (byte, place in the word) values; a polynomial in 64 bits has collisions for every base
+    place = np.arange(n) - np.repeat(np.append(0, starts), np.diff(np.concatenate([[0], starts, [n]])))
+    value = _mix(_BYTE[_LOWER[buf]] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[buf]] * up[:n], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return _mix(h + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offs)
+    np.cumsum(value, out=sums[1:])
+    return _mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offs)
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,65 +217,94 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
     return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(freeing(check), "x bigint, y bigint"))
 
 
+def _sets(used: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(node, shingles) of the nodes in ``used``: the sorted 64-bit hashes of the set, as bytes."""
+    def run(batches):
+        for batch in batches:
+            buf, offs = utf8(batch.column(1))
+            for lo, hi in row_slices(offs, 2 << 20):
+                h, at = shingle_sets(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], k)
+                blobs = [np.sort(h[x:y]).tobytes() for x, y in zip(at, at[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary())], ["node", "shingles"])
+
+    return staged(_texts(used, nodes, docs).mapInArrow(freeing(run), "node bigint, shingles binary"))
+
+
+def _overlaps(index: tuple[np.ndarray, np.ndarray], rows: int, h: np.ndarray) -> np.ndarray:
+    """How many of the hashes ``h`` each of the indexed sets holds."""
+    value, owner = index
+    lo, hi = np.searchsorted(value, h), np.searchsorted(value, h, side="right")
+    size = hi - lo
+    at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    return np.bincount(owner[at], minlength=rows)
+
+
 def _blockwise(probes: DataFrame, comp: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (x, y) of ``probes`` (node, own, major) with the members of the component ``major`` and with its other probes.
 
-    Blocks of members and probes meet blocks of probes: each text is moved once
-    per opposite block instead of once per pair, and no pair is made a row.
-    Within two blocks, what shares a table key but no component is compared.
+    Blocks of members and probes meet blocks of probes; a block is bounded by the
+    bytes of its sets (``BLOCK_BYTES`` of sorted shingle hashes), so a set is moved
+    once per opposite block, and no pair is made a row.  Within two blocks, what
+    shares a table key but no component is compared by its hashes.  A probe needs
+    one link to the component in a block; what passes is confirmed on the full
+    sets, and only if that refutes one (equal hashes of different shingles) are
+    all that pass looked at.
     """
     majors = probes.select("major").distinct()
     members = majors.join(comp, F.col("major") == F.col("comp"), "left").select(F.coalesce("node", "major").alias("node"), F.col("major").alias("own"), "major", F.lit(False).alias("probe"))
     probing = probes.withColumn("probe", F.lit(True))
-    members = staged(members.unionByName(probing))
-    texts = _texts(members.select("node"), nodes, docs).join(nodes.select(F.col("node").alias("s_node"), "n", "a", "b"), F.col("node") == F.col("s_node")).drop("s_node")
-    blocks = members.groupBy(F.col("major").alias("b_major")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("m_blocks"), F.ceil(F.count_if("probe") / BLOCK).alias("p_blocks")
-    )
-    blocks = staged(blocks)
+    members = members.unionByName(probing)
+    sets = _sets(members.select("node"), nodes, docs, k)
+    signed = sets.join(nodes.select(F.col("node").alias("s_node"), "n", "a", "b"), F.col("node") == F.col("s_node")).drop("s_node")
+    placed = staged(members.join(signed, "node"))
+    size = F.length("shingles")
+    blocks = staged(placed.groupBy(F.col("major").alias("b_major")).agg(
+        F.ceil(F.sum(size) / BLOCK_BYTES).alias("m_blocks"), F.ceil(F.sum(F.when(F.col("probe"), size).otherwise(0)) / BLOCK_BYTES).alias("p_blocks")
+    ))
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
         at = rows.join(blocks, F.col("major") == F.col("b_major")).withColumn(own[0], F.pmod(F.xxhash64("node"), F.col(own)))
-        at = at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
-        return at.select("node", "own", "probe", "major", "m", "p").join(texts, "node").toDF("node", "own", "probe", "major", "m", "p", "text", "n", "a", "b")
-
-    def check(left, right):
-        out = {"x": [], "y": []}
-        x, y = left.node.to_numpy(), right.node.to_numpy()
-        if len(x) and len(y):
-            small, large = (f.outer(left.n.to_numpy(), right.n.to_numpy()) for f in (np.minimum, np.maximum))
-            maybe = (100 * small >= percent * large) & np.not_equal.outer(left.own.to_numpy(), right.own.to_numpy())
-            maybe &= ~right.probe.to_numpy(bool) | np.less.outer(x, y)
-            for c in ("a", "b"):
-                maybe &= (np.stack(left[c])[:, None] == np.stack(right[c])[None]).any(axis=2)
-            rows = np.flatnonzero(maybe.any(axis=1))
-            sets = [shingles(left.text.iat[q], k) for q in rows]
-            sizes, at = np.array([len(s) for s in sets], np.int64), {}
-            for s in sets:
-                for w in s:
-                    at.setdefault(w, len(at))
-            held = np.zeros((len(at), len(rows)), bool)
-            for c, s in enumerate(sets):
-                held[[at[w] for w in s], c] = True
-            joined = np.zeros(len(rows), bool)
-            for r in range(len(y)):
-                # the members are one component already: one link to them is enough
-                live = maybe[rows, r] & (right.probe.iat[r] | ~joined)
-                if not live.any():
-                    continue
-                other = shingles(right.text.iat[r], k)
-                seen = np.array([at[w] for w in other if w in at], np.int64)
-                both = sum((held[seen[z:z + 65536]].sum(axis=0) for z in range(0, len(seen), 65536)), np.zeros(len(rows), np.int64))
-                live &= 100 * both >= percent * (sizes + len(other) - both)
-                if not right.probe.iat[r]:
-                    joined |= live
-                out["x"] += x[rows[live]].tolist()
-                out["y"] += [y[r]] * int(live.sum())
-        return pd.DataFrame(out, dtype="int64")
+        at = at.withColumn(other[0], F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).drop("b_major", "m_blocks", "p_blocks")
+        return at.toDF(*at.columns)
+
+    def check(every: bool):
+        def run(left, right):
+            out = {"x": [], "y": []}
+            if not len(left) or not len(right):
+                return pd.DataFrame(out, dtype="int64")
+            x, y, n = left.node.to_numpy(), right.node.to_numpy(), right.n.to_numpy()
+            probe, own = right.probe.to_numpy(bool), right.own.to_numpy()
+            keys = {c: np.stack(right[c]) for c in ("a", "b")}
+            hashes = [np.frombuffer(s, np.uint64) for s in right.shingles]
+            value, owner = np.concatenate(hashes), np.repeat(np.arange(len(y)), n)
+            order = np.argsort(value)
+            index = value[order], owner[order]
+            for r in range(len(x)):
+                mine = left.n.iat[r]
+                live = (100 * np.minimum(n, mine) >= percent * np.maximum(n, mine)) & (own != left.own.iat[r]) & (~probe | (y > x[r]))
+                for c in ("a", "b"):
+                    live &= (keys[c] == left[c].iat[r]).any(axis=1)
+                if live.any():
+                    both = _overlaps(index, len(y), np.frombuffer(left.shingles.iat[r], np.uint64))
+                    at = np.flatnonzero(live & (100 * both >= percent * (n + mine - both)))
+                    member = at[~probe[at]]
+                    at = at if every else np.concatenate([at[probe[at]], member[:1]])
+                    out["x"] += [x[r]] * len(at)
+                    out["y"] += y[at].tolist()
+            return pd.DataFrame(out, dtype="int64")
+
+        return run
 
     key = ["major", "m", "p"]
-    left, right = dealt(probing, "p_blocks", "m_blocks"), dealt(members, "m_blocks", "p_blocks")
-    return staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check, "x bigint, y bigint"))
+    left, right = dealt(placed.filter("probe"), "p_blocks", "m_blocks"), dealt(placed, "m_blocks", "p_blocks")
+
+    def passing(every: bool) -> DataFrame:
+        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check(every), "x bigint, y bigint")
+        return staged(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+
+    found = passing(False)
+    links = _confirmed(found, nodes, docs, k, percent)
+    return links if found.count() == links.count() else _confirmed(passing(True), nodes, docs, k, percent)
 
 
 def _minors(halves: DataFrame, comp: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -296,6 +332,35 @@ def _across(rows: DataFrame, minor: DataFrame) -> DataFrame:
     return x.join(y, (F.col("i") == F.col("yi")) & (F.col("ka") == F.col("yka")) & apart & first_shared & shares_b)
 
 
+def _verified(some: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``some`` with ``digest``: of a fingerprint that different texts share, the SHA-256 of the sorted full shingles.
+
+    Equal fingerprints alone make no set equal.  Only one row of each text under
+    such a fingerprint is read again; rows of one text need no comparison.
+    """
+    same = ["n", "fp1", "fp2"]
+    texts = some.groupBy(*same, "text_hash").agg(F.min("row").alias("node"))
+    several = texts.groupBy(*same).agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").drop("texts")
+    asked = staged(texts.join(several, same))
+    if asked.isEmpty():
+        return some.withColumn("digest", F.lit(""))
+
+    def run(batches):
+        for batch in batches:
+            digests = []
+            for text in batch.column(1).to_pylist():
+                h = hashlib.sha256()
+                for words in sorted(shingles(text, k)):
+                    h.update(b"\n".join(words) + b"\n\n")  # words hold no line ends
+                digests.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], ["node", "digest"])
+
+    found = _texts(asked.select("node"), some.withColumnRenamed("row", "node"), docs).mapInArrow(freeing(run), "node bigint, digest string")
+    digests = staged(asked.join(found, "node").select(*(F.col(c).alias(f"d_{c}") for c in [*same, "text_hash"]), "digest"))
+    on = reduce(lambda p, q: p & q, (F.col(c) == F.col(f"d_{c}") for c in [*same, "text_hash"]))
+    return some.join(small_side(digests), on, "left").withColumn("digest", F.coalesce("digest", F.lit(""))).drop(*(f"d_{c}" for c in [*same, "text_hash"]))
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = WORDS, percent: int = PERCENT, tables: int = TABLES, rows: int = ROWS,
@@ -303,8 +368,8 @@ def near_groups(
     """One row per input row: doc_id, n_shingles, component_id, kept, text_hash."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
     sigs = staged(_signatures(src, words, tables, rows))
-    some = sigs.filter("n > 0")
-    same_set = ["n", "fp1", "fp2"]
+    some = staged(_verified(sigs.filter("n > 0"), src, words))
+    same_set = ["n", "fp1", "fp2", "digest"]
     sets = staged(some.groupBy(*same_set).agg(F.min("row").alias("node")))
     nodes = some.join(sets.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
 
@@ -341,10 +406,11 @@ def near_groups(
         comp = components(reduce(DataFrame.union, found, links))
 
     node_of = sets.select(*(F.col(c).alias(f"s_{c}") for c in same_set), "node")
-    on_set = (F.col("n") == F.col("s_n")) & (F.col("fp1") == F.col("s_fp1")) & (F.col("fp2") == F.col("s_fp2"))
+    on_set = reduce(lambda p, q: p & q, (F.col(c) == F.col(f"s_{c}") for c in same_set))
     group_of = node_of.join(comp, "node", "left").withColumn("grp", F.coalesce("comp", "node")).drop("node", "comp")
+    empty = sigs.filter("n = 0").withColumn("digest", F.lit(""))
     placed_rows = staged(
-        sigs.select("doc_id", "text_hash", "n", "fp1", "fp2", "row").join(group_of, on_set, "left")
+        some.unionByName(empty).select("doc_id", "text_hash", "row", *same_set).join(group_of, on_set, "left")
         .select("doc_id", "text_hash", "n", "row", F.coalesce("grp", "row").alias("grp"))
     )
     first = placed_rows.groupBy(F.col("grp").alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
