@@ -204,53 +204,74 @@ def scd2_merge(
     inserted, so each key keeps exactly one active row.
 
     One left join of the stored rows against the incoming keys replaces the
-    MERGE (unsupported on parquet); ids are re-assigned with a range-partitioned
-    row index ordered by (old id nulls last, key).
+    MERGE (unsupported on parquet).  Ids that are 0 to n - 1 keep their order, so
+    stored rows keep theirs and only inserted rows are numbered, from n on in key
+    order.  Where stored ids have gaps, repeats or nulls, all rows are numbered anew.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    day = F.to_date(F.lit(as_of))
-    inc = incoming.alias("__i")
-    if changed_only:
-        active = stored.where(F.col("active_flag") == "Y")
-        diff = None
-        for c in compare:
-            d = ~F.col(f"__s.{c}").eqNullSafe(F.col(f"__i.{c}"))
-            diff = d if diff is None else diff | d
-        diff = diff if diff is not None else F.lit(True)
-        cond = [F.col(f"__s.{k}") == F.col(f"__i.{k}") for k in keys]
-        changed_keys = active.alias("__s").join(inc, cond, "inner").where(diff).select(
-            *[F.col(f"__s.{k}").alias(k) for k in keys]
-        )
-        existing_active = active.select(*keys)
-        new_keys = incoming.select(*keys).join(existing_active, keys, "left_anti")
-        hit_keys = changed_keys
-        insert = incoming.join(changed_keys.unionByName(new_keys), keys, "left_semi")
-        close_only_active = True
-    else:
-        hit_keys = incoming.select(*keys)
-        insert = incoming
-        close_only_active = False
-    hits = hit_keys.distinct().withColumn("__hit", F.lit(True))
-    s = stored.join(hits, keys, "left")
+    hits, insert = scd2_changes(stored, incoming, keys, changed_only, compare)
+    closed = scd2_closed(stored, hits, keys, as_of, changed_only)
+    return scd2_numbered(stored, closed, scd2_new_rows(stored, insert, as_of, id_col), keys, id_col)
+
+
+def scd2_changes(stored: DataFrame, incoming: DataFrame, keys: Sequence[str], changed_only: bool, compare: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(distinct keys whose stored rows are closed, incoming rows that are inserted)"""
+    if not changed_only:
+        return incoming.select(*keys).distinct(), incoming
+    active = stored.where(F.col("active_flag") == "Y")
+    diff = F.lit(False) if compare else F.lit(True)
+    for c in compare:
+        diff = diff | ~F.col(f"__s.{c}").eqNullSafe(F.col(f"__i.{c}"))
+    same_key = [F.col(f"__s.{k}") == F.col(f"__i.{k}") for k in keys]
+    changed = active.alias("__s").join(incoming.alias("__i"), same_key, "inner").where(diff).select(*[F.col(f"__s.{k}").alias(k) for k in keys])
+    new = incoming.select(*keys).join(active.select(*keys), list(keys), "left_anti")
+    return changed.distinct(), incoming.join(changed.unionByName(new), list(keys), "left_semi")
+
+
+def scd2_closed(stored: DataFrame, hits: DataFrame, keys: Sequence[str], as_of: str, only_active: bool) -> DataFrame:
+    """The stored rows, those of the hit keys (with ``only_active`` their active ones) closed on ``as_of``."""
+    s = stored.join(hits.withColumn("__hit", F.lit(True)), list(keys), "left")
     hit = F.coalesce(F.col("__hit"), F.lit(False))
-    if close_only_active:
+    if only_active:
         hit = hit & (F.col("active_flag") == "Y")
-    closed = s.withColumns(
-        {
-            "end_date": F.when(hit, day).otherwise(F.col("end_date")),
-            "active_flag": F.when(hit, F.lit("N")).otherwise(F.col("active_flag")),
-        }
-    ).drop("__hit")
-    new_rows = insert.withColumns(
-        {
-            id_col: F.lit(None).cast("long"),
-            "active_flag": F.lit("Y"),
-            "start_date": day,
-            "end_date": F.lit(None).cast("date"),
-        }
-    ).select(*stored.columns)
-    merged = closed.select(*stored.columns).unionByName(new_rows)
-    return rekey(merged, id_col, tie=keys)
+    return s.withColumns({
+        "end_date": F.when(hit, F.to_date(F.lit(as_of))).otherwise(F.col("end_date")),
+        "active_flag": F.when(hit, F.lit("N")).otherwise(F.col("active_flag")),
+    }).select(*stored.columns)
+
+
+def scd2_new_rows(stored: DataFrame, insert: DataFrame, as_of: str, id_col: str) -> DataFrame:
+    """Inserted rows in the stored columns, without an id yet."""
+    return insert.withColumns({
+        id_col: F.lit(None).cast("long"), "active_flag": F.lit("Y"),
+        "start_date": F.to_date(F.lit(as_of)), "end_date": F.lit(None).cast("date"),
+    }).select(*stored.columns)
+
+
+def dense_ids(df: DataFrame, id_col: str = "id") -> int | None:
+    """n where the ids are 0 to n - 1, each once, in any order; else None.
+
+    One aggregate: besides number, smallest and largest, the sum of the ids' 64-bit
+    hashes equals that of the numbers themselves (repeats and gaps that keep it
+    are as unlikely as a hash collision).  No id is moved or sorted.
+    """
+    total = F.sum(F.xxhash64(F.col(id_col).cast("long")).cast("decimal(38,0)"))
+    n, ids, low, high, have = df.agg(F.count(F.lit(1)), F.count(id_col), F.min(id_col), F.max(id_col), total).first()
+    if n == 0:
+        return 0
+    if ids != n or low != 0 or high != n - 1:
+        return None
+    numbers = df.sparkSession.range(n).select(F.col("id").alias(id_col))
+    return n if numbers.agg(total).first()[0] == have else None
+
+
+def scd2_numbered(stored: DataFrame, closed: DataFrame, new_rows: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """Closed and new rows, the new ones numbered from the high-water mark; all anew where stored ids are not dense."""
+    start = dense_ids(stored, id_col)
+    if start is None:
+        return rekey(closed.unionByName(new_rows), id_col, tie=keys)
+    numbered = row_index(new_rows.drop(id_col), [F.col(k).asc() for k in keys], id_col, start=start)
+    return closed.withColumn(id_col, F.col(id_col).cast("long")).unionByName(numbered.select(*closed.columns))
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -50,6 +50,70 @@ def quality_profile(
     )
 
 
+#: What a profile row is computed from; sums and a maximum, so states of any parts add up.
+STATE = ("n", "n_both", "n_label", "sum_sq", "sum_abs", "max_abs", "sum_y", "sum_yy")
+
+
+def profile_state(log: DataFrame, ts: str, model_id: str, pred: str, label: str, granularity: str = "1 hour", shift: float = 0.0) -> DataFrame:
+    """A17 as sufficient statistics per (window start, model): stored once, merged and rolled up without the log.
+
+    ``shift`` is subtracted from labels before they are squared; a value near their mean keeps
+    the variance exact where it is small beside the mean.  States that are merged
+    must share it.
+    """
+    err = F.col(pred).cast("double") - F.col(label).cast("double")
+    y = F.col(label).cast("double") - F.lit(float(shift))
+    return log.groupBy(F.window(ts, granularity)["start"].cast("timestamp").alias("start"), F.col(model_id).cast("string").alias("model_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(err).alias("n_both"), F.count(y).alias("n_label"), F.sum(err * err).alias("sum_sq"), F.sum(F.abs(err)).alias("sum_abs"),
+        F.max(F.abs(err)).alias("max_abs"), F.sum(y).alias("sum_y"), F.sum(y * y).alias("sum_yy"),
+    )
+
+
+def _added() -> list:
+    return [(F.max if c == "max_abs" else F.sum)(c).alias(c) for c in STATE]
+
+
+def merge_states(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The state of both logs together, window by window; late data are a state of their own."""
+    return first.unionByName(second).groupBy("start", "model_id").agg(*_added())
+
+
+def roll_up(states: DataFrame, granularity: str) -> DataFrame:
+    """States of coarser windows, whose width is a multiple of the finer one."""
+    return states.groupBy(F.window("start", granularity)["start"].alias("start"), "model_id").agg(*_added())
+
+
+def profile_of_states(states: DataFrame, granularity: str) -> DataFrame:
+    """The profile table (see ``quality_profile``) of states that have this granularity."""
+    agg = states.groupingSets([["start", "model_id"], ["start"]], "start", "model_id").agg(F.grouping("model_id").alias("__all"), *_added())
+    mse = F.try_divide("sum_sq", "n_both")
+    mean = F.try_divide("sum_y", "n_label")
+    variance = F.try_divide("sum_yy", "n_label") - mean * mean
+    return agg.withColumn("end", F.col("start") + F.expr(f"INTERVAL {granularity}")).select(
+        F.struct("start", "end").alias("window"),
+        F.lit(granularity).alias("granularity"),
+        F.when(F.col("__all") == 1, F.lit("*")).otherwise(F.col("model_id")).alias("model_id"),
+        F.lit(":table").alias("column_name"),
+        F.lit(None).cast("string").alias("slice_key"),
+        F.lit(None).cast("string").alias("slice_value"),
+        F.lit("INPUT").alias("log_type"),
+        F.col("n").alias("count"), mse.alias("mean_squared_error"), F.sqrt(mse).alias("root_mean_squared_error"),
+        F.try_divide("sum_abs", "n_both").alias("mean_absolute_error"),
+        (F.lit(1.0) - F.try_divide(mse, F.nullif(variance, F.lit(0.0)))).alias("r2_score"),
+        F.col("max_abs").alias("max_error"),
+    )
+
+
+def refresh_states(spark, table: str, increment: DataFrame) -> None:
+    """Merge the state of new, or late, log rows into a stored state table, one row per (start, model)."""
+    from featurewright.sources.sinks import overwrite_table, refresh, table_exists
+
+    if not table_exists(spark, table):
+        overwrite_table(increment, table)
+    else:
+        refresh(spark, table, merge_states(spark.table(table), increment).select(*spark.table(table).columns))
+
+
 def _table_rows(profile: DataFrame) -> DataFrame:
     """Whole-table, per-model, primary-log rows."""
     return profile.where(

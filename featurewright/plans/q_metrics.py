@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from featurewright.operators.metrics import (
@@ -18,7 +20,7 @@ from featurewright.operators.metrics import (
     roc_auc_ovr,
     squared_diff_plus_one,
 )
-from featurewright.plans.monitoring import latest_value, metric_violated, quality_profile, top_recent
+from featurewright.plans.monitoring import latest_value, metric_violated, profile_of_states, profile_state, quality_profile, refresh_states, roll_up, top_recent
 from featurewright.plans.registry import query, r_sql, rounded
 from featurewright.sources.standins import classification_log, prediction_log, trips
 
@@ -72,6 +74,31 @@ def a17_profile(spark, sf_dir):
     return rounded(_flat(_profile(spark, sf_dir)))
 
 
+def _ntz_window(profile):
+    """The window as the direct profile of a log without time zone has it."""
+    start, end = (F.col(f"window.{c}").cast("timestamp_ntz").alias(c) for c in ("start", "end"))
+    return profile.withColumn("window", F.struct(start, end))
+
+
+@query("A17_profile_rolled_up", PROFILE_SQL)
+def a17_rolled_up(spark, sf_dir):
+    """Hourly sufficient statistics rolled up to days = the direct daily profile."""
+    hourly = profile_state(prediction_log(spark, sf_dir), "timestamp", "model_id", "prediction", "price", "1 hour", shift=35_000.0)
+    return rounded(_flat(_ntz_window(profile_of_states(roll_up(hourly, "1 day"), "1 day"))))
+
+
+@query("A17_profile_late_increment", PROFILE_SQL)
+def a17_late_increment(spark, sf_dir):
+    """One model's rows arrive after the others and are merged into the stored states = the direct daily profile."""
+    log = prediction_log(spark, sf_dir)
+    first = log.agg(F.min("model_id")).first()[0]
+    table = f"fw_states_{uuid.uuid4().hex}"
+    late = F.col("model_id").eqNullSafe(F.lit(first)) | (F.col("price") > 30_000)
+    for rows in (log.where(~F.coalesce(late, F.lit(False))), log.where(F.coalesce(late, F.lit(False)))):
+        refresh_states(spark, table, profile_state(rows, "timestamp", "model_id", "prediction", "price", "1 hour", shift=35_000.0))
+    return rounded(_flat(_ntz_window(profile_of_states(roll_up(spark.table(table), "1 day"), "1 day"))))
+
+
 _RECENT = f"""
   WITH profile AS ({PROFILE_SQL}),
   recent AS (SELECT root_mean_squared_error AS m, window_start AS w, model_id FROM profile

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from featurewright.operators.scan import surrogate_id
 from featurewright.plans.registry import query, r_sql, rounded
 from featurewright.sources import sinks
 from featurewright.sources.tables import read_table, ts_literal
@@ -111,3 +112,31 @@ def io10_create_with_id(spark, sf_dir):
     name = _table("with_id")
     sinks.create_with_id(spark, name, _orders(spark, sf_dir), ["o_orderkey"])
     return rounded(spark.table(name))
+
+
+_HISTORY_SQL = f"""
+  WITH stored AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS id, o_orderkey AS key, o_totalprice AS value, o_year AS start_year FROM ({_ORDERS_SQL})),
+  incoming AS (SELECT o_orderkey AS key, o_totalprice + 1 AS value FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+               UNION ALL SELECT -o_orderkey - 1, 5.0 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+  total AS (SELECT count(*) AS n FROM stored)
+  SELECT s.id, s.key, {r_sql('s.value')} AS value, s.start_year, CASE WHEN i.key IS NULL THEN 'Y' ELSE 'N' END AS active_flag,
+         CASE WHEN i.key IS NOT NULL THEN DATE '2000-01-01' END AS end_date
+  FROM stored s LEFT JOIN incoming i USING (key)
+  UNION ALL
+  SELECT n + row_number() OVER (ORDER BY key) - 1, key, {r_sql('value')}, 2000, 'Y', NULL FROM incoming, total"""
+
+
+@query("C5_history_table_merge", _HISTORY_SQL)
+def c5_history_table(spark, sf_dir):
+    """C5 on a table partitioned by start year: touched partitions alone are rewritten, new rows numbered from the high-water mark."""
+    orders = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("value"), F.col("o_year").alias("start_year"))
+    name = _table("history")
+    stored = surrogate_id(orders, ["key"]).select("id", "key", "value", F.lit("Y").alias("active_flag"), F.lit(None).cast("date").alias("end_date"),
+                                                  F.make_date("start_year", F.lit(1), F.lit(1)).alias("start_date"), "start_year")
+    sinks.overwrite_table(stored, name, ["start_year"])
+    late = read_table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= ts_literal("1997-01-01"))
+    incoming = late.select(F.col("o_orderkey").alias("key"), (F.col("o_totalprice") + 1).alias("value")).unionByName(
+        late.where(F.col("o_orderdate") >= ts_literal("1998-01-01")).select((-F.col("o_orderkey") - 1).alias("key"), F.lit(5.0).alias("value")))
+    if not sinks.write_history(spark, name, incoming.withColumn("start_year", F.lit(2000)), "key", "2000-01-01"):
+        raise AssertionError("the whole table was rewritten")
+    return rounded(spark.table(name).drop("start_date"))

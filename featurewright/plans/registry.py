@@ -105,4 +105,5 @@ def _load() -> None:
     from featurewright.plans import q_selection  # noqa: F401
     from featurewright.plans import q_evolution  # noqa: F401
     from featurewright.plans import q_boosting  # noqa: F401
+    from featurewright.plans import q_jobs  # noqa: F401
     from featurewright.plans import q_streaming_state  # noqa: F401

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.operators.history import upsert
+from featurewright.operators.history import dense_ids, scd2_changes, scd2_closed, scd2_merge, scd2_new_rows, scd2_numbered, upsert
 from featurewright.operators.scan import surrogate_id
 from featurewright.session import materialize, remove_path, scratch_path
 
@@ -167,6 +167,28 @@ def _replace(spark: SparkSession, name: str, df: DataFrame, mode: str) -> None:
         remove_path(spark, path)
 
 
+def write_history(spark: SparkSession, name: str, incoming: DataFrame, key: str | Sequence[str], as_of: str, changed_only: bool = False,
+                  compare: Sequence[str] = (), id_col: str = "id") -> bool:
+    """C5 on a table: merge ``incoming`` into its history; True where only touched partitions were rewritten.
+
+    Touched are the partitions that hold rows to close and those that new rows
+    belong to.  The whole table is rewritten where it has no partitions, where closing
+    moves rows (partitions by flag or end date), or where ids are not dense.
+    """
+    keys, parts, stored = [key] if isinstance(key, str) else list(key), table_partitions(spark, name), spark.table(name)
+    incoming = materialize(incoming)
+    if not parts or {"active_flag", "end_date"} & set(parts) or dense_ids(stored, id_col) is None:
+        _replace(spark, name, scd2_merge(stored, incoming, keys, as_of, changed_only, compare, id_col).select(*stored.columns), "static")
+        return False
+    hits, insert = (materialize(x) for x in scd2_changes(stored, incoming, keys, changed_only, compare))
+    new_rows = scd2_new_rows(stored, insert, as_of, id_col)
+    closing = stored.where(F.col("active_flag") == "Y") if changed_only else stored
+    touched = closing.join(hits, keys, "left_semi").select(*parts).unionByName(new_rows.select(*parts))
+    closed = scd2_closed(touched_partitions(stored, touched, parts), hits, keys, as_of, changed_only)
+    _replace(spark, name, scd2_numbered(stored, closed, new_rows, keys, id_col).select(*stored.columns), "dynamic")
+    return True
+
+
 def refresh(spark: SparkSession, name: str, df: DataFrame) -> None:
     """IO8: truncate-and-load by position (the table keeps its schema).
 
