@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,101 +78,89 @@ def bucket_widths(bucket: str | Sequence[str]) -> list[int]:
 
 def asof_answers(
     base: DataFrame,
-    lookup: Lookup,
+    lookups: Sequence[Lookup],
     embargo: str | None = None,
     bucket: str | Sequence[str] = "1 day",
 ) -> DataFrame:
-    """J5 core: one answer struct per distinct probe point ``(key, ts)`` of ``base``.
-
-    ``bucket`` is one width or a coarse-to-fine list such as ``NESTED_BUCKETS``.
-    Of features at one (key, instant) the largest struct counts, in the bucket
-    and carried alike.  The running ``last`` runs per (key, finest
-    bucket); level ``i`` carries the last feature of earlier level-``i``
-    buckets inside the same level-``i-1`` bucket, so every window partition is
-    bounded by the ratio of adjacent widths (the coarsest by span / width).
-    The answer is the in-bucket hit, else the finest carry, else coarser ones.
-
-    Returns ``__k0.., __t, __f``.  ``base`` and the feature table are read more
-    than once, so both should be scans or materialized tables - never the
-    output of another lookup.
+    """J5 core: one answer per lookup and distinct probe point ``(key, ts)`` of ``base``.
+
+    The lookups share their key columns; each is a number ``__lk`` beside the key,
+    so all of them go through one union, one shuffle by (key, lookup, bucket) and
+    one carry.  ``bucket`` is one width or a coarse-to-fine list such as
+    ``NESTED_BUCKETS``.  Of features at one (key, instant) the largest struct
+    counts.  The running ``last`` runs per (key, lookup, finest bucket); level
+    ``i`` carries the last feature of earlier level-``i`` buckets inside the same
+    level-``i-1`` bucket, so every window partition is bounded by the ratio of
+    adjacent widths (the coarsest by span / width).  The answer is the in-bucket
+    hit, else the finest carry, else coarser ones.
+
+    Returns ``__k0.., __lk, __t, __f`` (a struct of one struct per lookup), dealt
+    by (key, ts).  ``base`` and the feature tables should be scans or materialized
+    tables - never the output of another lookup.
     """
-    keys = list(lookup.lookup_key)
-    tkeys = list(lookup.table_key or keys)
-    ts = lookup.timestamp_lookup_key
-    tts = lookup.table_ts or ts
-    feats = list(lookup.features)
-    out_names = [lookup.rename.get(f, f) for f in feats]
-    kcols = [f"__k{i}" for i in range(len(keys))]
-    ts_type = base.schema[ts].dataType.simpleString()
-
-    f_t = F.col(tts).cast(ts_type)
-    if embargo:
-        f_t = f_t + F.expr(f"INTERVAL {embargo}")
-    fe_raw = lookup.table.select(
-        *[F.col(c).alias(k) for c, k in zip(tkeys, kcols)],
-        f_t.alias("__t"),
-        F.struct(*[F.col(f).alias(o) for f, o in zip(feats, out_names)]).alias("__f"),
-    ).where(F.col("__t").isNotNull())
-    probe_raw = base.select(*[F.col(c).alias(k) for c, k in zip(keys, kcols)], F.col(ts).alias("__t")).where(
-        F.col("__t").isNotNull()
-    )
+    n_keys = len(lookups[0].lookup_key)
+    kcols = [f"__k{i}" for i in range(n_keys)]
+    ts_type = base.schema[lookups[0].timestamp_lookup_key].dataType.simpleString()
+    structs = []
+    for lk in lookups:
+        fields = {f.name: f.dataType for f in lk.table.schema.fields}
+        structs.append("struct<" + ",".join(f"`{lk.rename.get(f, f)}`:{fields[f].simpleString()}" for f in lk.features) + ">")
+    parts = []
+    for i, lk in enumerate(lookups):
+        f_t = F.col(lk.table_ts or lk.timestamp_lookup_key).cast(ts_type)
+        if embargo:
+            f_t = f_t + F.expr(f"INTERVAL {embargo}")
+        own = F.struct(*[F.col(f).alias(lk.rename.get(f, f)) for f in lk.features]).cast(structs[i])
+        found = F.struct(*[(own if j == i else F.lit(None).cast(structs[j])).alias(f"f{j}") for j in range(len(lookups))])
+        parts.append(lk.table.select(*[F.col(c).alias(k) for c, k in zip(lk.table_key or lk.lookup_key, kcols)], F.lit(i).alias("__lk"),
+                                     f_t.alias("__t"), found.alias("__f"), F.lit(False).alias("__probe")))
+    null_f = F.lit(None).cast(parts[0].schema["__f"].dataType)
+    points = F.explode(F.array(*[F.struct(F.lit(i).alias("__lk"), F.col(lk.timestamp_lookup_key).alias("__t")) for i, lk in enumerate(lookups)])).alias("__p")
+    parts.append(base.select(*[F.col(c).alias(k) for c, k in zip(lookups[0].lookup_key, kcols)], points)
+                 .select(*kcols, "__p.*", null_f.alias("__f"), F.lit(True).alias("__probe")))
     widths = bucket_widths(bucket)
     bcols = [f"__b{i}" for i in range(len(widths))]
+    group = [*kcols, "__lk"]
 
-    def with_buckets(df: DataFrame) -> DataFrame:
-        us = epoch_micros("__t")
-        return df.withColumns({b: F.floor(us / F.lit(w)) for b, w in zip(bcols, widths)})
+    # Null keys and times match nothing.  They go here, and buckets are never null: a filter that the optimizer
+    # would infer from one of the joins below would make that branch's shuffle a different one.
+    both = reduce(DataFrame.unionByName, parts).where(reduce(lambda p, c: p & F.col(c).isNotNull(), kcols, F.col("__t").isNotNull()))
+    # One row per instant, combined on the map side; then by (key, lookup, finest bucket), once for all that follows.
+    instants = both.groupBy(*group, "__t").agg(F.max("__f").alias("__f"), F.max("__probe").alias("__probe"))
+    us = epoch_micros("__t")
+    dealt = instants.withColumns({b: F.coalesce(F.floor(us / F.lit(w)), F.lit(0)) for b, w in zip(bcols, widths)}).repartition(*group, bcols[-1])
 
-    fe = with_buckets(fe_raw)
-    probe_src = with_buckets(probe_raw)
-    probes = probe_src.distinct()
+    w_in = Window.partitionBy(*group, bcols[-1]).orderBy("__t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answers = dealt.withColumn("__hit", F.last("__f", ignorenulls=True).over(w_in)).where("__probe").select(*group, *bcols, "__t", "__hit")
 
-    # Running last feature within (key, finest bucket); features first at equal instants.
-    null_f = F.lit(None).cast(fe.schema["__f"].dataType)
-    unioned = fe.select(*kcols, *bcols, "__t", F.lit(0).alias("__kind"), "__f").unionByName(
-        probes.select(*kcols, *bcols, "__t", F.lit(1).alias("__kind"), null_f.alias("__f"))
-    )
-    w_in = (
-        Window.partitionBy(*kcols, bcols[-1])
-        .orderBy("__t", "__kind", "__f")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    answers = (
-        unioned.withColumn("__hit", F.last("__f", ignorenulls=True).over(w_in))
-        .where(F.col("__kind") == 1)
-        .select(*kcols, *bcols, "__t", "__hit")
-    )
-
-    # Carry per level, finest first: each table has one row per active bucket,
-    # both sides reduced by partial aggregation before their (small) shuffles.
+    # Carry per level, finest first: one row per active bucket.
     answer = F.col("__hit")
     for lvl in range(len(widths) - 1, -1, -1):
-        own = bcols[: lvl + 1]
-        parent = bcols[:lvl]
-        last_per_bucket = fe.groupBy(*kcols, *own).agg(
-            F.max_by("__f", F.struct("__t", "__f")).alias("__last"), F.lit(False).alias("__probe")
-        )
-        probe_buckets = probe_src.select(*kcols, *own).distinct().select(
-            *kcols, *own, null_f.alias("__last"), F.lit(True).alias("__probe")
-        )
-        w_carry = (
-            Window.partitionBy(*kcols, *parent).orderBy(own[-1])
-            .rangeBetween(Window.unboundedPreceding, -1)
-        )
-        carry = (
-            last_per_bucket.unionByName(probe_buckets)
-            .withColumn(f"__carry{lvl}", F.last("__last", ignorenulls=True).over(w_carry))
-            .where(F.col("__probe"))
-            .select(*kcols, *own, f"__carry{lvl}")
-        )
-        answers = answers.join(carry, [*kcols, *own], "left")
+        own, parent = bcols[: lvl + 1], bcols[:lvl]
+        has = F.col("__f").isNotNull()
+        active = dealt.groupBy(*group, *own).agg(
+            F.max_by("__f", F.when(has, F.col("__t"))).alias("__last"), F.max("__probe").alias("__probe"))
+        w_carry = Window.partitionBy(*group, *parent).orderBy(own[-1]).rangeBetween(Window.unboundedPreceding, -1)
+        carry = (active.withColumn(f"__carry{lvl}", F.last("__last", ignorenulls=True).over(w_carry))
+                 .where("__probe").select(*group, *own, f"__carry{lvl}"))
+        answers = answers.join(carry, [*group, *own])
         answer = F.coalesce(answer, F.col(f"__carry{lvl}"))
 
-    return answers.select(*kcols, "__t", answer.alias("__f"))
+    return answers.select(*group, "__t", answer.alias("__f")).repartition(*kcols, "__t")
+
+
+def attach(base: DataFrame, lookups: Sequence[Lookup], answers: DataFrame) -> DataFrame:
+    """Join answers back to the base rows on (key, ts), lookup by lookup; the answer side is unique per key."""
+    # The number is hidden behind a term that can't be known before the job runs: a filter on it would
+    # otherwise move below the shuffles, and each lookup would compute its answers with shuffles of its own.
+    answers = answers.withColumn("__lk", F.col("__lk") + F.floor(F.rand(0)).cast("int"))
+    out = base
+    for i, lookup in enumerate(lookups):
+        out = _attach_one(out, lookup, answers.where(F.col("__lk") == i).withColumn("__f", F.col(f"__f.f{i}")))
+    return out
 
 
-def attach(base: DataFrame, lookup: Lookup, answers: DataFrame) -> DataFrame:
-    """Join answers back to the base rows on (key, ts); the answer side is unique per key."""
+def _attach_one(base: DataFrame, lookup: Lookup, answers: DataFrame) -> DataFrame:
     keys = list(lookup.lookup_key)
     ts = lookup.timestamp_lookup_key
     out_names = [lookup.rename.get(f, f) for f in lookup.features]
@@ -201,7 +190,7 @@ def asof_lookup(
     long after its timestamp, which removes the label leakage of window-end
     stamped features (SURVEY Q5).  Default: none, as in the reference.
     """
-    return attach(base, lookup, asof_answers(base, lookup, embargo, bucket))
+    return attach(base, [lookup], asof_answers(base, [lookup], embargo, bucket))
 
 
 def training_set(
@@ -214,14 +203,18 @@ def training_set(
 ) -> DataFrame:
     """As-of lookups, the label kept, excluded columns dropped.
 
-    Every lookup's answers come from the original ``base`` (a scan), never from
-    the previous lookup's output, so no lookup is recomputed inside another;
-    the answers are then joined on one after the other.
+    Lookups by the same key columns are answered together (``asof_answers``), from
+    the original ``base`` (a scan), never from another lookup's output; the answers
+    are then joined on one after the other.
     """
-    answers = [asof_answers(base, lk, embargo=embargo, bucket=bucket) for lk in lookups]
+    together: dict[tuple, list[Lookup]] = {}
+    for lk in lookups:
+        together.setdefault((tuple(lk.lookup_key), base.schema[lk.timestamp_lookup_key].dataType.simpleString()), []).append(lk)
     out = base
-    for lk, ans in zip(lookups, answers):
-        out = attach(out, lk, ans)
+    for group in together.values():
+        out = attach(out, group, asof_answers(base, group, embargo=embargo, bucket=bucket))
+    names = [lk.rename.get(f, f) for lk in lookups for f in lk.features]
+    out = out.select(*base.columns, *names)
     if label is not None and label not in out.columns:
         raise ValueError(f"label column {label!r} not in base")
     return out.drop(*exclude_columns)

@@ -29,16 +29,22 @@ def confusion_matrix(df: DataFrame, actual: str, pred: str) -> DataFrame:
 
 def per_class_counts(df: DataFrame, actual: str, pred: str) -> DataFrame:
     """Per class: support (actual count), predicted count, true positives."""
-    cm = confusion_matrix(df, actual, pred)
-    a = cm.select(F.col("actual").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("n_pred"),
-                  F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0)).alias("tp"))
-    p = cm.select(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"),
-                  F.col("n").alias("n_pred"), F.lit(0).cast("long").alias("tp"))
-    return a.unionByName(p).groupBy("class").agg(
-        F.sum("support").alias("support"), F.sum("n_pred").alias("n_pred"), F.sum("tp").alias("tp")
+    return _by_class(df, actual, pred).agg(
+        F.sum("n_actual").alias("support"), F.sum("n_predicted").alias("n_pred"), F.sum("tp").alias("tp")
     )
 
 
+def _by_class(df: DataFrame, actual: str, pred: str):
+    """The confusion matrix, read once, each cell under its actual and under its predicted class."""
+    zero = F.lit(0).cast("long")
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(zero)
+    cells = F.explode(F.array(
+        F.struct(F.col("actual").alias("class"), F.col("n").alias("n_actual"), zero.alias("n_predicted"), hit.alias("tp")),
+        F.struct(F.col("predicted").alias("class"), zero.alias("n_actual"), F.col("n").alias("n_predicted"), zero.alias("tp")),
+    )).alias("c")
+    return confusion_matrix(df, actual, pred).select(cells).select("c.*").groupBy("class")
+
+
 def per_class_metrics(df: DataFrame, actual: str, pred: str) -> DataFrame:
     """recall = tp / support and precision = tp / predicted (null when undefined)."""
     c = per_class_counts(df, actual, pred)
@@ -67,11 +73,7 @@ def classification_metrics(df: DataFrame, actual: str, pred: str) -> DataFrame:
 
 def class_distribution(df: DataFrame, actual: str, pred: str) -> DataFrame:
     """Per class, how often it was predicted and how often it was the actual value."""
-    a = df.select(F.col(actual).alias("class"), F.lit(0).alias("p"), F.lit(1).alias("a"))
-    p = df.select(F.col(pred).alias("class"), F.lit(1).alias("p"), F.lit(0).alias("a"))
-    return a.unionByName(p).groupBy("class").agg(
-        F.sum("p").cast("long").alias("n_predicted"), F.sum("a").cast("long").alias("n_actual")
-    )
+    return _by_class(df, actual, pred).agg(F.sum("n_predicted").alias("n_predicted"), F.sum("n_actual").alias("n_actual"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -111,14 +113,12 @@ def roc_auc_ovr(
         F.sum(1 - F.col("__y")).cast("double").alias("neg"),
     )
     ps = prefix_sums(g, ["__c", "__s"], ["neg"])
-    # A global prefix over (class, score); subtract each class's starting offset.
-    # One row per class: AQE broadcasts it after measuring its size (no hint).
-    start = ps.groupBy("__c").agg(F.min("before_neg").alias("__start"))
-    within = ps.join(start, "__c").withColumn("below", F.col("before_neg") - F.col("__start"))
-    return within.groupBy(F.col("__c").alias("class")).agg(
-        _div(F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))),
-             F.sum("pos") * F.sum("neg")).alias("auc")
+    # A prefix over all (class, score); what lies before the class is its smallest prefix, taken off at the end.
+    sums = ps.groupBy(F.col("__c").alias("class")).agg(
+        F.sum(F.col("pos") * (F.col("before_neg") + 0.5 * F.col("neg"))).alias("u"), F.min("before_neg").alias("start"),
+        F.sum("pos").alias("p"), F.sum("neg").alias("n"),
     )
+    return sums.select("class", _div(F.col("u") - F.col("start") * F.col("p"), F.col("p") * F.col("n")).alias("auc"))
 
 
 REGRESSION_METRICS = (

@@ -243,8 +243,8 @@ class SparseFit:
             entries = F.explode(F.array(*[
                 F.struct(F.lit(c).alias("feature"), min_max_column(c, *r).alias("value"))
                 for c, r in self.ranges.items()
-            ])).alias("__e")
-            parts.append(filled.select(*[_name(k) for k in keep], entries).select(*[_name(k) for k in keep], "__e.*")
+            ])).alias("__entry")
+            parts.append(filled.select(*[_name(k) for k in keep], entries).select(*[_name(k) for k in keep], "__entry.*")
                          .where(F.col("value") != 0))
         if self.cfg.categorical:
             cells = _cells(filled, self.cfg.categorical, keep)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from featurewright.plans.customer import (
     CustomerConfig,
     appointment_totals,
@@ -32,6 +34,8 @@ CFG = CustomerConfig(
     repurchase_window_years=REPURCHASE_WINDOW_YEARS,
     blank_squash_cols=("Segment",),
 )
+#: For readers of a few columns: no surrogate id, no scan for empty columns, and so no checkpoint for either.
+PLAIN = replace(CFG, id_col=None, drop_all_null=False)
 
 def oracle_ctes(customer: str = "o_custkey") -> str:
     """Oracle side of C1: sold lines marked with their buyer's window, then one row per buyer.

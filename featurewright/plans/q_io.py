@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from featurewright.operators.prep import split
 from featurewright.plans.customer import customer_features, valid_sales
 from featurewright.plans.monitoring import quality_profile
-from featurewright.plans.q_customer import CFG, ORACLE_CTES, _sources, features_sql
+from featurewright.plans.q_customer import CFG, PLAIN, ORACLE_CTES, _sources, features_sql
 from featurewright.plans.q_metrics import PROFILE_SQL
 from featurewright.plans.registry import query, r_sql, rounded
 from featurewright.session import scratch_path
@@ -93,7 +93,7 @@ def io2_path(spark, sf_dir):
 )
 def io11_split(spark, sf_dir):
     """IO11 + IO12: one split table partitioned by split, the train side read back by partition pruning."""
-    feats = customer_features(*_sources(spark, sf_dir), CFG).where(F.col("repurchase_window_passed") == 1)
+    feats = customer_features(*_sources(spark, sf_dir), PLAIN).where(F.col("repurchase_window_passed") == 1)
     root = scratch_path(spark, "split-tables")
     write_split(split(feats.select("ContactCode", "AccountBalance", "lifetime_value"), "ContactCode", 0.3), root)
     return rounded(load_split(spark, root, "train"))
@@ -108,7 +108,7 @@ def io11_split(spark, sf_dir):
 )
 def io11_both_splits(spark, sf_dir):
     """IO11 + IO12: as above, with both sides read back, so rows missing on either one show."""
-    feats = customer_features(*_sources(spark, sf_dir), CFG).where(F.col("repurchase_window_passed") == 1)
+    feats = customer_features(*_sources(spark, sf_dir), PLAIN).where(F.col("repurchase_window_passed") == 1)
     root = scratch_path(spark, "both-splits")
     write_split(split(feats.select("ContactCode", "AccountBalance", "lifetime_value"), "ContactCode", 0.3), root)
     return rounded(load_split(spark, root, "train").unionByName(load_split(spark, root, "test")))
@@ -134,7 +134,7 @@ def p3_valid_sales(spark, sf_dir):
 )
 def p4_candidates(spark, sf_dir):
     """Purchased, window still open, not yet repurchased."""
-    f = customer_features(*_sources(spark, sf_dir), CFG)
+    f = customer_features(*_sources(spark, sf_dir), PLAIN)
     return f.where(
         (F.col("first_purchase_made") == 1) & (F.col("repurchase_window_passed") == 0) & (F.col("repurchase_flag") == 0)
     ).select("ContactCode", "first_hi_purchase_date")
@@ -147,5 +147,5 @@ def p4_candidates(spark, sf_dir):
 )
 def p5_training_rows(spark, sf_dir):
     """P5: rows whose repurchase window has closed."""
-    f = customer_features(*_sources(spark, sf_dir), CFG)
+    f = customer_features(*_sources(spark, sf_dir), PLAIN)
     return f.where(F.col("repurchase_window_passed") == 1).select("ContactCode", "repurchase_flag", "lifetime_value")

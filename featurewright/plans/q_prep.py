@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from featurewright.functions.scalar import bucket, bucket_sql
@@ -78,7 +80,7 @@ _TRAIN_SQL = f"SELECT * FROM ({features_sql()}) WHERE repurchase_window_passed =
 )
 def l4_preprocess(spark, sf_dir):
     """L4 (P5, P15, L1, L2, L3): fit on closed-window customers, transform, entries that are not zero."""
-    feats = customer_features(*_sources(spark, sf_dir), CFG)
+    feats = customer_features(*_sources(spark, sf_dir), replace(CFG, id_col=None))
     train = feats.where(F.col("repurchase_window_passed") == 1)
     cfg = PrepConfig(NUMERIC_FEATURES, CATEGORICAL_FEATURES, 0.0001, keep_cols=("ContactCode",))
     return rounded(SparsePreprocessor(cfg).fit(train).transform(train))

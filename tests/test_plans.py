@@ -39,3 +39,25 @@ def test_filters_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in plan and "EqualTo(c_nationkey,7)" in plan
     plan = _plan(spark, "P1_filter_by_ts")
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+def _shuffles_that_ran(df):
+    """Exchanges of the plan that ran, without those that were reused."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return len(re.findall(r"\bExchange (?:hash|range|single|round)", plan))
+
+
+def test_two_lookups_by_one_key_share_their_shuffles(spark):
+    assert _shuffles_that_ran(entry.queries()["J6_training_set"](spark, SF)) <= 8
+
+
+def test_class_metrics_read_the_log_once(spark):
+    from featurewright.operators import metrics as M
+
+    df = spark.range(1000).selectExpr("id % 3 AS a", "id % 4 AS p", "id / 1000.0D AS s")
+    for out in (M.per_class_metrics(df, "a", "p"), M.class_distribution(df, "a", "p"), M.classification_metrics(df, "a", "p")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Range (") == 1 and "Join" not in plan and "Union" not in plan
+    plan = M.roc_auc_ovr(df, "a", {"0": "s", "1": "s"})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 1  # the offsets of the ordered scan, one row per partition
