@@ -25,7 +25,7 @@ def year_month(ts: Column | str) -> Column:
 
 def is_weekend(ts: Column | str, tz: str = "America/New_York") -> Column:
     """1 when the UTC instant falls on Saturday/Sunday in ``tz``, else 0."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts).cast("timestamp_ntz"))
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), from_epoch_micros(epoch_micros(ts)))
     return F.dayofweek(local).isin(1, 7).cast("int")
 
 
@@ -34,8 +34,10 @@ def _epoch() -> Column:
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    """Microseconds since the epoch, reading the timestamp as UTC wall time."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts).cast("timestamp_ntz"))
+    """Microseconds since the epoch: of an instant (``TIMESTAMP``) in any session zone, of a naive timestamp read as UTC wall time."""
+    c = _c(ts)
+    naive = F.timestamp_diff("MICROSECOND", _epoch(), c.cast("timestamp_ntz"))
+    return F.when(F.typeof(c) == "timestamp", F.unix_micros(c.cast("timestamp"))).otherwise(naive)  # decided when the plan is made
 
 
 def from_epoch_micros(us: Column, ntz: bool = True) -> Column:

@@ -57,8 +57,3 @@ def assemble(base: DataFrame, groups: Sequence[DataFrame], keys: Sequence[str])
 def rows_for_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``keys_df`` - a left-semi join, never collect + isin."""
     return df.join(keys_df.select(*keys), list(keys), "left_semi")
-
-
-def rows_without_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``keys_df`` (left-anti join)."""
-    return df.join(keys_df.select(*keys), list(keys), "left_anti")

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from featurewright.operators.boosting import LEAFWISE, SOFTMAX, log_loss, root_histogram, train_leafwise, train_softmax
-from featurewright.operators.metrics import regression_metrics
-from featurewright.operators.prep import split
+from featurewright.operators.metrics import regression_metrics, roc_auc
+from featurewright.operators.models import score, train_forest_regressor, train_logistic
+from featurewright.operators.prep import min_max, split
 from featurewright.operators.selection import key_text
 from featurewright.plans.q_prep import _hash_sql
 from featurewright.plans.registry import query, r_sql, rounded
@@ -106,18 +108,46 @@ def l9_leafwise_regressor(spark, sf_dir):
     return _leafwise(spark, sf_dir)
 
 
-@query(
-    "L9_leafwise_evaluation",
-    f"""WITH {_LINES_SQL}, mean AS (SELECT avg(net) AS m FROM lines WHERE NOT test)
+_MEAN_SQL = f"""WITH {_LINES_SQL}, mean AS (SELECT avg(net) AS m FROM lines WHERE NOT test)
         SELECT count(*) AS n_test, {r_sql('avg((net - m) * (net - m)) / 1e6')} AS mse_of_mean_in_millions, true AS below_half_of_mean
-        FROM lines, mean WHERE test""",
-)
-def l9_leafwise_evaluation(spark, sf_dir):
-    """Test rows, the error of the training mean, and whether the model's is less than half of it."""
+        FROM lines, mean WHERE test"""
+
+
+def _beside_the_mean(spark, sf_dir, scored):
+    """Test rows, the error of the training mean, and whether the scored rows' error is less than half of it."""
     data = _lines(spark, sf_dir)
     mean = data.where("split = 'train'").agg(F.avg("net").alias("m"))
     error = F.col("net") - F.col("m")
     base = data.where("split = 'test'").crossJoin(F.broadcast(mean)).agg(F.count("*").alias("n_test"), F.avg(error * error).alias("mse"))
-    got = regression_metrics(_leafwise(spark, sf_dir), "prediction", "net").select("mean_squared_error")
+    got = regression_metrics(scored, "prediction", "net").select("mean_squared_error")
     return rounded(base.crossJoin(got).select("n_test", (F.col("mse") / 1e6).alias("mse_of_mean_in_millions"),
                                               (F.col("mean_squared_error") < 0.5 * F.col("mse")).alias("below_half_of_mean")))
+
+
+@query("L9_leafwise_evaluation", _MEAN_SQL)
+def l9_leafwise_evaluation(spark, sf_dir):
+    """The best-first trees beside the training mean."""
+    return _beside_the_mean(spark, sf_dir, _leafwise(spark, sf_dir))
+
+
+@query("L10_forest_evaluation", _MEAN_SQL)
+def l10_forest_evaluation(spark, sf_dir):
+    """A random forest beside the training mean."""
+    data = _lines(spark, sf_dir)
+    model = train_forest_regressor(data.where("split = 'train'"), LINE_FEATURES, "net", trees=20)
+    return _beside_the_mean(spark, sf_dir, score(data.where("split = 'test'"), model, ["l_orderkey", "l_linenumber", "net"]))
+
+
+@query(
+    "L7_logistic_evaluation",
+    f"""WITH {_LINES_SQL} SELECT count(*) AS n_test, {r_sql('avg(CASE WHEN class >= 2 THEN 1.0 ELSE 0.0 END)')} AS share, true AS auc_above_nine_tenths
+        FROM lines WHERE test""",
+)
+def l7_logistic_evaluation(spark, sf_dir):
+    """Balanced logistic regression on scaled features; test rows, the label's share, and whether the AUC exceeds 0.9."""
+    data = min_max(_lines(spark, sf_dir).withColumn("high", (F.col("class") >= 2).cast("int")), LINE_FEATURES)
+    model = train_logistic(data.where("split = 'train'"), LINE_FEATURES, "high", max_iter=100)
+    scored = model.transform(data.where("split = 'test'")).select("high", vector_to_array("probability")[1].alias("p"))
+    auc = roc_auc(scored, "high", "p")
+    both = scored.agg(F.count("*").alias("n_test"), F.avg("high").alias("share")).crossJoin(auc)  # one row and one row
+    return rounded(both.select("n_test", "share", (F.col("auc") > 0.9).alias("auc_above_nine_tenths")))

@@ -7,7 +7,6 @@ plain registry so a job can pick one by name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,12 +82,6 @@ def dropoff_features(
     )
 
 
-FEATURE_FUNCTIONS: dict[str, Callable[..., DataFrame]] = {
-    "pickup": pickup_features,
-    "dropoff": dropoff_features,
-}
-
-
 def round_trip_times(
     df: DataFrame,
     pickup_col: str = "tpep_pickup_datetime",

@@ -73,9 +73,12 @@ LISTING_CSV = {
 }
 
 
-def write_listing_csv(df: DataFrame, path: str) -> None:
-    """IO4: a CSV folder that ``read_listing_csv`` reads back cell for cell (a text that is exactly ``\\N`` excepted)."""
-    df.write.options(**LISTING_CSV | {"emptyValue": '""'}).csv(path)
+def write_listing_csv(df: DataFrame, path: str, rows_a_file: int = 100_000) -> None:
+    """IO4: a CSV folder that ``read_listing_csv`` reads back cell for cell (a text that is exactly ``\\N`` excepted).
+
+    A file with cells of several lines is read by one task, so files hold ``rows_a_file`` rows at most.
+    """
+    df.write.options(**LISTING_CSV | {"emptyValue": '""'}).option("maxRecordsPerFile", rows_a_file).csv(path)
 
 
 def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> str:
