@@ -53,7 +53,7 @@ HEX = "[0-9a-f]{24,}"
 MIN_VALUE = 6
 KINDS = ("assign", "access", "hex", "random")
 
-MIN_RUN, FDR, UNIFORM_ALPHA, BINS, NOISE, PRIOR = 20, 0.01, 0.001, 400, 0.1, 100
+MIN_RUN, FDR, UNIFORM_ALPHA, BINS, NOISE, PRIOR, SUMS = 20, 0.01, 0.001, 400, 0.1, 100, 128
 _CLASS = "A-Za-z0-9+/_=-"
 RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_RUN},}}"
 PART = f"[A-Za-z0-9+]{{{MIN_RUN},}}"
@@ -85,19 +85,48 @@ def spans(text: Column, pattern: str, kind: int, value_group: int | None = None)
     """Spans (start, kind, end) of the pattern's leftmost non-overlapping matches."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else found
-    parts = F.arrays_zip(found.alias("m"), values.alias("v"), F.split(text, pattern, -1).alias("p"))
+    sizes = F.transform(F.arrays_zip(found.alias("m"), values.alias("v"), F.split(text, pattern, -1).alias("p")), lambda x: F.struct(
+        F.length(x["p"]).alias("gap"), F.length(x["m"]).alias("match"), F.length(x["v"]).alias("value")))
     least = MIN_VALUE if value_group else 0
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
-        end = start + F.length(x["m"])
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        out = F.when(F.length(x["v"]) >= least, F.concat(acc["out"], span)).otherwise(acc["out"])  # after the last match both are null
-        return F.struct(end.alias("at"), out.alias("out"))
+    def placed(x: Column) -> Column:
+        return _let(starts(F.transform(x, lambda y: y["gap"] + y["match"])), lambda at: F.transform(
+            F.filter(F.arrays_zip(x.alias("x"), at.alias("at")), lambda z: z["x"]["value"] >= least),
+            lambda z: F.struct((z["at"] + z["x"]["gap"]).alias("start"), F.lit(kind).alias("kind"), (z["at"] + z["x"]["gap"] + z["x"]["match"]).alias("end"))))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
     # the last piece follows no match
-    return F.aggregate(F.filter(parts, lambda x: x["m"].isNotNull()), begin, step, lambda acc: acc["out"])
+    return _let(F.filter(sizes, lambda x: x["match"].isNotNull()), placed)
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def starts(sizes: Column) -> Column:
+    """Sum of all earlier elements at each place of an array<int>, in time close to its length.
+
+    Sums of blocks of ``SUMS``, and of blocks of those, so an element adds up at
+    most ``SUMS`` numbers on each of two levels; an array that grew element by
+    element would be copied as often.
+    """
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda s, v: s + v)
+
+    def blocks(x: Column) -> Column:
+        n = F.floor((F.size(x) + SUMS - 1) / SUMS).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda b: total(F.slice(x, b * SUMS + 1, F.lit(SUMS))))).otherwise(F.array().cast("array<int>"))
+
+    def within(x: Column, before: Column) -> Column:
+        """The sums over ``x``, given those before each of its blocks."""
+        return F.transform(x, lambda _, i: F.get(before, F.floor(i / SUMS).cast("int")) + total(F.slice(x, F.floor(i / SUMS).cast("int") * SUMS + 1, i % SUMS)))
+
+    def top(x: Column) -> Column:
+        return F.transform(x, lambda _, i: total(F.slice(x, F.lit(1), i)))
+
+    # every array is bound before a lambda slices it: an expression there would be computed for each element
+    return _let(sizes, lambda x: _let(blocks(x), lambda one: _let(blocks(one), lambda two: _let(
+        top(two), lambda far: _let(within(one, far), lambda before: within(x, before))))))
 
 
 def _if_any(text: Column, pattern: str, value: Column) -> Column:
@@ -193,6 +222,20 @@ def thresholds(tested: DataFrame, fdr: float = FDR) -> dict[int, int]:
     return {r["length_class"]: r["bin"] for r in hits.groupBy("length_class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def _uncovered(cand: DataFrame, base: DataFrame) -> DataFrame:
+    """Candidates (row, of, r) that no base span (row, b) overlaps: of the base spans that start before one ends, none ends behind its start.
+
+    One sorted pass over each row's spans, whatever their number.
+    """
+    none = F.lit(None)
+    asks = cand.select("row", "of", "r", F.col("r.span.end").alias("at"), F.lit(0).alias("later"), none.cast("int").alias("upto"))
+    spans_ = base.select("row", none.cast(cand.schema["of"].dataType).alias("of"), none.cast(cand.schema["r"].dataType).alias("r"),
+                         F.col("b.start").alias("at"), F.lit(1).alias("later"), F.col("b.end").alias("upto"))
+    before = Window.partitionBy("row").orderBy("at", "later").rowsBetween(Window.unboundedPreceding, -1)
+    reached = asks.unionByName(spans_).withColumn("reached", F.max("upto").over(before))
+    return reached.filter("later = 0 AND (reached IS NULL OR reached <= r.span.start)").select("row", "of", "r")
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -215,14 +258,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.zip_with("run_spans", "run_texts", lambda s, t: F.struct(s.alias("span"), t.alias("run"))).alias("runs"),
         )
     )
-    runs = scanned.select("row", "base", F.explode("runs").alias("r")).select("row", "base", "r.span", "r.run")
+    runs = scanned.select("row", F.explode("runs").alias("r")).select("row", "r.span", "r.run")
     part_spans = F.transform(spans(F.col("run"), PART, 3), lambda x: F.struct(
         (F.col("span.start") + x["start"]).alias("start"), x["kind"].alias("kind"), (F.col("span.start") + x["end"]).alias("end")))
     parts = F.zip_with(part_spans, F.regexp_extract_all("run", F.lit(PART), F.lit(0)), lambda s, t: F.struct(s.alias("span"), t.alias("run")))
     whole = F.struct("span", "run")
-    cand = runs.select("row", "base", F.col("span").alias("of"), F.explode(F.concat(F.array(whole), F.filter(parts, lambda x: x["run"] != F.col("run")))).alias("r"))
-    # what a base span already covers is no candidate
-    cand = cand.filter("NOT exists(base, b -> b.start < r.span.end AND b.end > r.span.start)")
+    cand = runs.select("row", F.col("span").alias("of"), F.explode(F.concat(F.array(whole), F.filter(parts, lambda x: x["run"] != F.col("run")))).alias("r"))
+    cand = _uncovered(cand, scanned.filter("size(runs) > 0").select("row", F.explode("base").alias("b")))
     tested = staged(battery(cand.select("row", "of", "r.span", "r.run")))
     words = src.select(F.explode(F.split("text", f"[^{_CLASS}]+")).alias("word")).filter((F.length("word") > 0) & (F.length("word") < MIN_RUN))
     by_words = transitions(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
@@ -233,8 +275,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     accepted = F.lit(False)
     for length_class, least in sorted(cut.items()):
         accepted = accepted | ((F.col("length_class") == length_class) & (F.col("bin") >= least))
-    extra = tested.filter(accepted & F.col("uniform")).groupBy(F.col("row").alias("x_row")).agg(F.collect_list(F.struct("of", "span")).alias("found"))
-    extra = extra.select("x_row", F.expr("transform(filter(found, f -> f.of = f.span OR NOT exists(found, g -> g.span = f.of)), f -> f.span)").alias("extra"))
+    # of an accepted run the parts are not added
+    is_whole = F.col("of") == F.col("span")
+    of_run = tested.filter(accepted & F.col("uniform")).groupBy("row", "of").agg(F.max(is_whole).alias("whole"), F.collect_list("span").alias("found"))
+    kept = of_run.select("row", F.explode(F.when(F.col("whole"), F.array("of")).otherwise(F.col("found"))).alias("span"))
+    extra = kept.groupBy(F.col("row").alias("x_row")).agg(F.collect_list("span").alias("extra"))
     out = scanned.join(extra, F.col("row") == F.col("x_row"), "left").withColumn("extra", F.coalesce("extra", F.array().cast(_SPAN)))
     names = F.array(*[F.lit(k) for k in KINDS])
 
