@@ -2,8 +2,9 @@
 
 Per language a suffix automaton is built from a bounded sample of labelled
 text.  A text is parsed greedily: as long as the automaton can follow, the
-phrase grows; where it can't, a new phrase begins.  The language that needs
-the fewest phrases per symbol wins (ties: the smaller name).
+phrase grows; where it can't, a new phrase begins.  A phrase is charged the bits
+that point into the language's learned text, so samples of different sizes
+compare; the language of the fewest bits wins (ties: the smaller name).
 
 Symbols are the UTF-8 bytes of the lower-cased text, runs of ASCII
 non-letters being one space.  The parse restarts every ``BLOCK`` symbols, for
@@ -12,10 +13,10 @@ vectorised table step per symbol; texts of any length are parsed whole.
 
 The sample (the only bounded thing): ``SAMPLE_DOCS`` documents of smallest
 hash per language, ``DOC_CHARS`` of each and ``SAMPLE_BYTES`` symbols in all, dealt evenly over the
-languages.  The tables are a bounded broadcast: two states per sampled symbol.
+languages, ``LEAST_BYTES`` at least to each.  The tables are a bounded broadcast: two states per sampled symbol.
 
 Null text, text without a letter, and any text if nothing could be learned
-give ``und`` with score 0.  The score is 1 - fewest / second fewest phrases
+give ``und`` with score 0.  The score is 1 - fewest / second fewest bits
 (1 if only one language is known).
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from featurewright.llm.common import documents, freeing, row_slices, utf8
 
-SAMPLE_DOCS, DOC_CHARS, SAMPLE_BYTES, BLOCK = 64, 4096, 1 << 16, 512
+SAMPLE_DOCS, DOC_CHARS, SAMPLE_BYTES, LEAST_BYTES, BLOCK = 64, 4096, 1 << 16, 256, 512
 UNDETERMINED = "und"
 _SYMBOL = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 
@@ -92,6 +93,8 @@ class Model:
             tables.append(((t + base) * width * 2 + fresh).astype(np.int32).ravel())
             self.roots.append(base * width)
             base += len(step)
+        # a phrase costs the bits that point into the learned text: samples of other sizes become comparable
+        self.bits = np.array([np.log2(max(len(samples[lang]), 2)) for lang in self.langs])
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
     def phrases(self, s: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -132,7 +135,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", k
     for r in sorted(((r["lang"], r["n"], r["text"]) for r in picked), key=lambda r: r[:2]):
         s, _ = symbols(*utf8(pc.utf8_lower(pa.array([r[2]], pa.string()))))
         texts.setdefault(r[0], []).append(s.tobytes())
-    each = SAMPLE_BYTES // max(1, len(texts))
+    each = max(SAMPLE_BYTES // max(1, len(texts)), LEAST_BYTES)
     samples = {}
     for lang, parts in texts.items():
         share = max(1, each // len(parts))
@@ -153,12 +156,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", pred_col: str
             buf, offs = utf8(pc.utf8_lower(text))
             pred, score = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows)
             for lo, hi in row_slices(offs, 4 << 20) if m.langs else ():
-                n = m.phrases(*symbols(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]))
+                n = m.phrases(*symbols(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])) * m.bits
                 best = n.argmin(axis=1)
                 two = np.sort(n, axis=1)[:, :2]
                 for r in np.flatnonzero(letter[lo:hi]):
                     pred[lo + r] = m.langs[best[r]]
-                    score[lo + r] = 1 - two[r, 0] / max(1, two[r, 1]) if len(m.langs) > 1 else 1.0
+                    score[lo + r] = 1 - two[r, 0] / max(1.0, two[r, 1]) if len(m.langs) > 1 else 1.0
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, pred_col, score_col])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]

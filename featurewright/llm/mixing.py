@@ -11,7 +11,8 @@ last), shared over all words; a target stops at ``max_epochs`` times its
 source's words and the excess is reshared by weight until none is above.
 
 Null text has 0 words; null source is a source; empty sources get target 0;
-rows that agree in source, id and words are cut alike.
+rows that agree in source, id and words are numbered in the order they are met, so
+a cut among them falls in one of them, as the running sums part them.
 """
 
 from __future__ import annotations
@@ -111,9 +112,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         plan.groupBy("source").agg(
             F.max("epochs").alias("epochs"),
             F.min(F.when(F.col("part_words") < F.col("size"), at)).alias("cut"),
-            F.max(F.when(F.col("part_words") < F.col("size"), F.col("part_words"))).alias("part"),
         )
-        .select(F.col("source").alias("__cut_source"), F.struct("epochs", "cut", "part").alias("__plan"))
+    )
+    # what the rows at the cut get together, and how many they are
+    equal = plan.withColumnRenamed("source", "p_source").join(
+        small_side(cuts.select("source", "cut")), F.col("p_source").eqNullSafe(F.col("source")) & (at == F.col("cut"))
+    ).groupBy(F.col("source").alias("e_source")).agg(F.sum("part_words").alias("part"), F.count(F.lit(1)).alias("rows"))
+    cuts = staged(
+        cuts.join(equal, F.col("source").eqNullSafe(F.col("e_source")), "left")
+        .select(F.col("source").alias("__cut_source"), F.struct("epochs", "cut", "part", "rows").alias("__plan"))
     )
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"), F.col(source_col).alias("__source"), F.col(text_col).alias("__text"),
@@ -122,8 +129,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                  F.col(id_col).alias("doc_id"), n_words(F.col(text_col)).alias("size")).alias("__at"),
     )
     row = row.join(small_side(cuts), F.col("__source").eqNullSafe(F.col("__cut_source")))
+    at_cut = F.coalesce(F.col("__at") == F.col("__plan.cut"), F.lit(False))
+    number = F.lit(0).cast("long")
+    if not cuts.filter("__plan.rows > 1").isEmpty():
+        # equal rows at a cut: number them per source, apart from all others
+        same = staged(row.filter(at_cut).withColumn("__met", F.monotonically_increasing_id()))
+        placed = staged(row_index(same, [F.col("__source").asc_nulls_last(), "__met"], "__place"))
+        first = placed.groupBy(F.col("__source").alias("__f_source")).agg(F.min("__place").alias("__first"))
+        placed = placed.join(small_side(staged(first)), F.col("__source").eqNullSafe(F.col("__f_source")))
+        placed = placed.withColumn("__number", F.col("__place") - F.col("__first")).select(*row.columns, "__number")
+        row = row.filter(~at_cut).withColumn("__number", number).unionByName(placed)
+        number = F.col("__number")
     whole = F.col("__plan.cut").isNull() | (F.col("__at") < F.col("__plan.cut"))
-    extra = F.when(whole, F.col("__size")).when(F.col("__at") == F.col("__plan.cut"), F.col("__plan.part")).otherwise(0)
+    left = F.least(F.greatest(F.col("__plan.part") - number * F.col("__size"), F.lit(0)), F.col("__size"))
+    extra = F.when(whole, F.col("__size")).when(at_cut, left).otherwise(0)
     # the first n words with what stands between them
     first_words = F.when(extra > 0, F.regexp_extract_all(F.col("__text"), F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)))
     cut_text = F.when(extra < F.col("__size"), F.array_join(F.slice(first_words, 1, extra.cast("int")), "")).otherwise(F.col("__text"))

@@ -9,9 +9,10 @@ placing a piece of L tokens at level h changes the sum by
 2 * (count[h + L] - count[h] + 1); a new window (h = 0) and one that gets full
 change one term only, by 2 * count[L] + 1 and 1 - 2 * count[h].
 
-When too many windows are open, or the partition ends, the open ones are laid
-end to end and cut anew at the window size, so padding is at most one window
-in a partition.  Memory: the batch read and at most ``MAX_OPEN`` windows.
+When the partition ends, the open windows are laid end to end and cut anew at the
+window size, so padding is at most one window in a partition.  Memory: the batch
+read and the ids in open windows, of whatever number: at most those of the
+partition, four bytes a token.
 
 Null text is empty; an empty document is its end token alone.  Rows that share
 an id are packed as separate documents.  Sequence ids are (partition, number).
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from featurewright.llm.common import documents, freeing
 
-WINDOW, END_ID, MAX_OPEN = 2048, 1, 2048
+WINDOW, END_ID = 2048, 1
 TOKENIZER, RANKS, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "<|endoftext|>"
 #: Longer runs of white space overflow the rank encoder's pattern matcher.
 _LONG_SPACE = re.compile(r"\s{5000}")
@@ -74,11 +75,10 @@ def encoder(json_name: str = TOKENIZER, ranks_name: str = RANKS):
 class Packer:
     """Packs pieces (doc_id, start, ids, doc_tokens); finished windows come out of ``done`` as lists of pieces."""
 
-    def __init__(self, window: int = WINDOW, max_open: int = MAX_OPEN):
-        self.window, self.max_open = window, max_open
+    def __init__(self, window: int = WINDOW):
+        self.window = window
         self.count = np.zeros(window + 1, np.int64)
         self.open: dict[int, list[list]] = {}
-        self.n_open = 0
         self.done: list[list] = []
 
     def add(self, doc_id, ids: np.ndarray) -> None:
@@ -114,7 +114,6 @@ class Packer:
         if not stack:
             del self.open[level]
         self.count[level] -= 1
-        self.n_open -= 1
         return pieces
 
     def _put(self, level: int, pieces: list) -> None:
@@ -123,9 +122,6 @@ class Packer:
             return
         self.open.setdefault(level, []).append(pieces)
         self.count[level] += 1
-        self.n_open += 1
-        if self.n_open > self.max_open:
-            self._join_open()
 
     def _join_open(self) -> None:
         """Lay the open windows end to end and cut them anew; one stays open at most."""
@@ -140,7 +136,7 @@ class Packer:
                     if level == self.window:
                         self.done.append(now)
                         now, level = [], 0
-        self.open, self.n_open = {}, 0
+        self.open = {}
         self.count[:] = 0
         if now:
             self._put(level, now)

@@ -8,7 +8,8 @@ are among those strings count one token without any merging; only the rest
 A pre-token's merges do not depend on its neighbours, so the sum over
 pre-tokens is the library's count.  Texts in Latin-1 are lower-cased and split
 here by the tokenizer's own pattern (its normal form changes nothing else
-there); others are normalised and split by the library's own components.
+there); others are normalised and split by the library's own components, and
+their words, back from the byte alphabet, take the same two ways.
 Special strings are cut out first and count one each.
 
 Null text is empty and counts 0.  Nothing is shuffled: one pass over the scan.
@@ -67,14 +68,14 @@ class Counter:
         special = sorted((a.content for a in self.t.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
-    def words(self, text: str) -> tuple[list[str], bool]:
-        """The pre-tokens, and whether they are still in plain characters (else in the byte alphabet)."""
+    def words(self, text: str) -> list[str]:
+        """The pre-tokens in plain characters."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             split = self.t.pre_tokenizer.pre_tokenize_str(self.t.normalizer.normalize_str(text))
-            return [w for w, _ in split], False
-        return _WORDS.findall(text.lower()), True
+            return [_from_bytes(w) for w, _ in split]
+        return _WORDS.findall(text.lower())
 
     def merge(self, words: set[str]) -> None:
         """Let the library merge what is not known yet."""
@@ -90,12 +91,7 @@ class Counter:
             if self.special and self.special.search(text):
                 out[k] += len(self.special.findall(text))
                 parts = self.special.split(text)
-            for part in parts:
-                words, here = self.words(part)
-                if here:
-                    plain.append((k, words))
-                else:
-                    out[k] += self._other(part, words)
+            plain += [(k, self.words(part)) for part in parts]
         rest = [(k, [w for w in words if w not in self.known], len(words)) for k, words in plain]
         self.merge({w for _, r, _ in rest for w in r})
         memo = self.memo
@@ -103,12 +99,6 @@ class Counter:
             out[k] += n - len(r) + sum(map(memo.__getitem__, r))
         return out
 
-    def _other(self, part: str, words: list[str]) -> int:
-        """Beyond Latin-1: words in the byte alphabet, looked up by their text; the library merges the rest in place."""
-        if all(_from_bytes(w) in self.known for w in words):
-            return len(words)
-        return len(self.t.encode(part, add_special_tokens=False).ids)
-
 
 @functools.cache
 def _byte_alphabet() -> dict[str, int]:
@@ -119,8 +109,7 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 def _from_bytes(word: str) -> str:
-    table = _byte_alphabet()
-    return bytes(table[c] for c in word).decode("utf-8", "replace")
+    return bytes(map(_byte_alphabet().__getitem__, word)).decode()
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
