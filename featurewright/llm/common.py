@@ -12,11 +12,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from featurewright.session import checkpoint_dir
 
-#: Rows up to which a counted side may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Bytes up to which a measured side may be broadcast; beyond them the join shuffles.
+BROADCAST_BYTES = 16 << 20
+#: Rows of small staged data that one task takes on.
+ROWS_A_TASK = 50_000
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -25,9 +28,29 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (staged) with a broadcast hint if it was counted to at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.count() <= rows else df
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` staged, in as few partitions as its rows need: what follows small data gets few tasks, large data keeps its own."""
+    done = staged(df)
+    return done.coalesce(done.count() // ROWS_A_TASK + 1)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: a word a column and what variable-length values hold."""
+    size = F.lit(24 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, ArrayType) and f.dataType.elementType.simpleString() in ("int", "bigint", "double", "struct<first:int,last:int>"):
+            size = size + F.coalesce(F.greatest(F.size(c), F.lit(0)) * 24, F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (staged) with a broadcast hint if it was measured to hold at most ``limit`` bytes, else as it is."""
+    return F.broadcast(df) if (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit else df
 
 
 def new_value(column: str, text_col: str, text: Column, changed: Column, old: Column) -> Column:

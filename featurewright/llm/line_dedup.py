@@ -113,7 +113,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` as struct ``doc``, with new_text, n_lines, n_removed, n_runs."""
     runs = staged(removed_runs(docs, id_col, text_col, min_words).select(F.col("d").alias("r_d"), F.col("h").alias("r_h"), "runs", "n_removed"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("d"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    out = rows.join(small_side(runs, 100_000), F.col("d").eqNullSafe(F.col("r_d")) & (F.col("h") == F.col("r_h")), "left")
+    out = rows.join(small_side(runs), F.col("d").eqNullSafe(F.col("r_d")) & (F.col("h") == F.col("r_h")), "left")
     lines = F.split("text", "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.exists("runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
     return out.select(

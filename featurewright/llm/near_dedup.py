@@ -40,11 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurewright.llm.common import documents, freeing, row_slices, small_side, staged, utf8
+from featurewright.llm.common import documents, freeing, packed, row_slices, small_side, staged, utf8
 
 WORDS, PERCENT, TABLES, ROWS, BLOCK, SEEDS = 5, 80, 16, 3, 64, 2
 #: Bytes of shingle hashes in a block of a large group.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -171,14 +171,15 @@ def _signatures(docs: DataFrame, k: int, tables: int, rows: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over ``edges`` (x, y), for nodes with an edge."""
-    both = staged(edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    label = staged(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("comp")))
+    both = packed(edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    label = packed(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("comp")))
     while True:
-        near = both.join(label.select(F.col("node").alias("y"), "comp"), "y").groupBy(F.col("x").alias("n_node")).agg(F.min("comp").alias("near"))
-        best = label.join(near, F.col("node") == F.col("n_node")).select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
+        own = small_side(label)  # small: no shuffle but that of the minimum
+        near = both.join(own.select(F.col("node").alias("y"), "comp"), "y").groupBy(F.col("x").alias("n_node")).agg(F.min("comp").alias("near"))
+        best = near.join(own, F.col("node") == F.col("n_node")).select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         # pointer jumping: the label's own label
-        jump = label.select(F.col("node").alias("j_node"), F.col("comp").alias("j_comp"))
-        new = staged(best.join(jump, F.col("comp") == F.col("j_node")).select("node", F.least("comp", "j_comp").alias("comp"), "was"))
+        jump = own.select(F.col("node").alias("j_node"), F.col("comp").alias("j_comp"))
+        new = packed(best.join(jump, F.col("comp") == F.col("j_node")).select("node", F.least("comp", "j_comp").alias("comp"), "was"))
         label = new.select("node", "comp")
         if new.filter("comp <> was").isEmpty():
             return label
@@ -186,7 +187,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _texts(used: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``used``: the one place where texts are moved, and only those that are compared."""
-    want = staged(nodes.join(used.distinct(), "node").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")))
+    want = packed(nodes.join(used.distinct(), "node").select("node", F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash")))
     found = docs.join(small_side(want), F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")))
     return staged(found.select("node", "text").dropDuplicates(["node"]))
 
@@ -214,7 +215,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, perc
 
     lx = texts.select(F.col("node").alias("x"), F.col("text").alias("tx"))
     ly = texts.select(F.col("node").alias("y"), F.col("text").alias("ty"))
-    return staged(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(freeing(check), "x bigint, y bigint"))
+    return packed(pairs.select("x", "y").join(ly, "y").join(lx, "x").select("x", "y", "tx", "ty").mapInArrow(freeing(check), "x bigint, y bigint"))
 
 
 def _sets(used: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -245,10 +246,10 @@ def _blockwise(probes: DataFrame, comp: DataFrame, nodes: DataFrame, docs: DataF
     Blocks of members and probes meet blocks of probes; a block is bounded by the
     bytes of its sets (``BLOCK_BYTES`` of sorted shingle hashes), so a set is moved
     once per opposite block, and no pair is made a row.  Within two blocks, what
-    shares a table key but no component is compared by its hashes.  A probe needs
-    one link to the component in a block; what passes is confirmed on the full
-    sets, and only if that refutes one (equal hashes of different shingles) are
-    all that pass looked at.
+    shares a table key but no component is compared by its hashes; groups that a
+    link has joined there are one from then on, so the links of two blocks are
+    fewer than their rows.  They are confirmed on the full sets, and only if that
+    refutes one (equal hashes of different shingles) are all that pass looked at.
     """
     majors = probes.select("major").distinct()
     members = majors.join(comp, F.col("major") == F.col("comp"), "left").select(F.coalesce("node", "major").alias("node"), F.col("major").alias("own"), "major", F.lit(False).alias("probe"))
@@ -279,16 +280,26 @@ def _blockwise(probes: DataFrame, comp: DataFrame, nodes: DataFrame, docs: DataF
             value, owner = np.concatenate(hashes), np.repeat(np.arange(len(y)), n)
             order = np.argsort(value)
             index = value[order], owner[order]
+            group = own.copy()  # what the links found here join is not compared again
+            joined = {}
             for r in range(len(x)):
-                mine = left.n.iat[r]
+                mine, its = left.n.iat[r], left.own.iat[r]
+                while its in joined:
+                    its = joined[its]
                 live = (100 * np.minimum(n, mine) >= percent * np.maximum(n, mine)) & (own != left.own.iat[r]) & (~probe | (y > x[r]))
+                if not every:
+                    live &= group != its
                 for c in ("a", "b"):
-                    live &= (keys[c] == left[c].iat[r]).any(axis=1)
+                    if live.any():
+                        live &= (keys[c] == left[c].iat[r]).any(axis=1)
                 if live.any():
                     both = _overlaps(index, len(y), np.frombuffer(left.shingles.iat[r], np.uint64))
                     at = np.flatnonzero(live & (100 * both >= percent * (n + mine - both)))
-                    member = at[~probe[at]]
-                    at = at if every else np.concatenate([at[probe[at]], member[:1]])
+                    if not every:
+                        at = at[np.unique(group[at], return_index=True)[1]]  # one link to each group
+                        for g in group[at].tolist():
+                            joined[g] = its
+                        group[np.isin(group, group[at])] = its
                     out["x"] += [x[r]] * len(at)
                     out["y"] += y[at].tolist()
             return pd.DataFrame(out, dtype="int64")
@@ -300,7 +311,7 @@ def _blockwise(probes: DataFrame, comp: DataFrame, nodes: DataFrame, docs: DataF
 
     def passing(every: bool) -> DataFrame:
         found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(check(every), "x bigint, y bigint")
-        return staged(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+        return packed(found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
 
     found = passing(False)
     links = _confirmed(found, nodes, docs, k, percent)
@@ -315,7 +326,7 @@ def _minors(halves: DataFrame, comp: DataFrame, sizes: DataFrame) -> tuple[DataF
     counts = placed.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("many"))
     mixed = counts.groupBy(*key).agg(F.max(F.struct("many", "comp"))["comp"].alias("major"), F.count(F.lit(1)).alias("comps"), F.sum("many").alias("held")).filter("comps > 1").drop("comps")
     mixed = mixed.join(sizes, F.col("major") == F.col("z_comp"), "left").select(*key, "major", (F.greatest("held", F.coalesce("z_n", F.lit(1))) > BLOCK).alias("large"))
-    rows = staged(placed.join(mixed, key))
+    rows = packed(placed.join(mixed, key))
     return rows, rows.filter("comp <> major")
 
 
@@ -341,7 +352,7 @@ def _verified(some: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     same = ["n", "fp1", "fp2"]
     texts = some.groupBy(*same, "text_hash").agg(F.min("row").alias("node"))
     several = texts.groupBy(*same).agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").drop("texts")
-    asked = staged(texts.join(several, same))
+    asked = packed(texts.join(several, same))
     if asked.isEmpty():
         return some.withColumn("digest", F.lit(""))
 
@@ -356,7 +367,7 @@ def _verified(some: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string())], ["node", "digest"])
 
     found = _texts(asked.select("node"), some.withColumnRenamed("row", "node"), docs).mapInArrow(freeing(run), "node bigint, digest string")
-    digests = staged(asked.join(found, "node").select(*(F.col(c).alias(f"d_{c}") for c in [*same, "text_hash"]), "digest"))
+    digests = packed(asked.join(found, "node").select(*(F.col(c).alias(f"d_{c}") for c in [*same, "text_hash"]), "digest"))
     on = reduce(lambda p, q: p & q, (F.col(c) == F.col(f"d_{c}") for c in [*same, "text_hash"]))
     return some.join(small_side(digests), on, "left").withColumn("digest", F.coalesce("digest", F.lit(""))).drop(*(f"d_{c}" for c in [*same, "text_hash"]))
 
@@ -384,18 +395,18 @@ def near_groups(
     stars = keyed.groupBy(*key).agg(top, F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
     fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
     pair = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
-    tried = staged(
+    tried = packed(
         keyed.join(stars, key).filter("node <> top.node")
         .select(F.col("top.node").alias("x"), F.col("node").alias("y"), F.col("top.n").alias("nx"), F.col("n").alias("ny"))
         .filter(fits).select(*pair).distinct()
     )
     links = _confirmed(tried, nodes, src, words, percent)
     comp = components(links)
-    sizes = staged(comp.groupBy(F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z_n")))
+    sizes = packed(comp.groupBy(F.col("comp").alias("z_comp")).agg(F.count(F.lit(1)).alias("z_n")))
     mixed, minor = _minors(halves, comp, sizes)
     pairs = _across(mixed, minor).filter(fits).select(*pair).distinct()  # a minor of one sub-key may be the major of another
-    open_pairs = staged(pairs.join(tried, ["x", "y"], "left_anti"))
-    probes = staged(minor.filter("large").select("node", F.col("comp").alias("own"), "major").distinct())
+    open_pairs = packed(pairs.join(tried, ["x", "y"], "left_anti"))
+    probes = packed(minor.filter("large").select("node", F.col("comp").alias("own"), "major").distinct())
     more = []
     if not open_pairs.isEmpty():
         more.append(_confirmed(open_pairs, nodes, src, words, percent))
@@ -424,7 +435,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one document of each near-duplicate group."""
     rows = staged(near_groups(docs, id_col, text_col, **how))
     gone = staged(rows.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")))
-    drop = staged(gone.filter("NOT stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    drop = packed(gone.filter("NOT stays").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     out = docs.join(small_side(drop), F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
     if gone.filter("stays AND rows > 1").isEmpty():
