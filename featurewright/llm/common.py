@@ -29,7 +29,7 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def packed(df: DataFrame) -> DataFrame:
-    """``df`` staged, in as few partitions as its rows need: what follows small data gets few tasks, large data keeps its own."""
+    """``df`` staged, in as few partitions as its rows need: light steps on small data get few tasks, large data keeps its own."""
     done = staged(df)
     return done.coalesce(done.count() // ROWS_A_TASK + 1)
 
