@@ -26,7 +26,7 @@ def main() -> None:
         "",
         "Physical plans of the headline queries (generated by `tools/plan_report.py` at "
         f"`{sf_dir}`; AQE may still re-plan joins and coalesce partitions at runtime).",
-        "Counts are over the plan as submitted: shuffles (`Exchange`), broadcasts, window",
+        "Counts are over the plan as submitted: shuffles (`Exchange`; one that AQE reuses at run time counts each time), broadcasts, window",
         "operators, Python operators (`MapInPandas`/`BatchEvalPython`/`ArrowEvalPython`); a persisted",
         "sub-plan is printed (and counted) again inside its `InMemoryRelation`, and plans that start from a",
         "checkpoint (C1, L4) show no parquet scan.",
