@@ -298,15 +298,15 @@ def _outcome(id_type: pa.DataType):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     parts = table_parts(docs.sparkSession)
-    buckets = parts * SHARDS
+    shards = parts * SHARDS
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(key.alias("key"), text.alias("text")).select("key", "text", F.xxhash64("key", "text").alias("row"), F.xxhash64("text", "key").alias("check"))
-    src = src.withColumn("bucket", F.pmod("row", F.lit(buckets)))
+    src = src.withColumn("bucket", F.pmod("row", F.lit(parts)))
     sent = src.groupBy("bucket").applyInArrow(_sent(parts), "part bigint, bucket bigint, blob binary")
     recur = sent.groupBy("part").applyInArrow(_recurring, "bucket bigint, blob binary")
-    dealt = src.groupBy("bucket").cogroup(recur.groupBy("bucket")).applyInArrow(_dealt(buckets), "shard bigint, blob binary")
-    ranges = dealt.groupBy("shard").applyInArrow(_shard_ranges(buckets), "bucket bigint, blob binary")
+    dealt = src.groupBy("bucket").cogroup(recur.groupBy("bucket")).applyInArrow(_dealt(shards), "shard bigint, blob binary")
+    ranges = dealt.groupBy("shard").applyInArrow(_shard_ranges(parts), "bucket bigint, blob binary")
     id_type = docs.schema[id_col].dataType
     schema = f"doc_id {id_type.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     return src.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInArrow(_outcome(to_arrow_type(id_type)), schema)
