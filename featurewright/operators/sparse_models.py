@@ -3,9 +3,10 @@
 Levels stay a table: ``SparsePreprocessor`` says which are encoded, ``FeatureIndex``
 numbers them within their column, in level order, by range partitions (no task and
 no driver sees them all).  A row's level becomes its number by a join that
-AQE splits where a level is frequent, and the one-hot vectors are built by Spark ML from
-numbers, with the vector size known from the index, without a further scan.  The only
-thing of the size of the feature space on the driver is the model's own coefficients.
+AQE splits where a level is frequent, and the one-hot vectors are built from numbers,
+with the vector size known from the index, without a further scan; no schema or plan names
+the levels.  The only thing of the size of the feature space on the driver is the model's
+own coefficients.
 
 A level that is not encoded (the column's first, one of too little variance, one
 not seen at fit time) is an all-zero vector.
@@ -17,14 +18,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featurewright.operators.models import balanced_weights
 from featurewright.operators.prep import PrepConfig, SparseFit, SparsePreprocessor, _name, fill_zero, min_max_column
 from featurewright.operators.scan import row_index
-from featurewright.session import materialize
+from featurewright.session import materialize, scratch_path
+
+
+def _finite(value: Column) -> Column:
+    """A vector's entry: null and NaN end the job, as in Spark ML's assembler."""
+    return F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit("a feature is null or NaN")).cast("double")).otherwise(value)
 
 
 @dataclass
@@ -47,26 +54,29 @@ class FeatureIndex:
         return len(self.numeric) + sum(self.sizes.values())
 
     def vectors(self, df: DataFrame, out: str = "features") -> DataFrame:
-        """The keep columns and one sparse vector per row of ``df``."""
+        """The keep columns and one sparse vector per row of ``df``, computed once into the shared checkpoint folder."""
         cfg = self.fit.cfg
         rows = fill_zero(df, [*cfg.numeric, *cfg.categorical])
         keep = [_name(k) for k in cfg.keep_cols]
         values = [min_max_column(c, *self.fit.ranges[c]).alias(f"__n{i}") for i, c in enumerate(self.numeric)]
         cells = [_name(c).cast("string").alias(f"__c{j}") for j, c in enumerate(self.categorical)]
         rows = rows.select(*keep, *values, *cells)
+        entries = [(F.lit(i), _finite(F.col(f"__n{i}"))) for i in range(len(values))]
+        at = len(values)
         for j, c in enumerate(self.categorical):
             own = self.levels.where(F.col("column_name") == c).select(F.col("level").alias(f"__l{j}"), F.col("idx").alias(f"__i{j}"))
-            number = F.coalesce(F.col(f"__i{j}"), F.lit(self.sizes[c])).cast("double")
-            # the last number stands for "not encoded" and is dropped by the encoder; its range is known here
-            meta = {"ml_attr": {"type": "nominal", "num_vals": self.sizes[c] + 1}}
-            rows = rows.join(own, F.col(f"__c{j}") == F.col(f"__l{j}"), "left").withColumn(f"__x{j}", number.alias(f"__x{j}", metadata=meta)).drop(f"__l{j}", f"__i{j}", f"__c{j}")
-        inputs = [f"__n{i}" for i in range(len(values))]
-        if self.categorical:
-            xs = [f"__x{j}" for j in range(len(cells))]
-            vs = [f"__v{j}" for j in range(len(cells))]
-            rows = OneHotEncoder(inputCols=xs, outputCols=vs, dropLast=True).fit(rows).transform(rows)
-            inputs += vs
-        return VectorAssembler(inputCols=inputs, outputCol=out).transform(rows).select(*keep, out)
+            rows = rows.join(own, F.col(f"__c{j}") == F.col(f"__l{j}"), "left").drop(f"__l{j}", f"__c{j}")
+            entries.append(((F.col(f"__i{j}") + at).cast("int"), F.lit(1.0)))
+            at += self.sizes[c]
+        found = F.filter(F.array(*[F.struct(i.alias("i"), v.alias("v")) for i, v in entries]), lambda e: e["i"].isNotNull() & (e["v"] != 0))
+        cells = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(at).alias("size"),
+                         F.transform(found, lambda e: e["i"]).alias("indices"), F.transform(found, lambda e: e["v"]).alias("values"))
+        staged = rows.select(*keep, cells.alias(out))
+        path = scratch_path(df.sparkSession, "sparse-vectors")
+        staged.write.parquet(path)
+        # The parts of a sparse vector, read as one.  Spark ML's encoder and assembler would write the name of every
+        # level into the schema, which each plan on the driver then carries along.
+        return df.sparkSession.read.schema(T.StructType([*staged.schema.fields[:-1], T.StructField(out, VectorUDT())])).parquet(path)
 
     def positions(self) -> DataFrame:
         """feature, position in the vector: a table as long as the vector."""
@@ -125,7 +135,9 @@ def train_sparse_logistic(df: DataFrame, cfg: PrepConfig, label: str, balanced:
         raise ValueError(f"{label} must be one of the keep columns")
     rows = df.where(_name(label).isNotNull())
     index = feature_index(SparsePreprocessor(cfg).fit(rows))
-    vectors = materialize(index.vectors(rows))
+    vectors = index.vectors(rows)
+    # A step of the fit adds up one array as long as the vector per task: no more tasks than cores.
+    vectors = vectors.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, 1))
     src = balanced_weights(vectors, label) if balanced else vectors
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=1.0 / max(vectors.count(), 1),
                             standardization=False, weightCol="weight" if balanced else None)
