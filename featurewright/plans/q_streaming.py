@@ -73,8 +73,11 @@ def r2_stream_score(spark, sf_dir):
     return spark.read.parquet(out).drop("epoch")
 
 
-def _events_in_files(spark, sf_dir, parts: int = 4):
-    """The events as a folder of files in time order, one file set after the other, streamed one file a trigger."""
+def _drained_in_batches(spark, sf_dir, run, parts: int = 4):
+    """The events in time order, as many micro-batches as ``parts`` however long the table is.
+
+    ``run(stream)`` starts a query on the folder; it is drained after each part has been written there.
+    """
     ev = read_table(spark, sf_dir, "events")
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
     path = scratch_path(spark, "event-files")
@@ -83,15 +86,15 @@ def _events_in_files(spark, sf_dir, parts: int = 4):
         part = ev.where((F.lit(True) if start is None else F.col("ts") >= F.lit(start))
                         & (F.lit(True) if end is None else F.col("ts") < F.lit(end)))
         part.write.mode("append").parquet(path)
-    return stream_source(spark, path, ev.schema, max_files=1)
+        run(stream_source(spark, path, ev.schema)).awaitTermination()
 
 
 @query("R1_stream_many_batches", PICKUP_SQL)
 def r1_stream_many_batches(spark, sf_dir):
     """R1 over several micro-batches: windows that span a batch border are merged, the drained table = batch."""
-    feats = stream_pickup_features(_events_in_files(spark, sf_dir), "ts", "user_id", "value", watermark="2 days")
     table, ckpt = fresh_paths(spark, "r1-batches")
-    run_feature_stream(feats, table, ["zip", "ts"], ckpt).awaitTermination()
+    _drained_in_batches(spark, sf_dir, lambda events: run_feature_stream(
+        stream_pickup_features(events, "ts", "user_id", "value", watermark="2 days"), table, ["zip", "ts"], ckpt))
     return rounded(spark.read.parquet(table).select(
         "zip", "ts", "yyyy_mm", "mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"
     ))
@@ -109,9 +112,9 @@ def r2_stream_linear_score(spark, sf_dir):
         materialize(rounded(pickup_features(ev, "ts", zip_col="user_id", fare_col="value"))),
         materialize(dropoff_features(ev, "ts", zip_col="user_id")), "user_id", "user_id",
     )
-    src = round_trip_times(_events_in_files(spark, sf_dir), "ts", "ts")
     out, ckpt = fresh_paths(spark, "r2-linear")
-    run_scoring_stream(src, lookups, linear_model, out, ckpt, "1", "2024-02-01 00:00:00",
-                       exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"], fill=0.0).awaitTermination()
+    _drained_in_batches(spark, sf_dir, lambda events: run_scoring_stream(
+        round_trip_times(events, "ts", "ts"), lookups, linear_model, out, ckpt, "1", "2024-02-01 00:00:00",
+        exclude=["rounded_pickup_datetime", "rounded_dropoff_datetime"], fill=0.0))
     return rounded(spark.read.parquet(out).select("event_id", "user_id", "prediction", "model_version",
                                                   "inference_timestamp"))

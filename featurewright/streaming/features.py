@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,6 +70,16 @@ def stream_dropoff_features(src: DataFrame, ts_col: str, zip_col: str, watermark
     )
 
 
+def _near(batch: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows whose key lies between the batch's smallest and largest value of each key column; no other row can have one of its keys."""
+    # as a subquery, so that instants are compared as they are in any session zone
+    ends = batch.agg(F.struct(*[f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for f, n in ((F.min, "lo"), (F.max, "hi"))]).alias("__ends")).scalar()
+    near = F.lit(True)
+    for i, k in enumerate(keys):
+        near = near & F.coalesce(F.col(k).between(ends.getField(f"lo{i}"), ends.getField(f"hi{i}")), F.lit(False))
+    return near
+
+
 def upsert_into_path(path: str, keys: Sequence[str], partition_col: str | None = "yyyy_mm"):
     """``foreachBatch`` body: merge a micro-batch of changed rows (unique by key) into a parquet feature table.
 
@@ -96,12 +106,13 @@ def upsert_into_path(path: str, keys: Sequence[str], partition_col: str | None =
             merged = batch
         else:  # any other read error ends the batch: rows are never taken for missing
             current = spark.read.parquet(path)
+            near = _near(batch, keys)
             if partition_col:
-                whole = moved_keys(current, batch, keys, [partition_col])
+                whole = moved_keys(current.where(near), batch, keys, [partition_col])
                 current = current if whole else touched_partitions(current, batch, [partition_col])
-            merged = current.join(batch.select(*keys), list(keys), "left_anti").unionByName(
-                batch.select(*current.columns)
-            )
+            # only rows that the batch may update are shuffled
+            kept = current.where(near).join(batch.select(*keys), list(keys), "left_anti")
+            merged = kept.unionByName(current.where(~near)).unionByName(batch.select(*current.columns))
         staged = scratch_path(spark, f"upsert-{epoch_id}")
         merged.write.mode("overwrite").parquet(staged)
         out = spark.read.parquet(staged)
