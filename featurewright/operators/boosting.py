@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 from featurewright.session import remove_path, scratch_path
 
 BLOCK_ROWS, FAN, REFRESH = 1 << 16, 32, 10
+#: Blocks of one Arrow batch: what a Python worker holds at once, however long its partition is.
+BATCH_BLOCKS = 4
 
 
 @dataclass(frozen=True)
@@ -198,11 +201,24 @@ def _pack(cuts: list[list[float]], missing: int, base: list[float], dtype):
 
 def _blocks(batches, features: int, classes: int, dtype):
     for b in batches:
-        for row in b.to_pylist():
+        for i in range(b.num_rows):
+            row = b.slice(i, 1).to_pylist()[0]
             label = np.frombuffer(row["label"])
             yield row, np.frombuffer(row["bins"], dtype).reshape(features, len(label)), label, np.frombuffer(row["weight"]), np.frombuffer(row["margins"]).reshape(-1, classes)
 
 
+@contextmanager
+def _few_blocks(spark):
+    """While a job on the blocks runs, its Arrow batches are of ``BATCH_BLOCKS`` rows; by default a task's blocks would all be in one."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BLOCKS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _advanced(bins: np.ndarray, margins: np.ndarray, rounds: list[list[Tree]], missing: int) -> np.ndarray:
     out = margins.copy()
     for trees in rounds:
@@ -276,7 +292,9 @@ class Trainer:
         partial = self.blocks.mapInArrow(run, "part int, total binary")
         if self.parts > FAN:
             partial = partial.groupBy(F.pmod("part", F.lit(FAN)).alias("shard")).applyInArrow(add, "total binary")
-        found = sum(np.frombuffer(r["total"], np.int64) for r in partial.select("total").collect())
+        with _few_blocks(self.spark):
+            parts = partial.select("total").collect()
+        found = sum(np.frombuffer(r["total"], np.int64) for r in parts)
         ends = np.cumsum([math.prod(s) for s in shape])
         return [x.reshape(s) for x, s in zip(np.split(found, ends[:-1]), shape)]
 
@@ -323,7 +341,8 @@ class Trainer:
                 yield pa.RecordBatch.from_pylist([row], schema=pa.schema([(n, pa.binary()) for n in ("bins", "label", "weight", "margins")]))
 
         old, self.path = self.path, scratch_path(self.spark, "boost-blocks")
-        self.blocks.mapInArrow(run, _BLOCK).write.parquet(self.path)
+        with _few_blocks(self.spark):
+            self.blocks.mapInArrow(run, _BLOCK).write.parquet(self.path)
         self._opened()
         remove_path(self.spark, old)
         self.pending = []
