@@ -105,6 +105,11 @@ def asof_answers(
     for lk in lookups:
         fields = {f.name: f.dataType for f in lk.table.schema.fields}
         structs.append("struct<" + ",".join(f"`{lk.rename.get(f, f)}`:{fields[f].simpleString()}" for f in lk.features) + ">")
+    def timed(rows: DataFrame) -> DataFrame:
+        """Null keys and times match nothing.  They go here, and buckets are never null: a filter that the optimizer
+        would infer from one of the joins below would make that branch's shuffle a different one."""
+        return rows.where(reduce(lambda p, c: p & F.col(c).isNotNull(), kcols, F.col("__t").isNotNull()))
+
     parts = []
     for i, lk in enumerate(lookups):
         f_t = F.col(lk.table_ts or lk.timestamp_lookup_key).cast(ts_type)
@@ -112,25 +117,23 @@ def asof_answers(
             f_t = f_t + F.expr(f"INTERVAL {embargo}")
         own = F.struct(*[F.col(f).alias(lk.rename.get(f, f)) for f in lk.features]).cast(structs[i])
         found = F.struct(*[(own if j == i else F.lit(None).cast(structs[j])).alias(f"f{j}") for j in range(len(lookups))])
-        parts.append(lk.table.select(*[F.col(c).alias(k) for c, k in zip(lk.table_key or lk.lookup_key, kcols)], F.lit(i).alias("__lk"),
-                                     f_t.alias("__t"), found.alias("__f"), F.lit(False).alias("__probe")))
-    null_f = F.lit(None).cast(parts[0].schema["__f"].dataType)
-    points = F.explode(F.array(*[F.struct(F.lit(i).alias("__lk"), F.col(lk.timestamp_lookup_key).alias("__t")) for i, lk in enumerate(lookups)])).alias("__p")
-    parts.append(base.select(*[F.col(c).alias(k) for c, k in zip(lookups[0].lookup_key, kcols)], points)
-                 .select(*kcols, "__p.*", null_f.alias("__f"), F.lit(True).alias("__probe")))
+        parts.append(timed(lk.table.select(*[F.col(c).alias(k) for c, k in zip(lk.table_key or lk.lookup_key, kcols)], F.lit(i).alias("__lk"),
+                                           f_t.alias("__t"), found.alias("__f"), F.lit(False).alias("__probe"))))
     widths = bucket_widths(bucket)
     bcols = [f"__b{i}" for i in range(len(widths))]
     group = [*kcols, "__lk"]
-
-    # Null keys and times match nothing.  They go here, and buckets are never null: a filter that the optimizer
-    # would infer from one of the joins below would make that branch's shuffle a different one.
-    both = reduce(DataFrame.unionByName, parts).where(reduce(lambda p, c: p & F.col(c).isNotNull(), kcols, F.col("__t").isNotNull()))
-    # One row per instant, combined on the map side; then by (key, lookup, finest bucket), once for all that follows.
-    instants = both.groupBy(*group, "__t").agg(F.max("__f").alias("__f"), F.max("__probe").alias("__probe"))
+    # One probe per instant, combined on the map side.  Feature rows are keyed by their instants and go without.
+    null_f = F.lit(None).cast(parts[0].schema["__f"].dataType)
+    points = F.explode(F.array(*[F.struct(F.lit(i).alias("__lk"), F.col(lk.timestamp_lookup_key).alias("__t")) for i, lk in enumerate(lookups)])).alias("__p")
+    probes = timed(base.select(*[F.col(c).alias(k) for c, k in zip(lookups[0].lookup_key, kcols)], points).select(*kcols, "__p.*")).distinct()
+    parts.append(probes.select(*group, "__t", null_f.alias("__f"), F.lit(True).alias("__probe")))
+    # Dealt by (key, lookup, finest bucket), once for all that follows.
     us = epoch_micros("__t")
-    dealt = instants.withColumns({b: F.coalesce(F.floor(us / F.lit(w)), F.lit(0)) for b, w in zip(bcols, widths)}).repartition(*group, bcols[-1])
+    dealt = reduce(DataFrame.unionByName, parts).withColumns(
+        {b: F.coalesce(F.floor(us / F.lit(w)), F.lit(0)) for b, w in zip(bcols, widths)}).repartition(*group, bcols[-1])
 
-    w_in = Window.partitionBy(*group, bcols[-1]).orderBy("__t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # At one instant features come before the probe, the largest last.
+    w_in = Window.partitionBy(*group, bcols[-1]).orderBy("__t", "__probe", "__f").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     answers = dealt.withColumn("__hit", F.last("__f", ignorenulls=True).over(w_in)).where("__probe").select(*group, *bcols, "__t", "__hit")
 
     # Carry per level, finest first: one row per active bucket.
@@ -139,7 +142,7 @@ def asof_answers(
         own, parent = bcols[: lvl + 1], bcols[:lvl]
         has = F.col("__f").isNotNull()
         active = dealt.groupBy(*group, *own).agg(
-            F.max_by("__f", F.when(has, F.col("__t"))).alias("__last"), F.max("__probe").alias("__probe"))
+            F.max_by("__f", F.when(has, F.struct("__t", "__f"))).alias("__last"), F.max("__probe").alias("__probe"))
         w_carry = Window.partitionBy(*group, *parent).orderBy(own[-1]).rangeBetween(Window.unboundedPreceding, -1)
         carry = (active.withColumn(f"__carry{lvl}", F.last("__last", ignorenulls=True).over(w_carry))
                  .where("__probe").select(*group, *own, f"__carry{lvl}"))
