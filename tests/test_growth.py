@@ -11,7 +11,7 @@ from featurewright.operators.prep import PrepConfig, SparsePreprocessor
 from featurewright.operators.sparse_models import feature_index
 from featurewright.plans import q_streaming
 from featurewright.session import scratch_path
-from featurewright.streaming.features import fresh_paths, stream_source, upsert_into_path
+from featurewright.streaming.features import fresh_paths, run_feature_stream, stream_pickup_features, stream_source, upsert_into_path
 from featurewright.streaming.keyed import StreamLookup, lookup_stream
 
 DAY = dt.datetime(2024, 1, 1)
@@ -98,3 +98,26 @@ def test_feature_rows_are_dealt_once(spark):
         assert got == {0: None, 1: 3.0, 2: 3.0, 3: 3.0, 4: 9.0, 5: 5.0, 6: None, 7: None}
     plan = asof_answers(base, lookups)._jdf.queryExecution().executedPlan().toString()
     assert "max(__f" not in plan
+
+
+def test_open_windows_share_rows_of_the_state(spark):
+    src = scratch_path(spark, "pickups")
+    out, ckpt = fresh_paths(spark, "windows")
+    schema = "zip int, ts timestamp_ntz, fare double"
+    first = [(k, None if h is None else _at(h), f) for k, h, f in [(1, 0.1, 2.0), (1, 0.1, 4.0), (1, 23.9, None), (1, 24.0, 3.0), (None, 23.95, 1.0), (2, 47.9, float("nan")), (2, None, 1.0), (3, 47.9, 1.0)]]
+    later = [(1, _at(47.95), 5.0), (2, _at(48.0), 1.0), (3, _at(48.2), 3.0), (4, _at(0.1), 9.0), (None, _at(47.9), None)]  # key 4 is behind the watermark
+    sizes = []
+    for rows in (first, later):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        feats = stream_pickup_features(stream_source(spark, src, spark.read.parquet(src).schema), "ts", "zip", "fare", "2 hours", groups=2)
+        q = run_feature_stream(feats, out, ["zip", "ts"], ckpt)
+        q.awaitTermination()
+        sizes.append(max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]))
+    assert max(sizes) <= 2  # not a row per window
+    seen = spark.createDataFrame([r for r in first + later if r[0] != 4], schema).where("ts IS NOT NULL")
+    want = seen.groupBy("zip", F.window(F.col("ts").cast("timestamp"), "1 hour", "15 minutes")).agg(F.mean("fare").cast("float").alias("m"), F.count("*").cast("int").alias("n"))
+    show = lambda rows: sorted(str((r[0], r[1], r[2], r[3])) for r in rows)
+    got = spark.read.parquet(out)
+    assert got.schema["zip"].dataType.simpleString() == "int"
+    assert show(got.select("zip", "ts", "mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip").collect()) == show(
+        want.select("zip", F.col("window.end").cast("timestamp_ntz"), "m", "n").collect())
